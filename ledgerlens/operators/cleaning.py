@@ -22,7 +22,8 @@ def column_constancy(df: DataFrame) -> DataFrame:
     """One row a column: is it constant, has it zero variance, is it all NULL. One pass over the table.
 
     A column is constant if its least and greatest non-null values agree; an all-null column has neither, so it is
-    not constant. Zero variance is asked of numeric columns only.
+    not constant. Zero variance is asked of numeric columns with two values or more; equal extremes count as zero,
+    since merging partial variances can leave a rounding residue.
     """
     numeric = set(numeric_columns(df))
     aggregates = []
@@ -31,7 +32,9 @@ def column_constancy(df: DataFrame) -> DataFrame:
             F.coalesce(F.min(c) == F.max(c), F.lit(False)).alias(f"{c}|constant"),
             (F.count(c) == 0).alias(f"{c}|empty"),
             (
-                F.coalesce(F.var_samp(c) == 0, F.lit(False)) if c in numeric else F.lit(False)
+                F.coalesce((F.count(c) > 1) & ((F.min(c) == F.max(c)) | (F.var_samp(c) == 0)), F.lit(False))
+                if c in numeric
+                else F.lit(False)
             ).alias(f"{c}|flat"),
         ]
     entries = [

@@ -13,14 +13,17 @@ from ledgerlens.operators.small import any_null, bounded, one_row
 LABEL = "is_fraud"
 
 
-def rate_by(df: DataFrame, *keys: str, digits: int = 6) -> DataFrame:
+def rate_by(df: DataFrame, *keys: str, digits: int | None = 6) -> DataFrame:
     """Rows, positives and positive rate in percent by key. Rows with a NULL key are left out.
 
+    ``digits=None`` keeps the rate as computed.
+
     Partial aggregation leaves one row per key and map task before the shuffle, so a hot key costs nothing.
     """
     kept = df.where(~any_null(list(keys)))
     counts = kept.groupBy(*keys).agg(F.count(LABEL).alias("total"), F.sum(LABEL).cast("bigint").alias("fraud"))
-    return counts.withColumn("fraud_rate", rounded(percent(F.col("fraud"), F.col("total")), digits))
+    rate = percent(F.col("fraud"), F.col("total"))
+    return counts.withColumn("fraud_rate", rate if digits is None else rounded(rate, digits))
 
 
 def with_volume_share(rates: DataFrame, digits: int = 6) -> DataFrame:

@@ -32,7 +32,7 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> Scaler:
     """Mean and population deviation of each column, from one pass. A column without spread is scaled by 1."""
     means = [F.avg(c).alias(f"mean_{c}") for c in columns]
     spreads = [
-        F.when(F.stddev_pop(c) == 0, F.lit(1.0)).otherwise(F.stddev_pop(c)).alias(f"scale_{c}") for c in columns
+        F.when(F.min(c) == F.max(c), F.lit(1.0)).otherwise(F.stddev_pop(c)).alias(f"scale_{c}") for c in columns
     ]
     return Scaler(list(columns), df.agg(*means, *spreads))
 

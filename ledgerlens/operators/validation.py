@@ -117,10 +117,10 @@ def validation_status(df: DataFrame, rules: list[Rule] = TRANSACTION_RULES) -> D
 
 def verdict(status: DataFrame) -> DataFrame:
     """The overall verdict of a status table, per check and for all (``check = '*'``)."""
-    per_check = F.grouping_id() == 1
-    return status.rollup("check").agg(
-        F.bool_and("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed_rules")
-    ).select(F.when(per_check, F.lit("*")).otherwise(F.col("check")).alias("check"), "passed", "failed_rules")
+    outcome = [F.bool_and("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed_rules")]
+    rolled = status.rollup("check").agg(*outcome, F.grouping("check").alias("_all"))
+    name = F.when(F.col("_all") == 1, F.lit("*")).otherwise(F.col("check"))
+    return rolled.select(name.alias("check"), "passed", "failed_rules")
 
 
 def with_violations(df: DataFrame, rules: list[Rule] = TRANSACTION_RULES) -> DataFrame:

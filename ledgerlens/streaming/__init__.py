@@ -1,0 +1 @@
+"""The same operators over a stream of transactions."""
