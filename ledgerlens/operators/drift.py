@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions.numeric import ratio, rounded
 from ledgerlens.operators.ordered import union_all
 from ledgerlens.operators.sampling import hash_sample
-from ledgerlens.operators.small import one_row
+from ledgerlens.operators.small import bounded, one_row
 
 # Fixed values.
 DRIFT_NUMERIC = ["amount", "sender_balance_before", "receiver_balance_before"]
@@ -30,23 +30,30 @@ SHARE_STEPS = 1000
 
 
 def _bin_index(value: Column, low: Column, high: Column) -> Column:
-    """Number of inner edges at or below the value: ten equal-width bins with open ends."""
-    step = (high - low) / F.lit(float(BINS))
-    index = F.lit(0)
-    for i in range(1, BINS):
-        index = index + F.when(value >= low + F.lit(float(i)) * step, 1).otherwise(0)
-    return index
-
+    """Number of inner edges at or below the value: ten equal-width bins with open ends.
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
-    return df.select(F.inline(F.array(*entries))).where(F.col("x").isNotNull())
+    The division gives the bin up to rounding; comparing with the two edges next to it settles the rest.
+    """
+    step = (high - low) / F.lit(float(BINS))
+    last = F.lit(float(BINS - 1))
+    guess = F.greatest(F.lit(0.0), F.least(last, F.floor(F.try_divide(value - low, step)).cast("double")))
+    settled_bin = (
+        F.when((guess < last) & (value >= low + (guess + 1) * step), guess + 1)
+        .when((guess > 0) & (value < low + guess * step), guess - 1)
+        .otherwise(guess)
+    )
+    flat = F.when(value >= low, last).otherwise(F.lit(0.0))
+    return F.when(step == 0, flat).otherwise(settled_bin).cast("int")
 
 
 def numeric_moments(df: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
-    return _long(df, columns).groupBy("column").agg(
-        F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")
-    )
+    """``(column, mean, std, min, max)``, from one pass."""
+    measures = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[fn(F.col(c).cast("double")).alias(f"{n}|{c}") for c in columns for n, fn in measures.items()])
+    entries = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{n}|{c}").alias(n) for n in measures]) for c in columns
+    ]
+    return row.select(F.inline(F.array(*entries)))
 
 
 def _bounds_row(moments: DataFrame, columns: list[str]) -> Column:
@@ -58,18 +65,20 @@ def _bounds_row(moments: DataFrame, columns: list[str]) -> Column:
 
 def bin_counts(df: DataFrame, moments: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
     """Rows of each bin between the reference minimum and maximum: ``(column, bin, n)``, from one pass."""
-    bounded_rows = df.select(*columns).withColumn("_b", _bounds_row(moments, columns))
+    ranged = df.select(*columns).withColumn("_b", _bounds_row(moments, columns))
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            F.when(
-                F.col(c).isNotNull(), _bin_index(F.col(c).cast("double"), F.col(f"_b.{c}.min"), F.col(f"_b.{c}.max"))
-            ).alias("bin"),
+            F.col(c).cast("double").alias("x"),
+            F.col(f"_b.{c}.min").alias("low"),
+            F.col(f"_b.{c}.max").alias("high"),
         )
         for c in columns
     ]
-    placed = bounded_rows.select(F.inline(F.array(*entries))).where("bin is not null")
-    return placed.groupBy("column", "bin").agg(F.count("*").alias("n"))
+    long = ranged.select(F.inline(F.array(*entries))).where("x is not null")
+    return long.groupBy("column", _bin_index(F.col("x"), F.col("low"), F.col("high")).alias("bin")).agg(
+        F.count("*").alias("n")
+    )
 
 
 def category_shares(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
@@ -86,7 +95,7 @@ def category_shares(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> Da
 
 def build_baseline(df: DataFrame, label: bool = True) -> DataFrame:
     """The reference statistics of a table as ``(column, kind, key, value)``."""
-    moments = numeric_moments(df)
+    moments = bounded(numeric_moments(df))
     names = ["mean", "std", "min", "max"]
     entries = [
         F.struct(F.lit("numeric").alias("kind"), F.lit(n).alias("key"), F.col(n).alias("value")) for n in names

@@ -181,29 +181,44 @@ def _boxes(placed: DataFrame) -> tuple[list[int], np.ndarray, np.ndarray]:
     return [int(leaf) for leaf in low.index], low.to_numpy(), high.to_numpy()
 
 
-def _scan(queries: np.ndarray, radius, owners: np.ndarray, ids: list, k: int) -> tuple[list, list]:
+def _scan(queries: np.ndarray, radius: np.ndarray | None, owners: np.ndarray, ids: list, k: int) -> tuple[list, list]:
     """Lowest ``k`` (distance, id) entries of each query among the owners, and the distance of the last.
 
-    Works in blocks of queries, so a block's distances stay within some tens of megabytes.
+    Works in blocks of queries of some tens of megabytes. A matrix product gives distances good enough to rule most
+    owners out; the exact ones are taken of the few that may count.
     """
-    owner_of = np.repeat(np.arange(len(ids)), [len(entry) for entry in ids])
-    flat = np.concatenate([np.asarray(entry, dtype=object) for entry in ids])
-    order = np.argsort(flat.astype(str), kind="stable")
-    flat, owner_of = flat[order], owner_of[order]
-    step = max(1, 4_000_000 // max(1, owners.size))
-    near, last = [], []
+    sizes = np.array([len(entry) for entry in ids])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    flat = np.array([name for entry in ids for name in entry], dtype=object)
+    id_rank = np.empty(len(flat), dtype=np.int64)
+    id_rank[np.argsort(flat.astype(str), kind="stable")] = np.arange(len(flat))
+
+    centre = owners.mean(axis=0)
+    owned, asked = owners - centre, queries - centre
+    owned_sq, asked_sq = (owned**2).sum(axis=1), (asked**2).sum(axis=1)
+    fuzz = 1e-9 * (1.0 + owned_sq.max() + asked_sq.max())
+    step = max(1, 4_000_000 // len(owners))
+    near: list = []
+    last: list = []
     for start in range(0, len(queries), step):
-        block = queries[start : start + step]
-        gaps = np.round(np.sqrt(((block[:, None, :] - owners[None, :, :]) ** 2).sum(axis=2)), DIGITS)
-        for i, row in enumerate(gaps):
-            entries = row[owner_of]
-            bound = np.inf
-            if len(entries) > k:
-                bound = np.partition(entries, k - 1)[k - 1]
-            if radius is not None:
-                bound = min(bound, radius[start + i])
-            kept = np.flatnonzero(entries <= bound)
-            kept = kept[np.argsort(entries[kept], kind="stable")][:k]
-            near.append([{"distance": float(entries[j]), "id": str(flat[j])} for j in kept])
-            last.append(float(entries[kept[-1]]) if len(kept) == k else float("inf"))
+        block = slice(start, start + step)
+        rough = np.maximum(0.0, asked_sq[block, None] + owned_sq[None, :] - 2.0 * asked[block] @ owned.T)
+        bound = np.full(len(rough), np.inf)
+        if len(owners) > k:
+            bound = np.sqrt(np.partition(rough, k - 1, axis=1)[:, k - 1])
+        if radius is not None:
+            bound = np.minimum(bound, radius[block])
+        row, owner = np.nonzero(rough <= ((bound + SLACK) ** 2 + fuzz)[:, None])
+        distance = np.round(np.sqrt(((queries[block][row] - owners[owner]) ** 2).sum(axis=1)), DIGITS)
+
+        count = sizes[owner]
+        row, distance = np.repeat(row, count), np.repeat(distance, count)
+        entry = np.repeat(starts[owner], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        order = np.lexsort((id_rank[entry], distance, row))
+        row, distance, entry = row[order], distance[order], entry[order]
+        first = np.searchsorted(row, np.arange(len(rough)))
+        end = np.minimum(np.searchsorted(row, np.arange(len(rough)), side="right"), first + k)
+        for low, high in zip(first, end):
+            near.append([{"distance": float(distance[j]), "id": flat[entry[j]]} for j in range(low, high)])
+            last.append(float(distance[high - 1]) if high - low == k else float("inf"))
     return near, last

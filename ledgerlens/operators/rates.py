@@ -27,8 +27,8 @@ def rate_by(df: DataFrame, *keys: str, digits: int | None = 6) -> DataFrame:
 
 
 def with_volume_share(rates: DataFrame, digits: int = 6) -> DataFrame:
-    """Add each key's share of all rows. The total is a scalar subquery over the rate table."""
-    total = rates.agg(F.sum("total")).scalar()
+    """Add each key's share of all rows. The window runs over the rate table, one row a key."""
+    total = F.sum("total").over(W.partitionBy(F.lit(0)))
     return rates.withColumn("pct_of_volume", rounded(percent(F.col("total"), total), digits))
 
 

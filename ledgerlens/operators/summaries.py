@@ -12,7 +12,7 @@ from ledgerlens.functions.numeric import flag, percent, ratio, rounded
 from ledgerlens.functions.temporal import event_time, whole_days
 from ledgerlens.operators.ordered import describe, quantile_bands, wide_quantiles
 from ledgerlens.operators.profiles import device_pairs, receiver_pairs
-from ledgerlens.operators.rates import LABEL, rate_by
+from ledgerlens.operators.rates import LABEL, rate_by, with_volume_share
 from ledgerlens.operators.small import bounded, settled
 
 
@@ -88,22 +88,19 @@ def amount_stats_by(df: DataFrame, key: str, digits: int = 4) -> DataFrame:
 def type_overview(df: DataFrame, digits: int = 6) -> DataFrame:
     """Rates with mean and median amount and volume share of each transaction type."""
     key = "transaction_type"
-    rates = rate_by(df, key)
-    amounts = df.groupBy(key).agg(rounded(F.avg("amount"), 4).alias("avg_amount"))
-    medians = wide_quantiles(df, "amount", {"median_amount": 0.5}, [key])
-    total = df.agg(F.count("*")).scalar()
-    return (
-        rates.join(amounts, key)
-        .join(medians, key, "left")
-        .select(
-            key,
-            "total",
-            "fraud",
-            "avg_amount",
-            rounded(F.col("median_amount"), 4).alias("median_amount"),
-            "fraud_rate",
-            rounded(percent(F.col("total"), total), digits).alias("pct_of_volume"),
+    means = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            F.count(LABEL).alias("total"),
+            F.sum(LABEL).cast("bigint").alias("fraud"),
+            rounded(F.avg("amount"), 4).alias("avg_amount"),
         )
+        .withColumn("fraud_rate", rounded(percent(F.col("fraud"), F.col("total")), digits))
+    )
+    medians = wide_quantiles(df, "amount", {"median_amount": 0.5}, [key])
+    return with_volume_share(means, digits).join(medians, key, "left").withColumn(
+        "median_amount", rounded(F.col("median_amount"), 4)
     )
 
 
