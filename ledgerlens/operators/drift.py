@@ -144,7 +144,7 @@ def _shares_of(counts: DataFrame, out: str) -> DataFrame:
 def psi_numeric(df: DataFrame, baseline: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
     """``(column, psi)``. A bin without rows on one side counts as a small share there."""
     held = baseline.where("kind = 'bin'").select(
-        "column", F.col("key").cast("int").alias("bin"), F.col("value").alias("n")
+        "column", F.col("key").try_cast("int").alias("bin"), F.col("value").alias("n")
     )
     current = bin_counts(df, stored_moments(baseline), columns)
     bins = df.sparkSession.range(BINS).select(F.col("id").cast("int").alias("bin"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -19,14 +21,16 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.labels import DECISION_THRESHOLD, predicted_fraud
 from ledgerlens.operators.metrics import ranking_metrics, threshold_sweep
 from ledgerlens.operators.ordered import numbered, union_all
-from ledgerlens.operators.sampling import SEED, smote, with_fold
+from ledgerlens.operators.sampling import SEED, smote, with_class_weight, with_fold
 from ledgerlens.operators.small import settled
+from ledgerlens.session import ensure_checkpoint_dir
 
 LABEL = "is_fraud"
 # Rounds and search ranges.
 BOOSTING_ROUNDS = 200
 SEARCH_TRIALS = 50
 SEARCH_FOLDS = 3
+SEARCH_ROUNDS = 300
 # Ranges of the tree search: (low, high, logarithmic). Leaves 20-150 become depths 4-7 for depth-wise trees, and a
 # fraction of columns becomes one for each tree node.
 SEARCH_SPACE = {
@@ -209,32 +213,38 @@ def random_search(
     columns: list[str],
     trials: list[dict],
     folds: int = SEARCH_FOLDS,
-    rounds: int = 300,
+    rounds: int = SEARCH_ROUNDS,
     resample: bool = False,
+    parallelism: int = 2,
 ) -> DataFrame:
     """``(trial, params, mean_roc_auc, best_so_far)``: each trial's mean ROC area over the folds.
 
     ``df`` holds original rows. With ``resample`` positives are oversampled inside each training fold only; doing it
-    before the folds would put relatives of the test rows into training and inflate the score.
+    before the folds would put relatives of the test rows into training and inflate the score. Each model's scores
+    are appended to one table, so no plan grows with the number of trials.
     """
+    spark = df.sparkSession
     placed = settled(with_fold(df, folds))
-    scored = []
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    parts = []
     for fold in range(folds):
         inside, outside = placed.where(F.col("fold") != fold), placed.where(F.col("fold") == fold)
-        if resample:
-            inside = settled(smote(inside, columns))
-        for number, params in enumerate(trials):
-            weight = F.when(F.col(LABEL) == 1, F.lit(float(params.get("positive_weight", 1.0)))).otherwise(1.0)
-            weighted = inside.withColumn("weight", weight)
-            model = train(weighted, columns, _estimator_of(params, rounds))
-            scored.append(
-                with_score(outside, model).select(
-                    F.lit(number).alias("trial"), F.lit(fold).alias("fold"), LABEL, "score"
-                )
-            )
-    areas = ranking_metrics(settled(union_all(scored)), ["trial", "fold"])
+        parts.append((settled(smote(inside, columns)) if resample else inside, outside))
+
+    def run(number: int, fold: int) -> None:
+        inside, outside = parts[fold]
+        params = trials[number]
+        weighted = with_class_weight(inside, params.get("positive_weight", 1.0), LABEL)
+        model = train(weighted, columns, _estimator_of(params, rounds))
+        with_score(outside, model).select(LABEL, "score").write.parquet(f"{path}/trial={number}/fold={fold}")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        jobs = [pool.submit(run, number, fold) for number in range(len(trials)) for fold in range(folds)]
+        for job in jobs:
+            job.result()
+    areas = ranking_metrics(spark.read.parquet(path), ["trial", "fold"])
     means = areas.groupBy("trial").agg(F.round(F.avg("roc_auc"), 6).alias("mean_roc_auc"))
-    named = df.sparkSession.createDataFrame(
+    named = spark.createDataFrame(
         [(i, {k: float(v) for k, v in p.items()}) for i, p in enumerate(trials)], "trial int, params map<string,double>"
     )
     return best_so_far(named.join(means, "trial"), "trial", "mean_roc_auc")

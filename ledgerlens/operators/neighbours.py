@@ -45,23 +45,23 @@ def nearest_neighbours(
     Distances are Euclidean, rounded to six decimals before they are compared. ``key`` is a unique string. A row has
     fewer than ``k`` neighbours only if the table is smaller than that.
     """
-    rows = df.select(F.col(key).cast("string").alias("id"), F.col(vector).alias("vec"))
-    lowest = W.partitionBy("vec").orderBy("id")
+    rows = df.select(F.col(key).cast("string").alias("_id"), F.col(vector).alias("vec"))
+    lowest = W.partitionBy("vec").orderBy("_id")
     points = settled(
         rows.select("*", F.row_number().over(lowest).alias("rn"))
         .where(F.col("rn") <= k + 1)
         .groupBy("vec")
-        .agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .agg(F.array_sort(F.collect_list("_id")).alias("ids"))
         .select(F.get("ids", F.lit(0)).alias("pid"), "vec", "ids")
     )
     found = _nearest_points(points, k + 1, leaf_points, chunk)
     listed = rows.join(points.select("vec", "pid"), "vec").join(found, "pid")
-    others = F.slice(F.filter("near", lambda entry: entry["id"] != F.col("id")), 1, k)
-    return listed.select(F.col("id").alias(key), F.posexplode(others).alias("pos", "entry")).select(
-        key,
-        (F.col("pos") + 1).alias("rank"),
-        F.col("entry.id").alias("neighbour"),
-        F.col("entry.distance").alias("distance"),
+    others = F.slice(F.filter("near", lambda entry: entry["id"] != F.col("_id")), 1, k)
+    return listed.select("_id", F.posexplode(others).alias("_pos", "_entry")).select(
+        F.col("_id").alias(key),
+        (F.col("_pos") + 1).alias("rank"),
+        F.col("_entry.id").alias("neighbour"),
+        F.col("_entry.distance").alias("distance"),
     )
 
 

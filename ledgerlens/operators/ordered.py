@@ -19,6 +19,7 @@ from ledgerlens.functions.numeric import rounded
 from ledgerlens.operators.small import any_null, bounded
 
 BUCKETS = 1024
+MIN_BUCKETS = 256
 MAX_BUCKETS = 65_536
 MAX_BUCKET_ROWS = 20_000_000
 
@@ -38,6 +39,12 @@ def with_buckets(df: DataFrame, columns: list[str], outputs: list[str], buckets:
     return bucketizer.transform(df)
 
 
+def _task_buckets(df: DataFrame) -> int:
+    """Buckets that are worked on whole: as many as the cluster has shuffle tasks, within bounds."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -45,7 +52,7 @@ def running_totals(
     by: list[str] | None = None,
     descending: bool = False,
     following: dict[str, str] | None = None,
-    buckets: int = BUCKETS // 4,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Running sums in ``order``, per ``by`` group, over a table with one row per (group, order value).
 
@@ -53,7 +60,7 @@ def running_totals(
     column to the name of its value in the next row.
     """
     by, following = by or [], following or {}
-    cut = with_buckets(df, [order], ["_bucket"], buckets)
+    cut = with_buckets(df, [order], ["_bucket"], buckets or _task_buckets(df))
     direction = F.desc if descending else F.asc
     first_of = F.max_by if descending else F.min_by
 
@@ -233,14 +240,14 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def numbered(
-    df: DataFrame, key: str, by: list[str] | None = None, seed: int = 42, buckets: int = BUCKETS // 4
+    df: DataFrame, key: str, by: list[str] | None = None, seed: int = 42, buckets: int | None = None
 ) -> DataFrame:
     """Number the rows 1..n in ``row_number``, per ``by`` group, by a hash of their unique ``key``.
 
     The hash spreads the rows evenly, so each bucket is numbered in parallel and shifted by the counts before it.
     """
     by = by or []
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)))
+    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets or _task_buckets(df))))
     before = W.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         spread.groupBy(*by, "_bucket")

@@ -84,9 +84,11 @@ def above_overall(df: DataFrame, key: str, out: str) -> DataFrame:
 
     The keys above the rate are a small table: broadcast where its counted size allows.
     """
-    rates = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(LABEL).alias("_rate"))
-    overall = df.agg(F.avg(LABEL)).scalar()
-    high = bounded(rates.where(F.col("_rate") > overall).select(key, F.lit(1).alias(out)))
+    counts = df.groupBy(key).agg(F.sum(LABEL).alias("_pos"), F.count(LABEL).alias("_n"))
+    whole = W.partitionBy(F.lit(0))
+    overall = ratio(F.sum("_pos").over(whole), F.sum("_n").over(whole))
+    marked = counts.select(key, (ratio(F.col("_pos"), F.col("_n")) > overall).alias("_above"))
+    high = bounded(marked.where(F.col("_above") & F.col(key).isNotNull()).select(key, F.lit(1).alias(out)))
     return df.join(high, key, "left").withColumn(out, F.coalesce(out, F.lit(0)))
 
 

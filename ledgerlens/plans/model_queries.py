@@ -152,10 +152,8 @@ def stream_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = streams.stream_transactions(
         spark, sf_dir, "transaction_id", "sender_id", "receiver_id", "device_id", "amount"
     )
-    running = streams.maintain_profiles(stream, f"{path}/pairs", f"{path}/state")
-    running.awaitTermination()
-    last = running.lastProgress["batchId"]
-    sender, _ = streams.maintained_profiles(spark, f"{path}/pairs", last)
+    streams.maintain_profiles(stream, f"{path}/pairs", f"{path}/state").awaitTermination()
+    sender, _ = streams.maintained_profiles(spark, f"{path}/pairs")
     return sender.withColumn("avg_amount", F.round("avg_amount", 4))
 
 
