@@ -9,6 +9,7 @@ be neither.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,16 +82,21 @@ def bin_counts(df: DataFrame, moments: DataFrame, columns: list[str] = DRIFT_NUM
     )
 
 
-def category_shares(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
-    """``(column, key, share)`` of the non-null values."""
+def category_counts(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
+    """``(column, key, n)`` of the non-null values."""
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in columns]
-    counts = (
-        df.select(F.inline(F.array(*entries))).where("key is not null").groupBy("column", "key").agg(
-            F.count("*").alias("n")
-        )
+    return (
+        df.select(F.inline(F.array(*entries)))
+        .where("key is not null")
+        .groupBy("column", "key")
+        .agg(F.count("*").alias("n"))
     )
-    totals = counts.groupBy("column").agg(F.sum("n").alias("_total"))
-    return counts.join(totals, "column").select("column", "key", ratio(F.col("n"), F.col("_total")).alias("share"))
+
+
+def category_shares(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
+    """``(column, key, share)`` of the non-null values. The window runs over one row a value."""
+    total = F.sum("n").over(W.partitionBy("column"))
+    return category_counts(df, columns).select("column", "key", ratio(F.col("n"), total).alias("share"))
 
 
 def build_baseline(df: DataFrame, label: bool = True) -> DataFrame:
@@ -131,44 +137,57 @@ def stored_moments(baseline: DataFrame) -> DataFrame:
     )
 
 
-def _psi(matched: DataFrame) -> DataFrame:
-    term = (F.col("cur") - F.col("ref")) * F.log(F.col("cur") / F.col("ref"))
-    return matched.groupBy("column").agg(F.round(F.sum(term), 4).alias("psi"))
+def _side(counts: DataFrame, side: str) -> DataFrame:
+    """Counts as one side of a comparison: ``(column, key, ref_n, cur_n)``."""
+    n, none = F.col("n").cast("double"), F.lit(0.0)
+    return counts.select(
+        "column",
+        F.col("key").cast("string").alias("key"),
+        (n if side == "ref" else none).alias("ref_n"),
+        (n if side == "cur" else none).alias("cur_n"),
+    )
 
 
-def _shares_of(counts: DataFrame, out: str) -> DataFrame:
-    totals = counts.groupBy("column").agg(F.sum("n").alias("_total"))
-    return counts.join(totals, "column").select("column", "bin", ratio(F.col("n"), F.col("_total")).alias(out))
+def _psi(sides: DataFrame) -> DataFrame:
+    """``(column, psi)`` of counts on two sides; what a side lacks counts as a small share there.
 
+    Summing both sides by key lines them up like a full outer join, with one exchange of counted rows.
+    """
+    lined = sides.groupBy("column", "key").agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n"))
+    whole = W.partitionBy("column")
 
-def psi_numeric(df: DataFrame, baseline: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
-    """``(column, psi)``. A bin without rows on one side counts as a small share there."""
-    held = baseline.where("kind = 'bin'").select(
-        "column", F.col("key").try_cast("int").alias("bin"), F.col("value").alias("n")
-    )
-    current = bin_counts(df, stored_moments(baseline), columns)
-    bins = df.sparkSession.range(BINS).select(F.col("id").cast("int").alias("bin"))
+    def share(name: str) -> Column:
+        return F.when(F.col(name) == 0, F.lit(EMPTY_SHARE)).otherwise(ratio(F.col(name), F.sum(name).over(whole)))
+
+    shares = lined.select("column", share("ref_n").alias("ref"), share("cur_n").alias("cur"))
+    term = (F.col("cur") - F.col("ref")) * F.log(F.col("cur") / F.col("ref"))
+    return shares.groupBy("column").agg(F.round(F.sum(term), 4).alias("psi"))
+
+
+def _numeric_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    held = baseline.where("kind = 'bin'").where(F.col("column").isin(columns))
+    current = bin_counts(df, stored_moments(baseline), columns).withColumnRenamed("bin", "key")
     names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
-    grid = bins.select(names, "bin")
-    matched = (
-        grid.join(_shares_of(held, "ref"), ["column", "bin"], "left")
-        .join(_shares_of(current, "cur"), ["column", "bin"], "left")
-        .fillna(EMPTY_SHARE, ["ref", "cur"])
+    every_bin = df.sparkSession.range(BINS).select(names, F.col("id").alias("key"), F.lit(0).alias("n"))
+    return union_all(
+        [_side(every_bin, "ref"), _side(held.withColumnRenamed("value", "n"), "ref"), _side(current, "cur")]
     )
-    return _psi(matched)
+
+
+def _categorical_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    steps = F.floor(F.col("value") * SHARE_STEPS).alias("n")
+    held = baseline.where("kind = 'category'").where(F.col("column").isin(columns)).select("column", "key", steps)
+    return _side(held.where("n > 0"), "ref").unionByName(_side(category_counts(df, columns), "cur"))
+
+
+def psi_numeric(df: DataFrame, baseline: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
+    """``(column, psi)`` over the ten reference bins. A bin without rows on a side counts as a small share there."""
+    return _psi(_numeric_sides(df, baseline, columns))
 
 
 def psi_categorical(df: DataFrame, baseline: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
     """``(column, psi)``. Reference shares are held in steps of 1/1000 and renormalised, so rarer ones vanish."""
-    held = (
-        baseline.where("kind = 'category'")
-        .select("column", "key", F.floor(F.col("value") * SHARE_STEPS).alias("steps"))
-        .where("steps > 0")
-    )
-    totals = held.groupBy("column").agg(F.sum("steps").alias("_total"))
-    reference = held.join(totals, "column").select("column", "key", ratio(F.col("steps"), F.col("_total")).alias("ref"))
-    current = category_shares(df, columns).withColumnRenamed("share", "cur")
-    return _psi(reference.join(current, ["column", "key"], "full_outer").fillna(EMPTY_SHARE, ["ref", "cur"]))
+    return _psi(_categorical_sides(df, baseline, columns))
 
 
 def label_shift(df: DataFrame, baseline: DataFrame, threshold: float = RATE_SHIFT_THRESHOLD) -> DataFrame:
@@ -211,8 +230,14 @@ def check_drift(
         return df.sparkSession.createDataFrame(
             [("*", "status", None, False, "no reference statistics: drift not checked")], REPORT_SCHEMA
         )
-    scores = psi_numeric(df, baseline).union(psi_categorical(df, baseline)).select(
-        "column", F.lit("psi").alias("measure"), F.col("psi").alias("value"), (F.col("psi") >= psi_threshold).alias("flagged")
+    sides = _numeric_sides(df, baseline, DRIFT_NUMERIC).unionByName(
+        _categorical_sides(df, baseline, DRIFT_CATEGORICAL)
+    )
+    scores = _psi(sides).select(
+        "column",
+        F.lit("psi").alias("measure"),
+        F.col("psi").alias("value"),
+        (F.col("psi") >= psi_threshold).alias("flagged"),
     )
     if DRIFT_LABEL in df.columns:
         scores = scores.unionByName(

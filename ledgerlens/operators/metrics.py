@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.labels import DECISION_THRESHOLD
 from ledgerlens.functions.numeric import ratio, rounded
 from ledgerlens.operators.ordered import running_totals
-from ledgerlens.operators.small import bounded
+from ledgerlens.operators.small import bounded, settled
 
 CLASS_NAMES = {0: "Legitimate", 1: "Fraud"}
 
@@ -36,8 +36,11 @@ def _with_totals(df: DataFrame, scores: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _curve(df: DataFrame, by: list[str], following: dict[str, str] | None = None) -> DataFrame:
-    """The score table with true and false positives at each score as the threshold, and the class totals."""
-    scores = score_table(df, by)
+    """The score table with true and false positives at each score as the threshold, and the class totals.
+
+    The score table is written once, so the scored rows are read once however often the curve is.
+    """
+    scores = settled(score_table(df, by))
     placed = running_totals(scores, "score", {"pos": "tp", "neg": "fp"}, by, descending=True, following=following)
     return _with_totals(placed, scores, by)
 

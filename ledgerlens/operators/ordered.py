@@ -8,10 +8,11 @@ only the balance of the work; any cut points give the same answer.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ BUCKETS = 1024
 MIN_BUCKETS = 256
 MAX_BUCKETS = 65_536
 MAX_BUCKET_ROWS = 20_000_000
+SMALL_ROWS = 1_000_000
 
 
 def cut_points(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> list[list[float]]:
@@ -57,9 +59,19 @@ def running_totals(
     """Running sums in ``order``, per ``by`` group, over a table with one row per (group, order value).
 
     ``sums`` maps an input column to the name of its running total (the row itself included); ``following`` maps a
-    column to the name of its value in the next row.
+    column to the name of its value in the next row. The table is read several times, so it should be a written one.
+    One counted at no more than ``SMALL_ROWS`` rows is a single window; naming ``buckets`` takes the other way at any
+    size.
     """
     by, following = by or [], following or {}
+    if buckets is None and df.count() <= SMALL_ROWS:
+        whole = W.partitionBy(*(by or [F.lit(0)])).orderBy(F.desc(order) if descending else F.asc(order))
+        upto = whole.rowsBetween(W.unboundedPreceding, 0)
+        return df.select(
+            "*",
+            *[F.sum(c).over(upto).alias(out) for c, out in sums.items()],
+            *[F.lead(c).over(whole).alias(out) for c, out in following.items()],
+        )
     cut = with_buckets(df, [order], ["_bucket"], buckets or _task_buckets(df))
     direction = F.desc if descending else F.asc
     first_of = F.max_by if descending else F.min_by
@@ -95,21 +107,25 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     by: list[str] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     approximate: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles as ``(*by, column, prob, value)``; rows with a NULL key are left out.
 
-    The source is read three times (sketch, bucket counts, target buckets) and never shuffled whole: only the rows of
-    the buckets that hold a wanted rank are exchanged, about two in ``buckets`` of the rows for each probability, and
-    those are counted by value first. A bucket too wide to sort in one task is cut finer and counted again.
-    ``approximate=True`` is the one-pass sketch.
+    A table counted at no more than ``SMALL_ROWS`` rows fits Spark's own percentile buffers. Beyond that the source is
+    read three times (sketch, bucket counts, target buckets) and never shuffled whole: only the rows of the buckets
+    that hold a wanted rank are exchanged, about two in ``buckets`` of the rows for each probability, and those are
+    counted by value first. A bucket too wide to sort in one task is cut finer and counted again. Naming ``buckets``
+    takes this way at any size; ``approximate=True`` is the one-pass sketch.
     """
     by = by or []
     numbers = df.where(~any_null(by)).select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     if approximate:
-        return _sketched(numbers, columns, probabilities, by)
+        return _buffered(numbers, columns, probabilities, by, lambda c: F.percentile_approx(c, probabilities, 100_000))
+    if buckets is None and numbers.count() <= SMALL_ROWS:
+        return _buffered(numbers, columns, probabilities, by, lambda c: F.percentile(c, probabilities))
 
+    buckets = buckets or BUCKETS
     group = [*by, "column"]
     while True:
         long = _long_with_buckets(numbers, columns, by, buckets)
@@ -172,14 +188,17 @@ def _target_buckets(long: DataFrame, group: list[str], probabilities: list[float
     return targets, widest or 0
 
 
-def _sketched(numbers: DataFrame, columns: list[str], probabilities: list[float], by: list[str]) -> DataFrame:
-    sketches = numbers.groupBy(*by).agg(*[F.percentile_approx(c, probabilities, 100_000).alias(c) for c in columns])
+def _buffered(
+    numbers: DataFrame, columns: list[str], probabilities: list[float], by: list[str], quantiles: Callable[[str], Column]
+) -> DataFrame:
+    """One aggregation that keeps a buffer for each group and column."""
+    arrays = numbers.groupBy(*by).agg(*[quantiles(c).alias(c) for c in columns])
     entries = [
         F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.col(c)[i].alias("value"))
         for c in columns
         for i, p in enumerate(probabilities)
     ]
-    return sketches.select(*by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    return arrays.select(*by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
 def wide_quantiles(

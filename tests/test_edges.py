@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import geo, labels, money, temporal
 from ledgerlens.functions.numeric import clipped, rounded
-from ledgerlens.operators import cleaning, drift, metrics, profiles, rates, scaling, validation
+from ledgerlens.operators import cleaning, drift, metrics, ordered, profiles, rates, scaling, validation
 from ledgerlens.operators.features import features
 from ledgerlens.sources.contract import TRANSACTION_RULES
 from ledgerlens.sources.files import SourceError
@@ -258,6 +258,14 @@ def test_ranking_metrics_by_hand(seven):
     assert metrics.average_precision(seven).first()[0] == 0.588889
 
 
+def test_metrics_do_not_depend_on_the_size_of_the_score_table(seven, monkeypatch):
+    """The bucketed way, taken by large score tables, gives the same figures and points."""
+    small = [sorted(map(str, f(seven).collect())) for f in (metrics.ranking_metrics, metrics.roc_points, metrics.pr_points)]
+    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    large = [sorted(map(str, f(seven).collect())) for f in (metrics.ranking_metrics, metrics.roc_points, metrics.pr_points)]
+    assert small == large
+
+
 def test_roc_points_leave_out_straight_lines(seven):
     points = {(r["threshold"], r["fpr"], r["tpr"]) for r in metrics.roc_points(seven).collect()}
     assert points == {

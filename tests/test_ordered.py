@@ -17,7 +17,7 @@ def skewed(spark):
     return spread + hot + [("a", None), ("b", None), (None, 3.0)]
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 1024])
+@pytest.mark.parametrize("buckets", [None, 2, 16, 1024])
 def test_exact_quantiles_equal_numpy(spark, skewed, buckets):
     probabilities = [0.0, 0.125, 0.25, 0.5, 0.75, 0.99, 1.0]
     df = spark.createDataFrame(skewed, "g string, x double").repartition(5)
@@ -39,9 +39,19 @@ def test_wide_bucket_is_cut_finer(spark, skewed, monkeypatch):
     assert got["b"] == 5.0
 
 
-def test_quantiles_of_nothing(spark):
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_quantiles_of_nothing(spark, buckets):
     df = spark.createDataFrame([("a", None)], "g string, x double")
-    assert ordered.exact_quantiles(df, ["x"], [0.5], ["g"]).count() == 0
+    assert ordered.exact_quantiles(df, ["x"], [0.5], ["g"], buckets=buckets).count() == 0
+
+
+def test_size_decides_the_way_but_not_the_answer(spark, skewed, monkeypatch):
+    df = spark.createDataFrame(skewed, "g string, x double")
+    keys = ["g", "column", "prob"]
+    small = ordered.exact_quantiles(df, ["x"], [0.25, 0.5], ["g"]).toPandas().set_index(keys)["value"]
+    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    large = ordered.exact_quantiles(df, ["x"], [0.25, 0.5], ["g"]).toPandas().set_index(keys)["value"]
+    assert large.to_dict() == pytest.approx(small.to_dict(), abs=1e-12)
 
 
 def test_sketch_variant_is_close(spark, skewed):
@@ -51,7 +61,7 @@ def test_sketch_variant_is_close(spark, skewed):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("buckets", [2, 7, 256])
+@pytest.mark.parametrize("buckets", [None, 2, 7, 256])
 def test_running_totals_equal_a_plain_cumsum(spark, descending, buckets):
     rng = np.random.default_rng(3)
     frame = pd.DataFrame({"g": np.repeat(["a", "b"], 60), "s": np.tile(np.arange(60) / 60, 2)})
