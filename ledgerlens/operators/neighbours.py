@@ -30,7 +30,7 @@ from ledgerlens.operators.small import settled
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF_POINTS = 2048
-MAX_LEAVES = 4096
+MAX_LEAVES = 32_768
 SAMPLE_PER_LEAF = 16
 VISIT_CHUNK = 4096
 DIGITS = 6
@@ -55,7 +55,8 @@ def nearest_neighbours(
         .select(F.get("ids", F.lit(0)).alias("pid"), "vec", "ids")
     )
     found = _nearest_points(points, k + 1, leaf_points, chunk)
-    listed = rows.join(points.select("vec", "pid"), "vec").join(found, "pid")
+    # Near lists are matched to points first, so copies of a hot vector meet one join, not two.
+    listed = rows.join(points.join(found, "pid").select("vec", "near"), "vec")
     others = F.slice(F.filter("near", lambda entry: entry["id"] != F.col("_id")), 1, k)
     return listed.select("_id", F.posexplode(others).alias("_pos", "_entry")).select(
         F.col("_id").alias(key),
@@ -86,20 +87,29 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
 
     placed = settled(placed)
     local = settled(placed.groupBy("leaf").applyInPandas(inside, inside_schema))
-    boxes = _boxes(placed)
+    low, high = _node_boxes(placed, depth)
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leaves, low, high = boxes
+        """Walk the tree with all rows of a batch at once, dropping at each node the rows its box is too far for."""
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            vec, radius, own = np.stack(pdf["vec"]), pdf["radius"].to_numpy(), pdf["leaf"].to_numpy()
-            for i, leaf in enumerate(leaves):
-                gap = np.maximum(0.0, np.maximum(low[i] - vec, vec - high[i]))
-                hit = (np.sqrt((gap * gap).sum(axis=1)) <= radius + SLACK) & (own != leaf)
-                if hit.any():
-                    part = pdf.loc[hit, ["pid", "vec", "radius"]]
-                    yield part.assign(leaf=np.int32(leaf))
+            vec, own = np.stack(pdf["vec"]), pdf["leaf"].to_numpy()
+            reach = pdf["radius"].to_numpy() + SLACK
+            pending = [(0, np.arange(len(pdf)))]
+            while pending:
+                node, at = pending.pop()
+                gap = np.maximum(0.0, np.maximum(low[node] - vec[at], vec[at] - high[node]))
+                at = at[np.sqrt((gap * gap).sum(axis=1)) <= reach[at]]
+                if len(at) == 0:
+                    continue
+                leaf = node - (2**depth - 1)
+                if leaf < 0:
+                    pending += [(2 * node + 1, at), (2 * node + 2, at)]
+                    continue
+                at = at[own[at] != leaf]
+                if len(at):
+                    yield pdf.iloc[at][["pid", "vec", "radius"]].assign(leaf=np.int32(leaf))
 
     asked = settled(
         local.select("leaf", "pid", "vec", "radius").mapInPandas(
@@ -172,13 +182,23 @@ def _median_cuts(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return dims, cuts
 
 
-def _boxes(placed: DataFrame) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Bounding box of every leaf: at most 4,096 rows, so they fit in a task closure."""
+def _node_boxes(placed: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounding box of every node, leaves last; an empty one is infinitely far.
+
+    Spark finds the leaves' boxes, at most ``MAX_LEAVES`` rows a dimension; the inner ones enclose their two children.
+    """
     long = placed.select("leaf", F.posexplode("vec").alias("dim", "x"))
     bounds = long.groupBy("leaf", "dim").agg(F.min("x").alias("low"), F.max("x").alias("high")).toPandas()
-    low = bounds.pivot(index="leaf", columns="dim", values="low")
-    high = bounds.pivot(index="leaf", columns="dim", values="high")
-    return [int(leaf) for leaf in low.index], low.to_numpy(), high.to_numpy()
+    leaves = 2**depth
+    low = np.full((2 * leaves - 1, bounds["dim"].max() + 1), np.inf)
+    high = -low
+    node = bounds["leaf"].to_numpy() + leaves - 1
+    low[node, bounds["dim"]] = bounds["low"]
+    high[node, bounds["dim"]] = bounds["high"]
+    for parent in range(leaves - 2, -1, -1):
+        low[parent] = np.minimum(low[2 * parent + 1], low[2 * parent + 2])
+        high[parent] = np.maximum(high[2 * parent + 1], high[2 * parent + 2])
+    return low, high
 
 
 def _scan(queries: np.ndarray, radius: np.ndarray | None, owners: np.ndarray, ids: list, k: int) -> tuple[list, list]:
