@@ -47,3 +47,13 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
 def whole_days(later: Column, earlier: Column) -> Column:
     """Completed days from ``earlier`` to ``later``, two wall-clock times in that order."""
     return F.extract(F.lit("DAY"), later - earlier).cast("bigint")
+
+
+def wall_to_instant(wall: Column) -> Column:
+    """The wall-clock time read as UTC, as the instant a watermark needs, whatever the session time zone."""
+    return F.from_utc_timestamp(wall.cast("timestamp"), F.current_timezone())
+
+
+def instant_to_wall(instant: Column) -> Column:
+    """The inverse of :func:`wall_to_instant`."""
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
