@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.numeric import finite, flag
-from ledgerlens.operators.small import any_null
 from ledgerlens.sources.contract import TRANSACTION_RULES
 from ledgerlens.sources.files import SourceError
 
@@ -142,7 +141,3 @@ def align_columns(df: DataFrame, columns: list[str], fill: float = 0.0) -> DataF
 def pass_through(df: DataFrame, columns: list[str]) -> list[str]:
     """Those of ``columns`` the table has."""
     return [c for c in columns if c in df.columns]
-
-
-def rows_with_nulls(df: DataFrame) -> DataFrame:
-    return df.where(any_null(df.columns))

@@ -102,13 +102,15 @@ def fit_models(df: DataFrame, columns: list[str], estimators: dict[str, Estimato
 
 
 def compare_models(test: DataFrame, fitted: list[Compared], threshold: float = DECISION_THRESHOLD) -> DataFrame:
-    """One row a model: ranking metrics and metrics at the threshold, from one table of all scores."""
+    """One row a model: ranking metrics, metrics at the threshold and training time, from one table of all scores."""
     scored = settled(
         union_all(
             [with_score(test, m.model).select(F.lit(m.name).alias("model"), LABEL, "score") for m in fitted]
         )
     )
-    return ranking_metrics(scored, ["model"]).join(threshold_sweep(scored, [threshold], ["model"]), "model")
+    timed = test.sparkSession.createDataFrame([(m.name, m.seconds) for m in fitted], "model string, train_seconds double")
+    metrics = ranking_metrics(scored, ["model"]).join(threshold_sweep(scored, [threshold], ["model"]), "model")
+    return metrics.join(timed, "model").orderBy(F.desc("roc_auc"))
 
 
 def ablation(

@@ -45,6 +45,19 @@ def nearest_neighbours(
     Distances are Euclidean, rounded to six decimals before they are compared. ``key`` is a unique string. A row has
     fewer than ``k`` neighbours only if the table is smaller than that.
     """
+    lists = neighbour_lists(df, key, vector, k, leaf_points, chunk)
+    return lists.select(key, F.posexplode("near").alias("_pos", "_entry")).select(
+        key,
+        (F.col("_pos") + 1).alias("rank"),
+        F.col("_entry.id").alias("neighbour"),
+        F.col("_entry.distance").alias("distance"),
+    )
+
+
+def neighbour_lists(
+    df: DataFrame, key: str, vector: str, k: int, leaf_points: int = LEAF_POINTS, chunk: int = VISIT_CHUNK
+) -> DataFrame:
+    """``(key, near)``: the neighbours of each row as one list of (distance, id), nearest first."""
     rows = df.select(F.col(key).cast("string").alias("_id"), F.col(vector).alias("vec"))
     lowest = W.partitionBy("vec").orderBy("_id")
     points = settled(
@@ -58,12 +71,7 @@ def nearest_neighbours(
     # Near lists are matched to points first, so copies of a hot vector meet one join, not two.
     listed = rows.join(points.join(found, "pid").select("vec", "near"), "vec")
     others = F.slice(F.filter("near", lambda entry: entry["id"] != F.col("_id")), 1, k)
-    return listed.select("_id", F.posexplode(others).alias("_pos", "_entry")).select(
-        F.col("_id").alias(key),
-        (F.col("_pos") + 1).alias("rank"),
-        F.col("_entry.id").alias("neighbour"),
-        F.col("_entry.distance").alias("distance"),
-    )
+    return listed.select(F.col("_id").alias(key), others.alias("near"))
 
 
 def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) -> DataFrame:

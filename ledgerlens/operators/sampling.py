@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.neighbours import nearest_neighbours
+from ledgerlens.operators.neighbours import neighbour_lists
 from ledgerlens.operators.ordered import numbered
 from ledgerlens.operators.small import bounded, settled
 
@@ -105,10 +105,9 @@ def smote(
     each, extra = divmod(missing, counted["pos"])
 
     positives = settled(df.where(F.col(label) == 1).select(key, vector.alias("vec")))
-    near = nearest_neighbours(positives, key, "vec", neighbours)
-    per_seed = near.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour"))).alias("near"))
+    near = neighbour_lists(positives, key, "vec", neighbours)
     copies = F.lit(each) + F.when(F.col("row_number") <= extra, 1).otherwise(0)
-    seeds = numbered(positives, key).where(copies > 0).join(per_seed, key)
+    seeds = numbered(positives, key).where(copies > 0).join(near, key)
     picked = F.concat_ws("/", F.col(key), F.col("copy"))
     drawn = seeds.select(
         key, "vec", "near", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy")
@@ -116,7 +115,7 @@ def smote(
         key,
         "vec",
         "copy",
-        F.get("near", F.pmod(id_number(picked, f"n{seed}"), F.size("near")).cast("int"))["neighbour"].alias("other"),
+        F.get("near", F.pmod(id_number(picked, f"n{seed}"), F.size("near")).cast("int"))["id"].alias("other"),
         (id_number(picked, f"u{seed}") / F.lit(float(HASH_SPAN))).alias("share"),
     )
     others = positives.select(F.col(key).alias("other"), F.col("vec").alias("other_vec"))

@@ -143,6 +143,41 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
+@query("stream_velocity_sliding", TX + """
+, w as (select sender_id, is_fraud, unnest([time_bucket(interval 12 hours, "timestamp"),
+  time_bucket(interval 12 hours, "timestamp") - interval 12 hours]) as s from tx)
+select sender_id, strftime(s, '%Y-%m-%d %H:%M') as window_start, count(*) as tx_count, cast(sum(is_fraud) as bigint) as fraud
+from w where s + interval 1 day <= (select max("timestamp") from tx) - interval 1 hour group by all
+""")
+def stream_velocity_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a day every twelve hours."""
+    path = scratch(spark)
+    stream = streams.stream_transactions(spark, sf_dir, "sender_id", "timestamp", "is_fraud")
+    sliding = streams.velocity_windows(stream, "1 day", "12 hours")
+    streams.write_appends(sliding, f"{path}/out", f"{path}/state").awaitTermination()
+    out = spark.read.parquet(f"{path}/out")
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
+@query("stream_sessions", TX + """
+, marked as (select sender_id, "timestamp" as t, case when "timestamp" < lag("timestamp") over (partition by sender_id
+  order by "timestamp") + interval 6 hours then 0 else 1 end as opens from tx)
+, numbered as (select *, sum(opens) over (partition by sender_id order by t rows unbounded preceding) as s from marked)
+, closed as (select sender_id, min(t) as a, max(t) + interval 6 hours as b, count(*) as tx_count from numbered
+  group by sender_id, s)
+select sender_id, strftime(a, '%Y-%m-%d %H:%M:%S') as session_start, strftime(b, '%Y-%m-%d %H:%M:%S') as session_end,
+ tx_count from closed where b <= (select max("timestamp") from tx) - interval 1 hour
+""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sender's sessions, closed by six hours without a row."""
+    path = scratch(spark)
+    stream = streams.stream_transactions(spark, sf_dir, "sender_id", "timestamp")
+    sessions = streams.session_windows(stream, "6 hours")
+    streams.write_appends(sessions, f"{path}/out", f"{path}/state").awaitTermination()
+    shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("session_start", "session_end")}
+    return spark.read.parquet(f"{path}/out").withColumns(shown)
+
+
 @query("stream_profiles", TX + profiles_sql("tx") + """
 select sender_id, total_tx, unique_recv, unique_devices, round(avg_amount, 4) as avg_amount, primary_device from sp
 """)

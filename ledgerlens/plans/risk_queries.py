@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import geo, labels, temporal
+from ledgerlens.functions import geo, labels
 from ledgerlens.functions.numeric import flag, rounded
 from ledgerlens.operators import ordered, rates, summaries
 from ledgerlens.operators.models import best_so_far as running_best
