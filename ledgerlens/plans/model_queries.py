@@ -13,6 +13,7 @@ from ledgerlens.operators import models, sampling
 from ledgerlens.operators.features import FEATURES
 from ledgerlens.operators.metrics import ranking_metrics
 from ledgerlens.operators.small import settled
+from ledgerlens.plans.metric_queries import CURVE
 from ledgerlens.plans.quality_queries import scratch
 from ledgerlens.plans.registry import TX, profiles_sql, query
 from ledgerlens.plans.runs import Prepared, prepare, score_batch
@@ -104,7 +105,11 @@ def score_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_batch(batch, prepared.profiles, prepared.scaler, _trained(prepared), "2024-01-31")
 
 
-@query("run_metrics")
+@query("run_metrics", CURVE + """
+select 'evaluate' as stage, 'formula' as model, 'roc_auc' as name,
+ round(sum(p*(alln - fp + n/2.0::double))/(max(allp)::double*max(alln)::double), 6) as "value" from curve
+union all select 'evaluate', 'formula', 'average_precision', round(sum(p*(tp::double/(tp+fp)))/max(allp), 6) from curve
+""")
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the formula score appended to a metric table twice; the latest of each name."""
     path = scratch(spark)
