@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, token_counts
+from ledgerlens.llm import exact_dedup, pieces, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +52,76 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     found = token_counts.prefix_tables(table(spark, sf_dir, "documents"), path, with_steps=False)
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "fit_chars")
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+URL_RULES = [
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+]
+
+
+def _url_sql() -> str:
+    def level(k: int) -> str:
+        parent = ", ".join(["host", *[f"t{i}" for i in range(1, k)]])
+        return f"""
+c{k} as (select {parent}, s{k}, sum(labelled) as nc, sum(bad) as bc from tree{k - 1} group by all),
+w{k} as (select {parent}, count(*) as children, sum(nc) as np, sum(bc) as bp from c{k} group by all),
+d{k} as (select {parent}, s{k}, children, nc::double as nc, np::double as np, bp::double as bp,
+  bc::double * (np::double - nc::double) - (bp::double - bc::double) * nc::double as gap
+  from c{k} join w{k} using ({parent})),
+n{k} as (select {parent}, s{k},
+  case when children <= {url_templates.MAX_CHILDREN}
+    and gap * gap * np > {url_templates.Z_SQUARED}::double * nc * (np - nc) * bp * (np - bp) then s{k} else '*' end as t{k}
+  from d{k}),
+tree{k} as (select tree{k - 1}.*, n{k}.t{k} from tree{k - 1} join n{k} using ({parent}, s{k})),"""
+
+    def segment(k: int) -> str:
+        return f"coalesce(parts[{k + 1}], '')"
+
+    third = f"case when len(parts) > 4 then '**' else {segment(3)} end"
+    cut = ", ".join(
+        f"case when regexp_matches({s}, '[0-9]') then '*' else {s} end as s{k}"
+        for k, s in ((1, segment(1)), (2, segment(2)), (3, third))
+    )
+    fits = " ".join(
+        f"when (host = '{r.partition('/')[0]}' or ends_with(host, '.{r.partition('/')[0]}'))"
+        f" and starts_with(path, '/{r.partition('/')[2]}') then {{{i}}}"
+        for i, (r, _) in sorted(enumerate(URL_RULES), key=lambda x: -len(x[1][0]))
+    )
+    rule = fits.format(*[f"'{r}'" for r, _ in URL_RULES])
+    verdict = fits.format(*[f"'{v}'" for _, v in URL_RULES])
+    weight = f"{url_templates.PRIOR_WEIGHT}::double"
+    return f"""
+with u0 as (select page_id, case when instr(coalesce(url, ''), '://') > 0
+  then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+u1 as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as h from u0),
+u2 as (select page_id, translate(h, '{UPPER}', '{LOWER}') as host,
+  regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') as path from u1),
+u3 as (select *, string_split(path, '/') as parts from u2),
+u as (select page_id, host, path, {cut} from u3),
+known as (select doc_id as page_id, max(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad
+  from labels group by doc_id),
+tree0 as (select host, s1, s2, s3, count(bad) as labelled, coalesce(sum(bad), 0) as bad
+  from u left join known using (page_id) group by all),
+prior as (select sum(bad)::double / sum(labelled) as p from tree0),{level(1)}{level(2)}{level(3)}
+shares as (select host, t1, t2, t3, (sum(bad)::double + {weight} * p) / (sum(labelled)::double + {weight}) as purity
+  from tree3, prior group by host, t1, t2, t3, p)
+select page_id, host, path, case {rule} end as rule,
+  coalesce(case {verdict} end, case when purity > {url_templates.BLOCK_SHARE}::double then 'block' else 'allow' end)
+    as verdict,
+  concat_ws('/', '', t1, t2, t3) as template, round(purity, 9) as purity
+from u join tree3 using (host, s1, s2, s3) join shares using (host, t1, t2, t3)"""
+
+
+@query("op9_url_filters", _url_sql())
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.coalesce(bad, F.lit(0)).alias("bad"))
+    return url_templates.filter_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
