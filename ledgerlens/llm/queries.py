@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, pieces, token_counts, url_templates
+from ledgerlens.llm import decontaminate, exact_dedup, language_id, pieces, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,3 +125,50 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.coalesce(bad, F.lit(0)).alias("bad"))
     return url_templates.filter_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language_id.fit(docs.where(~language_id.held_out()).select("text", "lang"))
+    texts = docs.select("doc_id", "text", language_id.held_out().alias("held_out"))
+    return language_id.predict(texts, net).drop("text")
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{u}', '{l}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
+    u=UPPER, l=LOWER
+)
+
+
+@query(
+    "op2_decontamination",
+    f"""
+with dw as (select doc_id, {_WORDS} as w from documents),
+bw as (select item_id, {_WORDS} as w from benchmark),
+items as (select item_id, w, least(10, len(w)) as n from bw where len(w) > 0),
+windows as (select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as g
+  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from items)),
+lengths as (select distinct n from windows),
+grams as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as g
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, lengths where len(w) >= n)),
+found as (select doc_id, item_id, n, i from grams join windows using (n, g)),
+hits as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as id from found) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from dw left join hits using (doc_id) left join named using (doc_id)""",
+)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    hit = decontaminate.span_words()
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
