@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, exact_dedup, language_id, pieces, token_counts, url_templates
+from ledgerlens.llm import decontaminate, exact_dedup, language_id, near_dups, pieces, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +172,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@query("op8_near_dedup")
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
