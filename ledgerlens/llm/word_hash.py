@@ -10,8 +10,12 @@ _MASK = (1 << 64) - 1
 _BYTES = np.random.default_rng(1234567).integers(1, 2**63, 256, dtype=np.uint64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-SPACES = np.zeros(256, bool)
-SPACES[[0x20, *range(0x09, 0x0E)]] = True
+# Classes of bytes: 0 stands between words, runs of any other class are words.
+SPACES = np.ones(256, np.uint8)
+SPACES[[0x20, *range(0x09, 0x0E)]] = 0
+PUNCTUATED = np.full(256, 2, np.uint8)
+PUNCTUATED[[*range(0x21), 0x7F]] = 0
+PUNCTUATED[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -34,13 +38,14 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def words(raw: bytes, outside: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of a text; A-Z count as a-z, ``outside`` marks the bytes between words."""
+def words(raw: bytes, classes: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word of a text; A-Z count as a-z."""
     data = LOWER[np.frombuffer(raw, dtype=np.uint8)]
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~outside[data]
-    edge = np.diff(inside)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    kinds = classes[data]
+    starts = np.flatnonzero(np.diff(kinds, prepend=np.uint8(0)) != 0)
+    ends = np.append(starts[1:], len(data))
+    held = kinds[starts] > 0
+    starts, ends = starts[held], ends[held]
     if not len(starts):
         return np.zeros(0, np.uint64), starts
     up, down = _power_tables(len(data) + 1)
