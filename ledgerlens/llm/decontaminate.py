@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm.common import fresh
 from ledgerlens.llm.fm_index import FmIndex
+from ledgerlens.llm.spans import ARROW_SPANS, SPANS, merged
 
 WINDOW = 10
 SHARD_WORDS = 500_000
@@ -119,20 +120,6 @@ def _search_shard(words: list[list[bytes]], phrases: Phrases) -> tuple[list[list
     return spans, items
 
 
-def _merged(one: list[tuple[int, int]], other: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted([*one, *other]):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((begin, end))
-    return out
-
-
-SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
-ARROW_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-
-
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -179,7 +166,7 @@ def find_leaks(
                 flush()
                 if blocks > 1:
                     before = [[(s["begin"], s["end"]) for s in x] for x in batch.column(kept + 1).to_pylist()]
-                    spans = [_merged(a, b) for a, b in zip(spans, before, strict=True)]
+                    spans = [merged([*a, *b]) for a, b in zip(spans, before, strict=True)]
                     items = [sorted({*a, *b}) for a, b in zip(items, batch.column(kept + 2).to_pylist(), strict=True)]
                 named = [[{"begin": b, "end": e} for b, e in s] for s in spans]
                 columns = [batch.column(i) for i in range(kept)]

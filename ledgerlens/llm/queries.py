@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, exact_dedup, importance, language_id, near_dups, pieces, token_counts, url_templates
+from ledgerlens.llm import chunk_dedup, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,3 +183,8 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), good)
+
+
+@query("op10_chunk_dedup")
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.dedup_chunks(table(spark, sf_dir, "documents"))
