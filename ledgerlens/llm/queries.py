@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chunk_dedup, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, token_counts, url_templates
+from ledgerlens.llm import chunk_dedup, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,3 +188,8 @@ def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_chunk_dedup")
 def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.dedup_chunks(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
