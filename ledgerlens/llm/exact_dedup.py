@@ -16,6 +16,7 @@ them; an empty table gives an empty table; columns other than doc_id and text pa
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,42 +28,45 @@ BUCKET_KEYS = 2048
 KEY_BITS = 64
 
 
-def _leading(bits: int, depth: Column | int, key_bits: int) -> Column:
+def _leading(depth: Column, key_bits: int) -> Column:
     """The first ``depth`` of the ``key_bits`` bits of a key, as a number."""
-    if depth == 0:
-        return F.lit(0).cast("long")
-    return F.shiftrightunsigned("key", key_bits - depth)
+    return F.when(depth == 0, F.lit(0).cast("long")).otherwise(
+        F.call_function("shiftrightunsigned", F.col("key"), F.lit(key_bits) - depth)
+    )
 
 
-def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS) -> tuple[DataFrame, int]:
-    """The directory ``(slot, bucket, local_depth)`` over a written table of distinct keys, and its global depth.
+def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS) -> tuple[DataFrame, list[int]]:
+    """The directory ``(local_depth, prefix, bucket)`` over a written table of distinct keys, and the depths in use.
 
-    A bucket is named by its first slot. It holds at most ``bucket_keys`` keys unless the key has no bits left.
+    A bucket holds the keys with one prefix of ``local_depth`` bits, at most ``bucket_keys`` of them unless the key has
+    no bits left; it is named by the first key of its range. A slot of the doubled directory that points to a bucket of
+    less depth is not written out: a key finds its bucket by its prefix of each depth in use, usually one or two.
     """
     n = keys.count()
-    depth = min(key_bits - 1, max(0, math.ceil(math.log2(max(1, n) / bucket_keys))))
-    counted = keys.groupBy(_leading(key_bits, depth, key_bits).alias("prefix")).agg(F.count("*").alias("n"))
-    counted = settled(counted.withColumn("local_depth", F.lit(depth)))
-    done = []
-    while True:
-        over = counted.where(F.col("n") > bucket_keys)
-        if depth >= key_bits - 1 or over.isEmpty():
-            done.append(counted)
-            break
-        done.append(counted.where(F.col("n") <= bucket_keys))
-        inside = keys.join(
-            over.select("prefix"), _leading(key_bits, depth, key_bits) == F.col("prefix"), "left_semi"
+    depth = min(key_bits, max(0, math.ceil(math.log2(max(1, n) / bucket_keys))))
+
+    def counted(inside: DataFrame) -> DataFrame:
+        prefix = _leading(F.lit(depth), key_bits)
+        return settled(
+            inside.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).withColumn("local_depth", F.lit(depth))
         )
+
+    level = counted(keys)
+    leaves, depths = [], [depth]
+    while depth < key_bits:
+        over = level.where(F.col("n") > bucket_keys).select("prefix")
+        if over.isEmpty():
+            break
+        leaves.append(level.where(F.col("n") <= bucket_keys))
+        keys = keys.join(over, _leading(F.lit(depth), key_bits) == F.col("prefix"), "left_semi")
         depth += 1
-        halves = inside.groupBy(_leading(key_bits, depth, key_bits).alias("prefix")).agg(F.count("*").alias("n"))
-        counted = settled(halves.withColumn("local_depth", F.lit(depth)))
-    leaves = done[0]
-    for part in done[1:]:
-        leaves = leaves.unionByName(part)
-    first = F.expr(f"shiftleft(prefix, {depth} - local_depth)")
-    last = F.expr(f"shiftleft(prefix + 1, {depth} - local_depth) - 1")
-    slots = leaves.select(F.explode(F.sequence(first, last)).alias("slot"), first.alias("bucket"), "local_depth")
-    return slots, depth
+        depths.append(depth)
+        level = counted(keys)
+    buckets = reduce(DataFrame.unionByName, leaves, level)
+    first = F.when(F.col("local_depth") == 0, F.lit(0).cast("long")).otherwise(
+        F.call_function("shiftleft", F.col("prefix"), F.lit(key_bits) - F.col("local_depth"))
+    )
+    return buckets.select("local_depth", "prefix", first.alias("bucket")), depths
 
 
 def build_index(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +85,9 @@ def build_index(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int =
         )
     )
     raws = settled(entries.groupBy("key", "raw").agg(F.count("*").alias("rows")))
-    slots, depth = directory(settled(raws.select("key").distinct()), bucket_keys, key_bits)
-    placed = raws.withColumn("slot", _leading(key_bits, depth, key_bits)).join(slots, "slot")
+    buckets, depths = directory(settled(raws.select("key").distinct()), bucket_keys, key_bits)
+    tried = raws.select("*", F.explode(F.array(*[F.lit(d) for d in depths])).alias("local_depth"))
+    placed = tried.withColumn("prefix", _leading(F.col("local_depth"), key_bits)).join(buckets, ["local_depth", "prefix"])
     index = placed.select("bucket", "key", "raw", "rows").hint("rebalance", "bucket")
     return entries, settled(index)
 
