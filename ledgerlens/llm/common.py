@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LONG_MAX = 2**63 - 1
@@ -36,3 +36,13 @@ def text_key(column: str = "text") -> list[Column]:
     """Two 64-bit hashes that stand for a text when its row is looked up again."""
     text = whole_text(column)
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of 8 MB where the session has the default of 64 MB.
+
+    Texts and shingle sets are wide rows, and every core of an executor holds a batch on both sides of the pipe.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("64MB", "64m", "67108864", "67108864b"):
+        spark.conf.set(name, "8m")

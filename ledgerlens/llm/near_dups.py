@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import fresh, text_key, whole_text
+from ledgerlens.llm.common import bounded_batches, fresh, text_key, whole_text
 from ledgerlens.llm.components import component_labels
 from ledgerlens.llm.word_hash import mix, shingles, words
 from ledgerlens.operators.small import settled
@@ -226,6 +226,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
 
 def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, t1, t2 (hashes of the text), n_shingles, class ``c`` and component_id for each row."""
+    bounded_batches(docs.sparkSession)
     described = describe_sets(docs, width)
     classes = settled(
         described.where("n_shingles > 0")
