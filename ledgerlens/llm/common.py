@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import string
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +49,19 @@ def bounded_batches(spark: SparkSession) -> None:
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name) in ("64MB", "64m", "67108864", "67108864b"):
         spark.conf.set(name, "8m")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerlens_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = Path(SparkFiles.getRootDirectory()) / "package"
+    folder.mkdir(parents=True, exist_ok=True)
+    target = folder / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as packed:
+        for path in sorted(root.rglob("*.py")):
+            packed.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._ledgerlens_shipped = True

@@ -193,7 +193,8 @@ def cut_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` with every span taken out of its text, from the first hit word to the last; columns unchanged."""
     names = tuple(fresh(docs, "n_words", "spans", "items"))
     found = find_leaks(docs, benchmark, names, **options)
-    text_at, spans_at = docs.columns.index("text"), found.columns.index(names[1])
+    columns_out = docs.columns
+    text_at, spans_at = columns_out.index("text"), found.columns.index(names[1])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +208,7 @@ def cut_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                         parts.append(raw[at : places[span["begin"]][0]])
                         at = places[span["end"] - 1][1]
                     texts[row] = b"".join([*parts, raw[at:]]).decode("utf-8")
-            columns = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(docs.columns))]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            kept = [pa.array(texts, pa.string()) if i == text_at else batch.column(i) for i in range(len(columns_out))]
+            yield pa.RecordBatch.from_arrays(kept, columns_out)
 
     return found.mapInArrow(cut, docs.schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import chunk_dedup, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates
+from ledgerlens.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
