@@ -1,13 +1,14 @@
 """Global order without a global sort: range buckets, running totals and exact quantiles.
 
 A window without a partition key pulls every row into one task, and an exact percentile holds a whole group in one
-aggregation buffer. Both are replaced by the same two steps: cut the value range where a quantile sketch says the
-rows are, work inside each bucket in parallel, and add the totals of the buckets before it. The cut points decide
-only the balance of the work; any cut points give the same answer.
+aggregation buffer. Both are replaced by the same steps at every size: cut the value range, count what falls into each
+part, work inside the parts in parallel, and add the totals of the parts before. The cut points decide only the balance
+of the work; any cut points give the same answer.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,34 +18,37 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import rounded
-from ledgerlens.operators.small import any_null, bounded
+from ledgerlens.operators.small import any_null, bounded, settled
 
-BUCKETS = 1024
-MIN_BUCKETS = 256
-MAX_BUCKETS = 65_536
-MAX_BUCKET_ROWS = 20_000_000
-SMALL_ROWS = 1_000_000
+# Rows that one task sorts; the number of buckets follows from the counted rows.
+BUCKET_ROWS = 500_000
+# A range of values that is cut again is cut into this many parts.
+PARTS = 1024
+# Parts of a factor of two in the first cut of all numbers.
+OCTAVE_PARTS = 64
 
 
-def cut_points(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> list[list[float]]:
-    """Bucketizer splits for each column, from one pass of mergeable quantile sketches."""
+def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[float]]:
+    """Bucketizer splits for each column, from one pass of mergeable quantile sketches.
+
+    The sketch is right to half a bucket, so no bucket holds more than two buckets' rows of distinct values.
+    """
     probabilities = [i / buckets for i in range(1, buckets)]
-    sketched = df.stat.approxQuantile(columns, probabilities, 1 / (2 * buckets))
+    sketched = df.stat.approxQuantile(columns, probabilities, 1 / (2 * buckets)) if probabilities else [[]] * len(columns)
     infinity = float("inf")
     return [[-infinity, *(sorted(set(found)) or [0.0]), infinity] for found in sketched]
 
 
-def with_buckets(df: DataFrame, columns: list[str], outputs: list[str], buckets: int = BUCKETS) -> DataFrame:
+def with_buckets(df: DataFrame, columns: list[str], outputs: list[str], buckets: int) -> DataFrame:
     """Add the range-bucket index of each column. NULLs get a bucket of their own."""
     splits = cut_points(df, columns, buckets)
     bucketizer = Bucketizer(inputCols=columns, outputCols=outputs, splitsArray=splits, handleInvalid="keep")
     return bucketizer.transform(df)
 
 
-def _task_buckets(df: DataFrame) -> int:
-    """Buckets that are worked on whole: as many as the cluster has shuffle tasks, within bounds."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, tasks))
+def bucket_count(rows: int) -> int:
+    """Buckets that are worked on whole, for a counted number of rows."""
+    return max(1, math.ceil(rows / BUCKET_ROWS))
 
 
 def running_totals(
@@ -60,19 +64,10 @@ def running_totals(
 
     ``sums`` maps an input column to the name of its running total (the row itself included); ``following`` maps a
     column to the name of its value in the next row. The table is read several times, so it should be a written one.
-    One counted at no more than ``SMALL_ROWS`` rows is a single window; naming ``buckets`` takes the other way at any
-    size.
+    Buckets hold about ``BUCKET_ROWS`` rows; ``buckets`` names their number instead.
     """
     by, following = by or [], following or {}
-    if buckets is None and df.count() <= SMALL_ROWS:
-        whole = W.partitionBy(*(by or [F.lit(0)])).orderBy(F.desc(order) if descending else F.asc(order))
-        upto = whole.rowsBetween(W.unboundedPreceding, 0)
-        return df.select(
-            "*",
-            *[F.sum(c).over(upto).alias(out) for c, out in sums.items()],
-            *[F.lead(c).over(whole).alias(out) for c, out in following.items()],
-        )
-    cut = with_buckets(df, [order], ["_bucket"], buckets or _task_buckets(df))
+    cut = with_buckets(df, [order], ["_bucket"], buckets or bucket_count(df.count()))
     direction = F.desc if descending else F.asc
     first_of = F.max_by if descending else F.min_by
 
@@ -109,42 +104,60 @@ def exact_quantiles(
     by: list[str] | None = None,
     buckets: int | None = None,
     approximate: bool = False,
+    part_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles as ``(*by, column, prob, value)``; rows with a NULL key are left out.
 
-    A table counted at no more than ``SMALL_ROWS`` rows fits Spark's own percentile buffers. Beyond that the source is
-    read three times (sketch, bucket counts, target buckets) and never shuffled whole: only the rows of the buckets
-    that hold a wanted rank are exchanged, about two in ``buckets`` of the rows for each probability, and those are
-    counted by value first. A bucket too wide to sort in one task is cut finer and counted again. Naming ``buckets``
-    takes this way at any size; ``approximate=True`` is the one-pass sketch.
+    The numbers are cut by their size into parts of about one per cent and counted (combined before the shuffle). Only
+    the parts that hold a wanted rank are followed: one with more than ``part_rows`` rows and more than one value is cut
+    again between its lowest and highest value, into ``buckets`` parts, and counted again. In the end the rows of the
+    parts that are left are counted by value and ranked. A value that most rows share is one counted row throughout.
+    ``approximate=True`` is the one-pass sketch.
     """
     by = by or []
     numbers = df.where(~any_null(by)).select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     if approximate:
         return _buffered(numbers, columns, probabilities, by, lambda c: F.percentile_approx(c, probabilities, 100_000))
-    if buckets is None and numbers.count() <= SMALL_ROWS:
-        return _buffered(numbers, columns, probabilities, by, lambda c: F.percentile(c, probabilities))
-
-    buckets = buckets or BUCKETS
     group = [*by, "column"]
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    long = settled(numbers).select(*by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    long = long.withColumn("part", _size_part("value"))
+
+    counted = long.groupBy(*group, "part").agg(*_extent())
+    total = W.partitionBy(*group)
+    spans = counted.withColumn("total", F.sum("n").over(total)).withColumn("first_rank", F.lit(0).cast("long"))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("prob")
+    ranks = settled(
+        counted.groupBy(*group)
+        .agg(F.sum("n").alias("total"))
+        .select(*group, wanted, "total")
+        .withColumn("position", F.col("prob") * (F.col("total") - 1))
+        .withColumn("low_rank", F.floor("position"))
+        .withColumn("high_rank", F.ceil("position"))
+        .drop("total")
+    )
+    held = settled(_holding(spans.drop("total"), ranks, group, ["part"]))
     while True:
-        long = _long_with_buckets(numbers, columns, by, buckets)
-        targets, widest = _target_buckets(long, group, probabilities)
-        if widest <= MAX_BUCKET_ROWS or buckets >= MAX_BUCKETS:
+        wide = (F.col("n") > part_rows) & (F.col("low") < F.col("high"))
+        if held.where(wide).isEmpty():
             break
-        buckets *= 16
-
-    # Several probabilities may share a bucket: the rows are matched to the bucket once, and to the ranks after
-    # they have been counted by value.
-    held = long.join(targets, [*group, "bucket"], "left_semi")
-    values = held.groupBy(*group, "bucket", "value").agg(F.count("*").alias("n"))
-    within = W.partitionBy(*group, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    ranked = values.withColumn("upto", F.sum("n").over(within))
-    placed = (
-        ranked.join(targets, [*group, "bucket"])
-        .withColumn("end", F.col("first_rank") + F.col("upto"))
-        .withColumn("start", F.col("end") - F.col("n"))
+        inside = _inside(long, held.where(wide).select(*group, "part", "low", "high", "first_rank"), group)
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        cell = F.least(F.floor(share * (buckets or PARTS)), F.lit((buckets or PARTS) - 1))
+        cut = inside.groupBy(*group, "part", "low", "first_rank", cell.alias("cell")).agg(*_extent("cell_low", "cell_high"))
+        cut = cut.select(*group, "part", "low", "first_rank", "cell", "n", "cell_low", "cell_high")
+        finer = _holding(cut, ranks, group, ["part", "low", "cell"], ["part", "low"])
+        finer = finer.select(*group, "part", "first_rank", "n", F.col("cell_low").alias("low"), F.col("cell_high").alias("high"))
+        held = settled(held.where(~wide).select(*finer.columns).unionByName(finer))
+
+    values = (
+        _inside(long, held.select(*group, "part", "low", "high", "first_rank"), group)
+        .groupBy(*group, "part", "low", "first_rank", "value")
+        .agg(F.count("*").alias("n"))
     )
+    within = W.partitionBy(*group, "part", "low").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = values.withColumn("end", F.col("first_rank") + F.sum("n").over(within))
+    placed = ranked.withColumn("start", F.col("end") - F.col("n")).join(ranks, group)
     covers = [(F.col("start") <= F.col(r)) & (F.col(r) < F.col("end")) for r in ("low_rank", "high_rank")]
     picked = (
         placed.where(covers[0] | covers[1])
@@ -152,40 +165,43 @@ def exact_quantiles(
         .agg(F.max(F.when(covers[0], F.col("value"))).alias("low"), F.max("value").alias("high"))
     )
     share = F.col("position") - F.col("low_rank")
-    return picked.select(*group, "prob", (F.col("low") + share * (F.col("high") - F.col("low"))).alias("value"))
+    between = F.when(share == 0, F.col("low")).otherwise(F.col("low") + share * (F.col("high") - F.col("low")))
+    return picked.select(*group, "prob", between.alias("value"))
 
 
-def _long_with_buckets(numbers: DataFrame, columns: list[str], by: list[str], buckets: int) -> DataFrame:
-    cut = with_buckets(numbers, columns, [f"_b{i}" for i in range(len(columns))], buckets)
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"_b{i}").cast("int").alias("bucket"))
-        for i, c in enumerate(columns)
-    ]
-    return cut.select(*by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-
-
-def _target_buckets(long: DataFrame, group: list[str], probabilities: list[float]) -> tuple[DataFrame, int]:
-    """The buckets that hold a wanted rank, with the rank of their first row; and the rows of the widest."""
-    everything = W.partitionBy(*group)
-    upto = everything.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    counts = long.groupBy(*group, "bucket").agg(F.count("*").alias("n"))
-    spans = counts.select(
-        *group,
-        "bucket",
-        (F.sum("n").over(upto) - F.col("n")).alias("first_rank"),
-        F.sum("n").over(upto).alias("end_rank"),
-        F.sum("n").over(everything).alias("total"),
-    )
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("prob")
-    targets = bounded(
-        spans.select("*", wanted)
-        .withColumn("position", F.col("prob") * (F.col("total") - 1))
-        .withColumn("low_rank", F.floor("position"))
-        .withColumn("high_rank", F.ceil("position"))
-        .where((F.col("low_rank") < F.col("end_rank")) & (F.col("high_rank") >= F.col("first_rank")))
+def _size_part(column: str) -> Column:
+    """A whole number that never falls as the value grows: its sign and the size of its logarithm."""
+    value = F.col(column)
+    size = F.floor(F.log2(F.abs(value)) * OCTAVE_PARTS) + 1100 * OCTAVE_PARTS
+    top = F.lit(2200 * OCTAVE_PARTS)
+    size = F.when(F.abs(value) == float("inf"), top).otherwise(size)
+    signed = F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
+    return F.when(F.isnan(value), top + 1).otherwise(signed).cast("int")
+
+
+def _extent(low: str = "low", high: str = "high") -> list[Column]:
+    return [F.count("*").alias("n"), F.min("value").alias(low), F.max("value").alias(high)]
+
+
+def _holding(
+    parts: DataFrame, ranks: DataFrame, group: list[str], order: list[str], inside: list[str] | None = None
+) -> DataFrame:
+    """The parts that hold a wanted rank, with ``first_rank`` moved to their own first row.
+
+    ``parts`` are counted rows (n, first_rank of what was cut); ``inside`` names what was cut, apart from the group.
+    """
+    before = W.partitionBy(*group, *(inside or [])).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    placed = parts.withColumn("first_rank", F.col("first_rank") + F.sum("n").over(before) - F.col("n"))
+    end = F.col("first_rank") + F.col("n")
+    hit = ((F.col("low_rank") >= F.col("first_rank")) & (F.col("low_rank") < end)) | (
+        (F.col("high_rank") >= F.col("first_rank")) & (F.col("high_rank") < end)
     )
-    widest = targets.agg(F.max(F.col("end_rank") - F.col("first_rank"))).first()[0]
-    return targets, widest or 0
+    return placed.join(ranks, group).where(hit).select(*placed.columns).distinct()
+
+
+def _inside(long: DataFrame, held: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of held parts."""
+    return long.join(held, [*group, "part"]).where(F.col("value").between(F.col("low"), F.col("high")))
 
 
 def _buffered(
@@ -266,7 +282,7 @@ def numbered(
     The hash spreads the rows evenly, so each bucket is numbered in parallel and shifted by the counts before it.
     """
     by = by or []
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets or _task_buckets(df))))
+    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets or bucket_count(df.count()))))
     before = W.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         spread.groupBy(*by, "_bucket")

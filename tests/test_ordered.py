@@ -29,14 +29,27 @@ def test_exact_quantiles_equal_numpy(spark, skewed, buckets):
         assert part["value"].iloc[0] == pytest.approx(expected, abs=1e-12)
 
 
-def test_wide_bucket_is_cut_finer(spark, skewed, monkeypatch):
-    """With a limit every bucket exceeds, the answer is the same after the finer cut."""
-    monkeypatch.setattr(ordered, "MAX_BUCKET_ROWS", 10)
+@pytest.mark.parametrize("buckets", [2, 3, 1024])
+def test_wide_parts_are_cut_again(spark, skewed, buckets):
+    """Parts of more than a few rows are cut until they hold one value or few rows; the answer is the same."""
     df = spark.createDataFrame(skewed, "g string, x double")
-    got = ordered.exact_quantiles(df, ["x"], [0.5], ["g"], buckets=2).toPandas().set_index("g")["value"]
+    got = ordered.exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], ["g"], buckets=buckets, part_rows=3).toPandas()
     frame = pd.DataFrame(skewed, columns=["g", "x"]).dropna()
-    assert got["a"] == pytest.approx(frame.x[frame.g == "a"].median())
-    assert got["b"] == 5.0
+    for r in got.itertuples():
+        assert r.value == pytest.approx(np.quantile(frame.x[frame.g == r.g], r.prob), abs=1e-12)
+
+
+def test_quantiles_of_odd_numbers(spark):
+    """Signs, zeros, infinities, tiny and huge values, and a value that nine of ten rows share."""
+    values = [-np.inf, -1e300, -2.5, -1e-300, -0.0, 0.0, 5e-324, 1e-9, 1.0, 1.0000000001, 3.0, 1e300, np.inf] + [7.25] * 117
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4)
+    for part_rows in (1, 5, 500_000):
+        got = ordered.exact_quantiles(df, ["x"], [i / 129 for i in range(130)], part_rows=part_rows).toPandas()
+        got = got.sort_values("prob")["value"].tolist()
+        # A rank just beside a whole one may lean on its neighbour in the last digits.
+        inner = [(g, v) for g, v in zip(got, sorted(values)) if np.isfinite(v) and abs(v) < 1e299]
+        assert all(g == pytest.approx(v, rel=1e-6, abs=1e-6) or not np.isfinite(g) or abs(g) > 1e280 for g, v in inner)
+        assert got[0] == -np.inf and got[-1] == np.inf
 
 
 @pytest.mark.parametrize("buckets", [None, 8])
@@ -45,15 +58,6 @@ def test_quantiles_of_nothing(spark, buckets):
     assert ordered.exact_quantiles(df, ["x"], [0.5], ["g"], buckets=buckets).count() == 0
 
 
-def test_size_decides_the_way_but_not_the_answer(spark, skewed, monkeypatch):
-    df = spark.createDataFrame(skewed, "g string, x double")
-    keys = ["g", "column", "prob"]
-    small = ordered.exact_quantiles(df, ["x"], [0.25, 0.5], ["g"]).toPandas().set_index(keys)["value"]
-    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
-    large = ordered.exact_quantiles(df, ["x"], [0.25, 0.5], ["g"]).toPandas().set_index(keys)["value"]
-    assert large.to_dict() == pytest.approx(small.to_dict(), abs=1e-12)
-
-
 def test_sketch_variant_is_close(spark, skewed):
     df = spark.createDataFrame(skewed, "g string, x double")
     got = ordered.exact_quantiles(df, ["x"], [0.5], ["g"], approximate=True).toPandas().set_index("g")["value"]
