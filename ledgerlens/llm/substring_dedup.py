@@ -11,7 +11,8 @@ judged on the input. Suffix arrays of whole corpora do not fit a task, so window
 * Those are fetched and grouped to shards of bounded size by gram. A shard's suffix array (Larsson-Sadakane) and
   common prefixes (Kasai) tell which windows repeat inside it.
 * A gram with very many different contexts is salted over several shards. Their windows that are unique inside a shard
-  are then merged: digests are dealt by range, sorted, and each looked up by binary search.
+  are then merged: a shard publishes sorted arrays of window digests, one for each range of digests; the arrays of one
+  range meet in one task, and every digest is looked up in them by binary search.
 
 Defined results: a null text is the empty text, and texts shorter than ``length`` lose nothing; equal texts are equal
 strings, so all copies of a long enough text are taken out whole; matches never cross texts; null ids and repeated rows
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import text_key, whole_text
+from ledgerlens.llm.common import bounded_batches, text_key, whole_text
 from ledgerlens.llm.spans import ARROW_SPANS, SPANS, cut_texts, merged
 from ledgerlens.llm.suffix_array import common_prefixes, suffix_array
 from ledgerlens.llm.word_hash import mix
@@ -147,8 +148,9 @@ def _context_rows(docs: DataFrame, length: int, count_only: bool) -> DataFrame:
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted contexts: ``wanted`` has t1, t2 and a list of (g, salt, h1, h2, many, start, size)."""
-    schema = T.StructType([*_longs("g", "salt", "h1", "h2"), T.StructField("many", T.BooleanType()), T.StructField("raw", T.BinaryType())])
+    """The bytes of wanted contexts: ``wanted`` has t1, t2 and a list of (g, salt, shards, h1, h2, many, start, size)."""
+    plain = [*_longs("g", "salt", "h1", "h2", "shards"), T.StructField("many", T.BooleanType())]
+    schema = T.StructType([*plain, T.StructField("raw", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +161,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     if (r["h1"], r["h2"]) not in seen:
                         seen.add((r["h1"], r["h2"]))
                         bytes_ = raw[r["start"] : r["start"] + r["size"]]
-                        out.append((r["g"], r["salt"], r["h1"], r["h2"], r["many"], bytes_))
+                        out.append((r["g"], r["salt"], r["h1"], r["h2"], r["shards"], r["many"], bytes_))
                 if len(out) >= 4096:
                     yield _batch(out, schema)
                     out = []
@@ -202,20 +204,24 @@ def _shard_repeats(strings: list[bytes], many: np.ndarray, length: int) -> tuple
     return string[position], offset[position], (several | held_often)[classes], ~same
 
 
+# A window that a shard publishes: its digests, its context and offset, and whether it needs an answer.
+PUBLISHED = np.dtype([("f1", "<u8"), ("f2", "<u8"), ("h1", "<i8"), ("h2", "<i8"), ("at", "<i8"), ("open", "?")])
+
+
 def _resolved(rows: DataFrame, length: int) -> DataFrame:
-    """Work through shards: (kind, h1, h2, begin, end) with the repeated window ranges of a context (kind 0), and for
-    salted grams a row for each window class (kind 1: digests, context digest as begin and end) that stays open."""
-    schema = _longs("kind", "h1", "h2", "begin", "end", "f1", "f2", "shard")
+    """Work through shards: rows of kind 0 are repeated window ranges (begin, end) of a context; rows of kind 1 are the
+    sorted digests that a shard of a salted gram publishes for one range of digests (``part``)."""
+    schema = T.StructType([*_longs("kind", "h1", "h2", "begin", "end", "g", "part"), T.StructField("packed", T.BinaryType())])
 
     def worked(shard: list[tuple]) -> Iterator[pa.RecordBatch]:
         unique: dict[tuple, tuple] = {(r[2], r[3]): r for r in shard}
         kept = list(unique.values())
         if len(kept) < 2 and kept[0][1] < 0:
             return
-        strings = [r[5] for r in kept]
-        string, offset, repeated, first = _shard_repeats(strings, np.array([r[4] for r in kept]), length)
+        strings = [r[6] for r in kept]
+        many = np.array([r[5] for r in kept])
+        string, offset, repeated, first = _shard_repeats(strings, many, length)
         h = np.array([(r[2], r[3]) for r in kept], dtype=np.int64)
-        many = np.array([r[4] for r in kept])
         hit = repeated & ~many[string]
         place = np.lexsort((offset[hit], string[hit]))
         s, o = string[hit][place], offset[hit][place]
@@ -224,32 +230,36 @@ def _resolved(rows: DataFrame, length: int) -> DataFrame:
             begin = np.flatnonzero(new)
             end = np.append(begin[1:], len(s)) - 1
             zero = np.zeros(len(begin), np.int64)
-            columns = [zero, h[s[begin], 0], h[s[begin], 1], o[begin], o[end] + 1, zero, zero, zero]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema.names)
-        salted = np.array([r[1] >= 0 for r in kept])[string]
-        open_ = salted & first
-        if open_.any():
+            columns = [zero, h[s[begin], 0], h[s[begin], 1], o[begin], o[end] + 1, zero, zero]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(begin), pa.binary())], schema.names)
+        if kept[0][1] >= 0 and first.any():  # a salted gram has its shards to itself
+            string, offset, repeated = string[first], offset[first], repeated[first]
             data = np.frombuffer(b"".join(strings), dtype=np.uint8)
             sizes = np.array([len(x) for x in strings], dtype=np.int64)
-            begins = (np.cumsum(sizes) - sizes)[string[open_]] + offset[open_]
-            f1, f2 = (Digests(data, i).of(begins, begins + length).view(np.int64) for i in range(2))
-            shard_of = np.array([r[1] for r in kept], dtype=np.int64)[string[open_]]
-            # A class that is repeated already is published for the others, but needs no answer.
-            kind = np.where(repeated[open_], 2, 1)
-            columns = [kind, h[string[open_], 0], h[string[open_], 1], offset[open_], offset[open_] + 1, f1, f2, shard_of]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema.names)
+            begins = (np.cumsum(sizes) - sizes)[string] + offset
+            out = np.empty(len(begins), PUBLISHED)
+            out["f1"], out["f2"] = (Digests(data, i).of(begins, begins + length) for i in range(2))
+            out["h1"], out["h2"], out["at"], out["open"] = h[string, 0], h[string, 1], offset, ~repeated
+            out = out[np.argsort(out["f1"], kind="stable")]
+            parts = max(16, kept[0][4] // 8)
+            part = ((out["f1"] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            packed = [piece.tobytes() for piece in np.split(out, at[1:])]
+            zero = np.zeros(len(at), np.int64)
+            columns = [zero + 1, zero, zero, zero, zero, zero + kept[0][0], part[at]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(packed, pa.binary())], schema.names)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, size, group = [], 0, None
         for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(7)], strict=True):
                 if row[:2] != group:
                     if size >= SHARD_BYTES or shard and (row[1] >= 0 or shard[-1][1] >= 0):
                         yield from worked(shard)
                         shard, size = [], 0
                     group = row[:2]
                 shard.append(row)
-                size += len(row[5])
+                size += len(row[6])
         if shard:
             yield from worked(shard)
 
@@ -257,34 +267,42 @@ def _resolved(rows: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(stream, schema)
 
 
-def _merge_shards(open_windows: DataFrame) -> DataFrame:
+def _merge_shards(published: DataFrame) -> DataFrame:
     """(h1, h2, begin, end) of windows that are unique in their shard but found in another one.
 
-    Digests are dealt by range; a task sorts its range and looks every digest up by binary search: more than one place
-    means another shard holds it.
+    A shard publishes a window once, so a digest that binary search finds more than once comes from several shards.
     """
     schema = _longs("h1", "h2", "begin", "end")
 
-    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        rows = pa.Table.from_batches(held).combine_chunks()
-        kind, f1, f2 = (rows.column(c).to_numpy() for c in ("kind", "f1", "f2"))
-        key = mix(f1.view(np.uint64)) ^ f2.view(np.uint64)
+    def looked_up(arrays: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(arrays)
+        key = mix(rows["f1"]) ^ rows["f2"]
         shelf = np.sort(key)
         places = np.searchsorted(shelf, key, side="right") - np.searchsorted(shelf, key, side="left")
-        out = rows.filter(pa.array((places > 1) & (kind == 1)))
-        if out.num_rows:
-            yield from out.select(schema.names).combine_chunks().to_batches()
+        found = rows[(places > 1) & rows["open"]]
+        if len(found):
+            columns = [found["h1"], found["h2"], found["at"], found["at"] + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], schema.names)
 
-    # A window is published once by each shard, so equal digests come from different shards.
-    dealt = open_windows.select("kind", "h1", "h2", "begin", "end", "f1", "f2").repartitionByRange("f1", "f2")
-    return dealt.mapInArrow(looked_up, schema)
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays, group = [], None
+        for batch in batches:
+            for g, part, packed in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if (g, part) != group and arrays:
+                    yield from looked_up(arrays)
+                    arrays = []
+                group = (g, part)
+                arrays.append(np.frombuffer(packed, dtype=PUBLISHED))
+        if arrays:
+            yield from looked_up(arrays)
+
+    dealt = published.select("g", "part", "packed").repartition("g", "part").sortWithinPartitions("g", "part")
+    return dealt.mapInArrow(stream, schema)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """t1, t2 (hashes of a text) and ``cut``: its byte spans that are covered by repeated windows."""
+    bounded_batches(docs.sparkSession)
     grams = _context_rows(docs, length, True).groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g")
     held = settled(_context_rows(docs, length, False).join(settled(grams), "g", "left_semi"))
     # A context is a place in a text; copies of a text are one text here.
@@ -304,6 +322,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_contexts: int =
             F.struct(
                 "g",
                 F.when(shards > 1, F.pmod("h1", shards)).otherwise(-1).cast("long").alias("salt"),
+                shards.cast("long").alias("shards"),
                 "h1",
                 "h2",
                 (F.col("n") > 1).alias("many"),
@@ -316,9 +335,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_contexts: int =
     )
     resolved = settled(_resolved(_fetched(docs, settled(wanted)), length))
     ranges = resolved.where("kind = 0").select("h1", "h2", "begin", "end")
-    open_windows = resolved.where("kind > 0")
-    if not open_windows.isEmpty():
-        ranges = ranges.unionByName(_merge_shards(open_windows))
+    published = resolved.where("kind = 1")
+    if not published.isEmpty():
+        ranges = ranges.unionByName(_merge_shards(published))
     whole = kinds.where("n > 1").select(
         "h1", "h2", F.lit(0).cast("long").alias("begin"), F.col("one.windows").alias("end")
     )
