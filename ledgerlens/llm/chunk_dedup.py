@@ -146,7 +146,8 @@ def repeated_spans(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int =
     repeated = settled(counts)
     rows = settled(_chunk_rows(docs, mean_chunk, False).join(repeated, "d1", "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "begin")
-    firsts = rows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join below has two plain sides and a hot chunk can be split.
+    firsts = settled(rows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"))
     flagged = rows.join(firsts, ["d1", "d2"]).select(
         "doc_id", "t1", "begin", "end", place.eqNullSafe(F.col("first")).alias("is_first")
     )
