@@ -165,7 +165,8 @@ def cross_validate(
     validator = CrossValidator(
         estimator=flow,
         estimatorParamMaps=grid or [{}],
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
+        # No bins: the exact area, as everywhere else.
+        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0),
         foldCol="fold",
         numFolds=folds,
         parallelism=parallelism,
@@ -203,11 +204,12 @@ def random_trials(trials: int = SEARCH_TRIALS, seed: int = SEED, space: dict = S
     return out
 
 
-def _estimator_of(params: dict, rounds: int) -> GBTClassifier:
-    rest = {k: v for k, v in params.items() if k != "positive_weight"}
+def estimator_of(params: dict, rounds: int = BOOSTING_ROUNDS) -> GBTClassifier:
+    """Boosted trees with the parameters of a trial; ``positive_weight`` becomes a weight column."""
+    rest = {k: int(v) if k in WHOLE_NUMBERS else v for k, v in params.items() if k != "positive_weight"}
     if "featureSubsetStrategy" in rest:
         rest["featureSubsetStrategy"] = str(rest["featureSubsetStrategy"])
-    return gbt(rounds, weightCol="weight", **rest)
+    return gbt(rounds, **({"weightCol": "weight"} if "positive_weight" in params else {}), **rest)
 
 
 def random_search(
@@ -237,7 +239,7 @@ def random_search(
         inside, outside = parts[fold]
         params = trials[number]
         weighted = with_class_weight(inside, params.get("positive_weight", 1.0), LABEL)
-        model = train(weighted, columns, _estimator_of(params, rounds))
+        model = train(weighted, columns, estimator_of(params, rounds))
         with_score(outside, model).select(LABEL, "score").write.parquet(f"{path}/trial={number}/fold={fold}")
 
     with ThreadPoolExecutor(parallelism) as pool:

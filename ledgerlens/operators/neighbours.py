@@ -30,7 +30,6 @@ from ledgerlens.operators.small import settled
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF_POINTS = 2048
-MAX_LEAVES = 32_768
 SAMPLE_PER_LEAF = 16
 VISIT_CHUNK = 4096
 DIGITS = 6
@@ -77,12 +76,10 @@ def neighbour_lists(
 def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) -> DataFrame:
     """``(pid, near)``: the ``k`` lowest (distance, id) entries around each point, its own copies included."""
     count = points.count()
-    depth = min(
-        max(0, math.ceil(math.log2(max(1, count) / leaf_points))), int(math.log2(MAX_LEAVES))
-    )
+    depth = max(0, math.ceil(math.log2(max(1, count) / leaf_points)))
     near_type = "array<struct<distance:double,id:string>>"
     inside_schema = f"leaf int, pid string, vec array<double>, radius double, near {near_type}"
-    placed = points.withColumn("leaf", F.lit(0)) if depth == 0 else _placed(points, count, depth)
+    placed = _placed(points, count, depth)
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         near, radius = _scan(np.stack(pdf["vec"]), None, np.stack(pdf["vec"]), list(pdf["ids"]), k)
@@ -90,15 +87,13 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
             {"leaf": pdf["leaf"], "pid": pdf["pid"], "vec": pdf["vec"], "radius": radius, "near": near}
         )
 
-    if depth == 0:
-        return placed.groupBy("leaf").applyInPandas(inside, inside_schema).select("pid", "near")
-
     placed = settled(placed)
     local = settled(placed.groupBy("leaf").applyInPandas(inside, inside_schema))
-    low, high = _node_boxes(placed, depth)
+    boxes = points.sparkSession.sparkContext.broadcast(_node_boxes(placed, depth))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Walk the tree with all rows of a batch at once, dropping at each node the rows its box is too far for."""
+        low, high = boxes.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -153,13 +148,11 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
 
 def _placed(points: DataFrame, count: int, depth: int) -> DataFrame:
     """Add the leaf of each point. The tree is cut from a hash sample of at most 16 points a leaf."""
-    share = min(1.0, SAMPLE_PER_LEAF * 2**depth / count)
-    limit = int(share * 1_000_000)
-    sample = points.where(F.pmod(F.xxhash64("pid"), F.lit(1_000_000)) < limit).select("vec")
-    collected = sample.limit(2 * SAMPLE_PER_LEAF * 2**depth).toPandas()["vec"]
-    if len(collected) == 0:
+    if count == 0:
         return points.withColumn("leaf", F.lit(0))
-    dims, cuts = _median_cuts(np.stack(collected), depth)
+    # The lowest hashes are a sample of exactly this size.
+    lowest = points.orderBy(F.xxhash64("pid"), "pid").limit(SAMPLE_PER_LEAF * 2**depth)
+    dims, cuts = _median_cuts(np.stack(lowest.select("vec").toPandas()["vec"]), depth)
 
     @F.pandas_udf("int")
     def leaf_of(vec: pd.Series) -> pd.Series:
@@ -193,12 +186,12 @@ def _median_cuts(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
 def _node_boxes(placed: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Bounding box of every node, leaves last; an empty one is infinitely far.
 
-    Spark finds the leaves' boxes, at most ``MAX_LEAVES`` rows a dimension; the inner ones enclose their two children.
+    Spark finds the leaves' boxes, a row for each leaf and dimension; the inner ones enclose their two children.
     """
     long = placed.select("leaf", F.posexplode("vec").alias("dim", "x"))
     bounds = long.groupBy("leaf", "dim").agg(F.min("x").alias("low"), F.max("x").alias("high")).toPandas()
     leaves = 2**depth
-    low = np.full((2 * leaves - 1, bounds["dim"].max() + 1), np.inf)
+    low = np.full((2 * leaves - 1, bounds["dim"].max() + 1 if len(bounds) else 1), np.inf)
     high = -low
     node = bounds["leaf"].to_numpy() + leaves - 1
     low[node, bounds["dim"]] = bounds["low"]

@@ -94,7 +94,8 @@ def smote(
     """The rows of ``df`` and synthetic positives up to parity, with ``is_synthetic``.
 
     A synthetic row lies between a positive and one of its nearest positives, at a point both picked by hash. Each
-    positive seeds the same number of rows, the lowest-numbered ones one more. Only positives are shuffled.
+    positive seeds the same number of rows, the lowest-numbered ones one more. A positive gets the vectors of its
+    neighbours first; the synthetic rows are then made where it lies, so only positives are shuffled.
     """
     vector = F.array(*[F.col(c).cast("double") for c in columns])
     counted = df.agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")).first()
@@ -107,20 +108,27 @@ def smote(
     positives = settled(df.where(F.col(label) == 1).select(key, vector.alias("vec")))
     near = neighbour_lists(positives, key, "vec", neighbours)
     copies = F.lit(each) + F.when(F.col("row_number") <= extra, 1).otherwise(0)
-    seeds = numbered(positives, key).where(copies > 0).join(near, key)
+    others = positives.select(F.col(key).alias("other"), F.col("vec").alias("other_vec"))
+    around = (
+        near.select(key, F.posexplode("near").alias("place", "entry"))
+        .select(key, "place", F.col("entry.id").alias("other"))
+        .join(others, "other")
+        .groupBy(key)
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "other_vec"))), lambda x: x["other_vec"]).alias("vectors"))
+    )
+    seeds = numbered(positives, key).where(copies > 0).join(around, key)
     picked = F.concat_ws("/", F.col(key), F.col("copy"))
     drawn = seeds.select(
-        key, "vec", "near", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy")
+        key, "vec", "vectors", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy")
     ).select(
         key,
         "vec",
         "copy",
-        F.get("near", F.pmod(id_number(picked, f"n{seed}"), F.size("near")).cast("int"))["id"].alias("other"),
+        F.get("vectors", F.pmod(id_number(picked, f"n{seed}"), F.size("vectors")).cast("int")).alias("other_vec"),
         (id_number(picked, f"u{seed}") / F.lit(float(HASH_SPAN))).alias("share"),
     )
-    others = positives.select(F.col(key).alias("other"), F.col("vec").alias("other_vec"))
     between = F.zip_with("vec", "other_vec", lambda a, b: a + F.col("share") * (b - a))
-    made = drawn.join(others, "other").select(
+    made = drawn.select(
         F.concat_ws("~", F.col(key), F.col("copy")).alias(key), between.alias("v")
     )
     types = dict(df.dtypes)

@@ -163,6 +163,18 @@ def device_activity(df: DataFrame) -> DataFrame:
     )
 
 
+def rate_by_sharing(activity: DataFrame, partners: str, name: str | None = None) -> DataFrame:
+    """Rows, positives and their share by the number of partners, summed from a table of entities.
+
+    ``activity`` has one row an entity (:func:`device_activity`), so the fact table is aggregated once and not joined.
+    """
+    summed = activity.groupBy(F.col(partners).alias(name or partners)).agg(
+        F.sum("total_tx").alias("total"), F.sum("fraud_tx").alias("fraud")
+    )
+    rate = rounded(percent(F.col("fraud"), F.col("total")), 6)
+    return summed.withColumn("fraud", F.col("fraud").cast("bigint")).withColumn("fraud_rate", rate)
+
+
 def entity_summary(df: DataFrame) -> DataFrame:
     """Senders and devices: how many, mean and most rows, how many shared, how many with a positive."""
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.operators.small import settled
 from ledgerlens.sources.contract import ACCEPTED, TRANSACTION_RULES, Rule
 from ledgerlens.sources.files import write_parquet
 
@@ -123,6 +123,47 @@ def verdict(status: DataFrame) -> DataFrame:
     return rolled.select(name.alias("check"), "passed", "failed_rules")
 
 
+def schema_findings(df: DataFrame, rules: list[Rule] = TRANSACTION_RULES) -> DataFrame:
+    """``(column, finding)``: every missing, unexpected or mismatched column."""
+    found = check_schema(df, rules)
+    rows = [(c, kind) for kind in ("missing", "unexpected", "mismatched") for c in getattr(found, kind)]
+    return df.sparkSession.createDataFrame(rows, "column string, finding string")
+
+
+def full_status(df: DataFrame, drift_report: DataFrame, rules: list[Rule] = TRANSACTION_RULES) -> DataFrame:
+    """The status table of all four checks: schema, integrity, domain and drift.
+
+    Unexpected columns and drift are counted as violations but pass: they warn. ``drift_report`` is that of
+    :func:`ledgerlens.operators.drift.check_drift`; its own status row is left out.
+    """
+    found = check_schema(df, rules)
+    failed = [(c, kind) for kind in ("missing", "mismatched") for c in getattr(found, kind)]
+    rows = [("schema", "*", "columns", len(failed), not failed)]
+    rows += [("schema", c, kind, 1, False) for c, kind in failed]
+    rows += [("schema", c, "unexpected", 1, True) for c in found.unexpected]
+    schema = df.sparkSession.createDataFrame(rows, "check string, column string, rule string, violations long, passed boolean")
+    drifted = drift_report.where("column <> '*'").select(
+        F.lit("drift").alias("check"),
+        "column",
+        F.col("measure").alias("rule"),
+        F.col("flagged").cast("bigint").alias("violations"),
+        F.lit(True).alias("passed"),
+    )
+    return schema.unionByName(validation_status(df, rules)).unionByName(drifted)
+
+
+def overall_verdict(status: DataFrame) -> DataFrame:
+    """As :func:`verdict`, with the number of passed rules that still warn."""
+    outcome = [
+        F.bool_and("passed").alias("passed"),
+        F.count_if(~F.col("passed")).alias("failed_rules"),
+        F.count_if(F.col("passed") & (F.col("violations") > 0)).alias("warnings"),
+    ]
+    rolled = status.rollup("check").agg(*outcome, F.grouping("check").alias("_all"))
+    name = F.when(F.col("_all") == 1, F.lit("*")).otherwise(F.col("check"))
+    return rolled.select(name.alias("check"), "passed", "failed_rules", "warnings")
+
+
 def with_violations(df: DataFrame, rules: list[Rule] = TRANSACTION_RULES) -> DataFrame:
     """Add ``violations``: the names of the rules each row breaks."""
     named = [F.when(broken, F.lit(f"{c}:{rule}")) for c, rule, broken in row_rules(df, rules)]
@@ -143,9 +184,9 @@ def validate(df: DataFrame, out_path: str, rules: list[Rule] = TRANSACTION_RULES
     schema = check_schema(df, rules)
     if not schema.passed:
         raise ValidationError(f"missing columns {schema.missing}, wrong types {schema.mismatched}")
-    kept = df.dropDuplicates().dropna("any")
-    ensure_checkpoint_dir(df.sparkSession)
-    status = validation_status(kept, rules).checkpoint()
+    # The cleaned rows are written once; the check and the published table both read that copy.
+    kept = settled(df.dropna("any").dropDuplicates())
+    status = settled(validation_status(kept, rules))
     failed = status.where(~F.col("passed")).collect()
     if failed:
         raise ValidationError("; ".join(f"{r['column']} {r['rule']}: {r['violations']} rows" for r in failed))

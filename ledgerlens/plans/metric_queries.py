@@ -53,10 +53,8 @@ def reference_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.build_baseline(_base(spark, sf_dir)).withColumn("value", rounded(F.col("value"), 4))
 
 
-LATER = "2024-01-16 00:00:00"
-
-# The rows after a date, against the baseline of the sample.
-DRIFT_SQL = BASELINE_SQL + f""", cur as (select * from tx where "timestamp" >= timestamp '{LATER}')
+# The whole table, against the baseline of the sample.
+DRIFT_SQL = BASELINE_SQL + """, cur as (select * from tx)
 , cur_bins as (""" + " union all ".join(_bins_sql("cur", "moments", c) for c in drift.DRIFT_NUMERIC) + """)
 , grid as (select "column", b as bin from moments, range(10) t(b))
 , bin_terms as (select g."column",
@@ -74,21 +72,20 @@ DRIFT_SQL = BASELINE_SQL + f""", cur as (select * from tx where "timestamp" >= t
 """
 
 
-def _later(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The rows after the date, and the stored baseline."""
-    tx = transactions(spark, sf_dir, "timestamp", *_DRIFT_COLUMNS, "is_fraud")
-    current = tx.where(F.col("timestamp") >= F.lit(LATER).cast("timestamp_ntz"))
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The whole table, and the stored baseline."""
+    current = transactions(spark, sf_dir, *_DRIFT_COLUMNS, "is_fraud")
     return current, settled(drift.build_baseline(_base(spark, sf_dir)))
 
 
 @query("psi_numeric", DRIFT_SQL + "select * from psi_num")
 def psi_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.psi_numeric(*_later(spark, sf_dir))
+    return drift.psi_numeric(*_sides(spark, sf_dir))
 
 
 @query("psi_categorical", DRIFT_SQL + "select * from psi_cat")
 def psi_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.psi_categorical(*_later(spark, sf_dir))
+    return drift.psi_categorical(*_sides(spark, sf_dir))
 
 
 @query("label_shift", DRIFT_SQL + """
@@ -96,7 +93,7 @@ select "column", round(ref, 4) as reference_rate, round(cur, 4) as current_rate,
  abs(cur-ref) > 0.05 as flagged from shift
 """)
 def label_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.label_shift(*_later(spark, sf_dir))
+    return drift.label_shift(*_sides(spark, sf_dir))
 
 
 @query("drift_report", DRIFT_SQL + """
@@ -108,7 +105,7 @@ union all select '*', 'status', cast(null as double), bool_or(flagged),
  case when bool_or(flagged) then 'DRIFT DETECTED' else 'STABLE' end from lines
 """)
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.check_drift(*_later(spark, sf_dir))
+    return drift.check_drift(*_sides(spark, sf_dir))
 
 
 _INNER = " + ".join(f"(case when x >= lo + {i}*((hi-lo)/10) then 1 else 0 end)" for i in range(1, 10))

@@ -120,6 +120,25 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.latest(runlog.read_metrics(spark, path)).select("stage", "model", "name", "value")
 
 
+@query("resolved_params", """
+select * from (values ('maxDepth', 6.0::double), ('stepSize', 0.1::double)) t(name, "value")
+""")
+def resolved_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best trial of the latest of two logged searches; the areas are those of the formula score, shifted."""
+    path = scratch(spark)
+    area = settled(ranking_metrics(scored_transactions(spark, sf_dir)).select("roc_auc"))
+    trials = [(1, 0, 4.0, 0.05, 0.9), (2, 0, 6.0, 0.1, 0.2), (2, 1, 5.0, 0.3, 0.1)]
+    table = spark.createDataFrame(trials, "run int, trial int, depth double, step double, shift double")
+    logged = table.withColumn("mean_roc_auc", F.col("shift") + area.select("roc_auc").scalar()).withColumn(
+        "params", F.create_map(F.lit("maxDepth"), F.col("depth"), F.lit("stepSize"), F.col("step"))
+    )
+    for run in (1, 2):
+        when = dt.datetime(2024, 2, run, tzinfo=dt.timezone.utc)
+        runlog.append_metrics(runlog.trial_rows(logged.where(F.col("run") == run), f"run{run}", when), path)
+    best = runlog.resolve_params(runlog.read_metrics(spark, path), {})
+    return spark.createDataFrame(sorted(best.items()), "name string, value double")
+
+
 @query("metric_table")
 def metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ROC area by model and sampling of the training rows, pivoted from logged metrics."""

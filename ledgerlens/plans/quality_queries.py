@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import rounded
-from ledgerlens.operators import cleaning, sampling, validation
+from ledgerlens.operators import cleaning, drift, sampling, validation
 from ledgerlens.operators.rates import above_overall, rate_by
+from ledgerlens.operators.small import settled
+from ledgerlens.plans.metric_queries import DRIFT_SQL
 from ledgerlens.plans.registry import FAULTY, MENDED, TX, profiles_sql, query
 from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources import contract, files, state
@@ -238,6 +240,72 @@ union all """ + _per_column(
 ) + ")"
 
 
+# The cleaned table, checked in all four ways. Times are timestamps there, where the contract has text.
+FULL_STATUS_SQL = (
+    DRIFT_SQL
+    + ", complete as (select * from tx)"
+    + _STATUS_SQL[_STATUS_SQL.index("\n, status as (") :]
+    + """
+, full_status as (select * from status
+ union all select 'schema', '*', 'columns', 1, false
+ union all select 'schema', 'timestamp', 'mismatched', 1, false
+ union all select 'drift', "column", 'psi', cast(psi >= 0.2 as bigint), true from psi_num
+ union all select 'drift', "column", 'psi', cast(psi >= 0.2 as bigint), true from psi_cat
+ union all select 'drift', "column", 'rate_shift', cast(abs(cur-ref) > 0.05 as bigint), true from shift)
+"""
+)
+
+
+@query("full_status", FULL_STATUS_SQL + "select * from full_status")
+def full_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = transactions(spark, sf_dir)
+    baseline = settled(drift.build_baseline(drift.baseline_sample(tx)))
+    return validation.full_status(tx, drift.check_drift(tx, baseline))
+
+
+@query(
+    "overall_verdict",
+    FULL_STATUS_SQL + """
+select coalesce("check", '*') as "check", bool_and(passed) as passed, count(*) filter (where not passed) as failed_rules,
+ count(*) filter (where passed and violations > 0) as warnings from full_status group by rollup("check")
+""",
+)
+def overall_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.overall_verdict(full_status(spark, sf_dir))
+
+
+@query("schema_findings", """
+select * from (values ('timestamp', 'mismatched'), ('currency', 'unexpected'), ('channel', 'unexpected'),
+ ('fee', 'unexpected'), ('location_lat', 'missing')) t("column", finding)
+""")
+def schema_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty table, one column taken away."""
+    return validation.schema_findings(blemished_transactions(spark, sf_dir).drop("location_lat"))
+
+
+@query("guard_findings", """
+select * from (values ('columns', 'missing columns: [''device_id'', ''amount'']'), ('rows', 'transactions has no rows'),
+ ('table', 'passed')) t(guard, outcome)
+""")
+def guard_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the source guards say of a table without rows, one without two columns, and the whole table."""
+    tx = transactions(spark, sf_dir)
+
+    def outcome(guard) -> str:
+        try:
+            guard()
+        except files.SourceError as error:
+            return str(error)
+        return "passed"
+
+    rows = [
+        ("rows", outcome(lambda: files.require_rows(tx.where("is_fraud = 7"), "transactions"))),
+        ("columns", outcome(lambda: files.require_columns(tx.drop("amount", "device_id"), ["device_id", "sender_id", "amount"]))),
+        ("table", outcome(lambda: files.require_columns(files.require_rows(tx), contract.SCORING_COLUMNS))),
+    ]
+    return spark.createDataFrame(rows, "guard string, outcome string")
+
+
 def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = cleaning.null_nonfinite(blemished_transactions(spark, sf_dir)).select(*_COLUMNS[:14])
     return cleaning.drop_null_rows(cleaning.drop_duplicates(table))

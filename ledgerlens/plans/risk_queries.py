@@ -144,7 +144,7 @@ DEVICE_SENDERS = TX + """, per_device as (select device_id, count(distinct sende
 
 def _device_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, "transaction_id", "sender_id", "device_id", "amount", "is_fraud")
-    return rates.rate_by(summaries.with_device_senders(tx), "device_unique_senders")
+    return summaries.rate_by_sharing(summaries.device_activity(tx), "unique_senders", "device_unique_senders")
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
@@ -14,10 +14,19 @@ from ledgerlens.operators import drift
 from ledgerlens.operators.cleaning import clean, pass_through
 from ledgerlens.operators.features import FEATURES, SCALED, features
 from ledgerlens.operators.metrics import batch_summary, evaluation_report
-from ledgerlens.operators.models import LABEL, train, with_decision, with_score
+from ledgerlens.operators.models import (
+    BOOSTING_ROUNDS,
+    LABEL,
+    estimator_of,
+    random_search,
+    train,
+    with_decision,
+    with_score,
+)
 from ledgerlens.operators.profiles import Profiles
-from ledgerlens.operators.sampling import smote, stratified_split
+from ledgerlens.operators.sampling import smote, stratified_split, with_class_weight
 from ledgerlens.operators.scaling import Scaler, apply_scaler, fit_scaler
+from ledgerlens.operators.small import settled
 from ledgerlens.operators.validation import validate
 from ledgerlens.sources import runlog, state
 from ledgerlens.sources.contract import ID_COLUMNS, SCORING_COLUMNS
@@ -85,10 +94,17 @@ def train_and_evaluate(
 
 
 def training_run(
-    raw: DataFrame, root: str, run_id: str, estimator: Estimator | None = None, fit_on: str = "train"
+    raw: DataFrame,
+    root: str,
+    run_id: str,
+    estimator: Estimator | None = None,
+    fit_on: str = "train",
+    rounds: int = BOOSTING_ROUNDS,
 ) -> DataFrame:
     """Clean, validate, prepare, train, evaluate. Returns the evaluation report.
 
+    Without an ``estimator`` boosted trees are trained with the parameters of the best trial that a search has logged
+    below ``root`` (:func:`search_run`), else with the defaults.
     The first run stores a drift baseline; later runs store a drift report, which warns and never fails.
     """
     spark = raw.sparkSession
@@ -101,9 +117,24 @@ def training_run(
     else:
         state.save_table(drift.check_drift(rows, baseline), f"{root}/drift")
     prepared = prepare(rows, root, fit_on)
+    if estimator is None:
+        params = runlog.resolve_params(state.load_table(spark, f"{root}/run_metrics"), {})
+        estimator = estimator_of(params, rounds)
+        if "positive_weight" in params:
+            weighted = with_class_weight(prepared.train, params["positive_weight"], LABEL)
+            prepared = replace(prepared, train=weighted)
     return train_and_evaluate(prepared, root, run_id, estimator)[1]
 
 
+def search_run(
+    train_rows: DataFrame, root: str, run_id: str, trials: list[dict], when: dt.datetime | None = None, **options
+) -> DataFrame:
+    """Search over ``trials`` (:func:`~ledgerlens.operators.models.random_search`) and log every one of them."""
+    found = settled(random_search(train_rows, FEATURES, trials, **options))
+    runlog.append_metrics(runlog.trial_rows(found, run_id, when or dt.datetime.now(dt.timezone.utc)), f"{root}/run_metrics")
+    return found
+
+
 def score_batch(
     batch: DataFrame,
     profiles: Profiles,

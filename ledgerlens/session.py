@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +18,8 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
         # A hot sender splits even where the split costs a later exchange.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Sessions of a hot sender are merged in the map tasks first.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -30,17 +30,13 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session may fall back to a temporary
-    folder, because there the driver's disk is every executor's disk.
+    The cluster names it in ``spark.checkpoint.dir``; without it, it is a folder below the warehouse, which all
+    executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="ledgerlens-")
-    sc.setCheckpointDir(named)
+    sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()

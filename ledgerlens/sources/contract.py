@@ -51,7 +51,7 @@ ACCEPTED = {
     "string": (T.StringType, T.VarcharType, T.CharType),
     "integer": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
     "float": (T.FloatType, T.DoubleType),
-    "number": (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType),
+    "number": (T.FloatType, T.DoubleType),
     "boolean": (T.BooleanType,),
     "datetime": (T.TimestampType, T.TimestampNTZType, T.DateType),
 }
