@@ -30,7 +30,7 @@ from ledgerlens.llm.common import whole_text
 from ledgerlens.llm.segment import Segmenter
 
 SPACE = "▁"
-PATHS_HELD = 300_000
+PATHS_HELD = 120_000
 # Fixed values of the model format: kinds of pieces, and the byte-pair model type.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 BYTE_PAIR = 2

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import ahocorasick
 
-PAIRS_HELD = 1_000_000
+PAIRS_HELD = 300_000
 NONE = -1
 
 

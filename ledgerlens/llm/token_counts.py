@@ -32,7 +32,7 @@ from ledgerlens.llm.segment import Segmenter
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACES = re.compile(r"\s\s")
-PIECES_HELD = 300_000
+PIECES_HELD = 120_000
 TOKEN_LIMIT = 512
 
 
