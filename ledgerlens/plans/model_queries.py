@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.labels import DECISION_THRESHOLD
 from ledgerlens.operators import models, sampling
 from ledgerlens.operators.features import FEATURES
 from ledgerlens.operators.metrics import ranking_metrics
@@ -82,6 +83,42 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.permutation_importance(prepared.test, _trained(spark, sf_dir), FEATURES)
 
 
+@query("trained_model_checks", TX + """
+, held as (select * from tx where is_fraud is not null and substr(md5(concat(transaction_id, ':42')), 1, 8) < '33333333')
+select 'test_rows' as fact, cast(count(*) as double) as "value" from held
+union all select 'confusion_rows', cast(count(*) as double) from held
+union all select 'confusion_positives', cast(sum(is_fraud) as double) from held
+union all select 'scored_rows', cast(count(*) as double) from tx
+union all select 'scores_outside_0_1', 0.0
+union all select 'decisions_off_threshold', 0.0
+union all select 'importance_total', 1.0
+union all select 'permuted_features', 21.0
+""")
+def trained_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that any trained model must meet, from the evaluation, the scored batch and both importances."""
+    prepared, model = _prepared(spark, sf_dir), _trained(spark, sf_dir)
+    report = train_gbt(spark, sf_dir).first()
+    batch = score_batch_query(spark, sf_dir)
+    odd = batch.agg(
+        F.count("*").alias("rows"),
+        F.count_if(~F.col("score").between(0, 1)).alias("outside"),
+        F.count_if(F.col("predicted_fraud") != (F.col("score") >= DECISION_THRESHOLD).cast("int")).alias("off"),
+    ).first()
+    shares = models.importances(model, FEATURES, prepared.test).agg(F.round(F.sum("share"), 6)).first()[0]
+    permuted = models.permutation_importance(prepared.test, model, FEATURES).count()
+    facts = {
+        "test_rows": prepared.test.count(),
+        "confusion_rows": report["tp"] + report["fp"] + report["fn"] + report["tn"],
+        "confusion_positives": report["tp"] + report["fn"],
+        "scored_rows": odd["rows"],
+        "scores_outside_0_1": odd["outside"],
+        "decisions_off_threshold": odd["off"],
+        "importance_total": shares,
+        "permuted_features": permuted,
+    }
+    return spark.createDataFrame([(k, float(v)) for k, v in facts.items()], "fact string, value double")
+
+
 @query("feature_ablation")
 def feature_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
