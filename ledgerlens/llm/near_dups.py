@@ -9,11 +9,13 @@ all has a probability of about 1e-7.
 
 Links are confirmed on the full sets, in two waves that never list all pairs of a group:
 
-1. every class is compared with the first class of each of its keys, and the nearest of those is confirmed;
-2. keys whose classes are still in different components compare the classes of different components, in blocks, inside
-   the tasks; what passes the size bound and the signature distance is confirmed as well.
+1. Every key has a centre: the class that meets most others over all its keys, which is the original where a group are
+   edited copies of one text. A class is compared with the centres of its keys, and the nearest is confirmed.
+2. Keys whose classes are still in different components compare the classes of different components, in blocks, inside
+   the tasks. What passes the size bound and a longer signature (320 symbols of 8 bits) is confirmed as well, once for
+   the first key that a pair shares.
 
-So a group of copies is linked through its first members, and no link between different components is lost.
+So a group of copies is linked through its centres, and no link between different components is lost.
 
 Defined results: a null text, or one without words, has an empty set and is linked with nothing; a text with fewer
 than five words is one shingle; null ids count as larger than any other id (``component_id`` is null only if no id of
@@ -40,12 +42,14 @@ SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 SYMBOLS, CHUNKS, SYMBOL_BITS = 80, 16, 14
 CHUNK_SYMBOLS = SYMBOLS // CHUNKS
-# Beyond this distance a pair at the similarity limit is found with a probability below 1e-6.
-MAX_DISTANCE = 40
+# Of the longer signature. A pair at the similarity limit is farther apart with a probability below 1e-6.
+LONG_SYMBOLS, MAX_DISTANCE = 320, 120
 BLOCK_ROWS = 2048
 _rng = np.random.default_rng(20240229)
-_MULTIPLY = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
+_MULTIPLY = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
+# How a class keeps its symbols: those of the index, and those of the longer signature.
+SIGNATURE = np.dtype([("index", "<u2", SYMBOLS), ("long", "u1", LONG_SYMBOLS)])
 
 
 def shingle_set(text: str, width: int = SHINGLE_WORDS) -> np.ndarray:
@@ -54,12 +58,20 @@ def shingle_set(text: str, width: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def signature(members: np.ndarray) -> np.ndarray:
-    """The b-bit MinHash symbols of a set that is not empty."""
-    lowest = np.full(SYMBOLS, np.uint64(2**64 - 1))
-    for begin in range(0, len(members), 1024):
-        part = members[begin : begin + 1024, None] * _MULTIPLY + _ADD
+    """The b-bit MinHash symbols of a set that is not empty, as one SIGNATURE."""
+    lowest = np.full(LONG_SYMBOLS, np.uint64(2**64 - 1))
+    for begin in range(0, len(members), 256):
+        part = members[begin : begin + 256, None] * _MULTIPLY + _ADD
         np.minimum(lowest, part.min(axis=0), out=lowest)
-    return (mix(lowest) & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.uint16)
+    mixed = mix(lowest)
+    out = np.zeros(1, SIGNATURE)
+    out["index"] = mixed[:SYMBOLS] & np.uint64((1 << SYMBOL_BITS) - 1)
+    out["long"] = mixed >> np.uint64(56)
+    return out
+
+
+def signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=SIGNATURE)
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -113,8 +125,7 @@ def _key_rows(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 2048):
                 part = batch.slice(begin, 2048)
-                symbols = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
-                keys = index_keys(symbols)
+                keys = index_keys(signatures(part.column(1))["index"])
                 names = np.repeat(part.column(0).to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(names)], schema.names)
 
@@ -123,7 +134,7 @@ def _key_rows(classes: DataFrame) -> DataFrame:
 
 def _close(batch_a: pa.Array, batch_b: pa.Array) -> np.ndarray:
     """Signature distances, row by row."""
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS) for x in (batch_a, batch_b))
+    a, b = (signatures(x)["long"] for x in (batch_a, batch_b))
     return (a != b).sum(axis=1)
 
 
@@ -176,25 +187,37 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     return settled(both.select("a", "b", "ma", "mb").mapInArrow(compared, link_schema))
 
 
+def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The first key that index symbols share with those of others (a row each): chunk and symbol left out, as a number."""
+    same = (others == one).reshape(len(others), CHUNKS, CHUNK_SYMBOLS)
+    chunk = (same.sum(axis=2) >= CHUNK_SYMBOLS - 1).argmax(axis=1)
+    inside = same[np.arange(len(others)), chunk]
+    return chunk * CHUNK_SYMBOLS + np.where(inside.all(axis=1), 0, inside.argmin(axis=1))
+
+
 def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
     """Pairs of classes that share a key, differ in component, and pass the size bound and the distance.
 
-    ``rows`` has key, block pair, side, c, label, n, sig. A task goes through its sorted units one by one; a unit holds
-    at most two blocks of about BLOCK_ROWS rows.
+    ``rows`` has key, a pair of blocks (one, two), own block, c, label, n, sig. A task goes through its sorted units one
+    by one; a unit holds at most two blocks of about BLOCK_ROWS rows. A pair is given by the first key it shares.
     """
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
-    def pairs_of(unit: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        c, label, n = (unit.column(k).to_numpy() for k in ("c", "label", "n"))
-        sig = np.frombuffer(b"".join(unit.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
+    def pairs_of(unit: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        c, label, n, block = (unit.column(k).to_numpy() for k in ("c", "label", "n", "block"))
+        slot = unit.column("key")[0].as_py() >> (SYMBOL_BITS * (CHUNK_SYMBOLS - 1))
+        within = unit.column("one")[0].as_py() == unit.column("two")[0].as_py()
+        sig = signatures(unit.column("sig"))
         left, right = [], []
         for i in range(len(c)):
-            other = np.flatnonzero(
-                (label != label[i]) & (c > c[i]) & (100 * np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
-            )
-            near = other[(sig[other] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
-            left.append(np.full(len(near), c[i]))
-            right.append(c[near])
+            fits = (label != label[i]) & (100 * np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
+            other = np.flatnonzero(fits & (c > c[i]) & ((block == block[i]) if within else (block != block[i])))
+            if len(other):
+                other = other[(sig["long"][other] != sig["long"][i]).sum(axis=1) <= MAX_DISTANCE]
+            if len(other):
+                other = other[first_shared(sig["index"][i], sig["index"][other]) == slot]
+            left.append(np.full(len(other), c[i]))
+            right.append(c[other])
         return np.concatenate(left), np.concatenate(right)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +244,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         if held:
             yield from units(last=True)
 
-    return rows.select("key", "one", "two", "c", "label", "n", "sig").mapInArrow(compared, schema).distinct()
+    return rows.select("key", "one", "two", "block", "c", "label", "n", "sig").mapInArrow(compared, schema)
 
 
 def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -240,25 +263,29 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     )
     keys = _key_rows(classes)
     # Keys with one class are done; the rest keep their rows for both waves.
-    firsts = keys.groupBy("key").agg(F.min("c").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    shared = settled(keys.join(firsts, "key"))
-    stars = shared.where("c <> first").select(F.col("c").alias("a"), F.col("first").alias("b")).distinct()
+    several = settled(keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"))
+    shared = settled(keys.join(several, "key"))
+    met = settled(shared.groupBy("c").agg(F.sum("rows").alias("met")))
+    centres = settled(shared.join(met, "c").groupBy("key").agg(F.max(F.struct("met", "c")).alias("centre")))
+    stars = shared.join(centres, "key").select(F.col("c").alias("a"), F.col("centre.c").alias("b"))
+    stars = stars.where("a <> b").distinct()
     near = _with_distance(stars, classes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     links = _confirmed(settled(near.select("a", "best.b")), docs, classes, width, similarity)
     labels = component_labels(links)
 
+    labels = settled(labels)
     placed = shared.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "label", F.coalesce("label", "c")
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+    mixed = settled(mixed.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")))
     rows = placed.select("key", "c", "label").join(mixed, "key").join(classes.select("c", "n", "sig"), "c")
     block = F.pmod(F.xxhash64("c"), F.col("blocks"))
     pairs_of_blocks = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.struct(F.least(block, other).alias("one"), F.greatest(block, other).alias("two")),
     )
-    units = rows.select("key", "c", "label", "n", "sig", F.inline(pairs_of_blocks))
+    units = rows.select("key", "c", "label", "n", "sig", block.alias("block"), F.inline(pairs_of_blocks))
     dealt = units.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     second = settled(_cross_pairs(dealt, similarity))
     if not second.isEmpty():
