@@ -25,7 +25,7 @@ table; columns other than doc_id and text pass through ``keep_rows`` untouched.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -154,37 +154,62 @@ def _with_distance(pairs: DataFrame, classes: DataFrame, similarity: int) -> Dat
     return both.select("a", "b", "sa", "sb").mapInArrow(measured, schema).where(F.col("distance") <= MAX_DISTANCE)
 
 
+def may_share(one: np.ndarray, two: np.ndarray, similarity: int) -> bool:
+    """Whether sets with these 16-bit ends of their members can reach the similarity; never false if they do."""
+    found = np.zeros((2, 1 << 16), bool)
+    found[0, one] = found[1, two] = True
+    shared = min(int(found[0, two].sum()), int(found[1, one].sum()))
+    return 100 * shared >= similarity * (len(one) + len(two) - shared)
+
+
+def reach(one: np.ndarray, two: np.ndarray, similarity: int) -> bool:
+    """Whether two full sets reach the similarity."""
+    merged = np.concatenate([one, two])
+    merged.sort(kind="stable")
+    shared = int((merged[1:] == merged[:-1]).sum())
+    return 100 * shared >= similarity * (len(one) + len(two) - shared)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame:
-    """The pairs that reach the similarity on their full sets, written. Only texts of these classes are read again."""
+    """The pairs that reach the similarity on their full sets, written. Only texts of these classes are read again.
+
+    The two leading bytes of every member already bound what two sets can share, so pairs meet with those first, and
+    with their full sets only where the bound leaves them.
+    """
     wanted = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     texts = settled(classes.join(wanted, "c").select("c", "t1", "t2"))
     held = docs.select(*text_key(), whole_text().alias("text")).join(texts, ["t1", "t2"]).select("c", "text")
-    set_schema = T.StructType([T.StructField("c", T.LongType()), T.StructField("members", T.BinaryType())])
+    binary = [T.StructField(n, T.BinaryType()) for n in ("members", "ends")]
+    set_schema = T.StructType([T.StructField("c", T.LongType()), *binary])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], set_schema.names)
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(1)]
+            ends = [(x >> np.uint64(48)).astype(np.uint16).tobytes() for x in sets]
+            columns = [pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(ends, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], set_schema.names)
 
     sets = settled(held.mapInArrow(members, set_schema).dropDuplicates(["c"]))
-    both = pairs.join(sets.withColumnsRenamed({"c": "a", "members": "ma"}), "a").join(
-        sets.withColumnsRenamed({"c": "b", "members": "mb"}), "b"
+    possible = _compared(pairs, sets.select("c", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
+    return _compared(possible, sets.select("c", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, kind: type, good: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs (a, b) whose sets pass a test, written. ``sets`` has c and one binary column."""
+    name = sets.columns[1]
+    both = pairs.join(sets.withColumnsRenamed({"c": "a", name: "ma"}), "a").join(
+        sets.withColumnsRenamed({"c": "b", name: "mb"}), "b"
     )
-    link_schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for one, two in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in (one, two))
-                merged = np.concatenate([x, y])
-                merged.sort(kind="stable")
-                shared = int((merged[1:] == merged[:-1]).sum())
-                good.append(100 * shared >= similarity * (len(x) + len(y) - shared))
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], link_schema.names)
-
-    return settled(both.select("a", "b", "ma", "mb").mapInArrow(compared, link_schema))
+            columns = zip(batch.column(2), batch.column(3), strict=True)
+            passed = [good(*(np.frombuffer(m.as_buffer(), dtype=kind) for m in pair)) for pair in columns]
+            keep = pa.array(passed, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], schema.names)
+
+    return settled(both.select("a", "b", "ma", "mb").mapInArrow(tested, schema))
 
 
 def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:

@@ -150,6 +150,30 @@ def test_signatures_within_the_guarantee_share_a_key():
     assert keys.min() >= 0
 
 
+def test_leading_bytes_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 40, 900, 5000):
+        for share in (0.5, 0.8, 0.86, 0.95):
+            one = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+            two = np.unique(np.concatenate([one[: int(len(one) * share)], rng.integers(0, 2**63, n, dtype=np.uint64)[: int(n * (1 - share))]]))
+            exact = 100 * len(np.intersect1d(one, two)) >= 75 * len(np.union1d(one, two))
+            assert near_dups.reach(one, two, 75) == exact
+            if exact:
+                ends = [(x >> np.uint64(48)).astype(np.uint16) for x in (one, two)]
+                assert near_dups.may_share(*ends, 75)
+
+
+def test_first_shared_key():
+    rng = np.random.default_rng(9)
+    one = rng.integers(0, 3, near_dups.SYMBOLS).astype(np.uint16)
+    others = rng.integers(0, 3, (50, near_dups.SYMBOLS)).astype(np.uint16)
+    others[:, :5] = one[:5] ^ np.eye(5, dtype=np.uint16)[rng.integers(0, 5, 50)]
+    others[::2, 20:25] = one[20:25]
+    keys, own = near_dups.index_keys(others), near_dups.index_keys(one[None])[0]
+    for row, slot in zip(keys, near_dups.first_shared(one, others).tolist(), strict=True):
+        assert np.flatnonzero(row == own)[0] == slot
+
+
 def test_component_labels_of_a_long_chain(spark):
     links = spark.range(60).selectExpr("id + 1 as a", "id as b").unionByName(spark.sql("select 100L as a, 101L as b"))
     labels = {r.node: r.label for r in component_labels(links).collect()}
