@@ -12,7 +12,7 @@ Links are confirmed on the full sets, in two waves that never list all pairs of
 1. Every key has a centre: the class that meets most others over all its keys, which is the original where a group are
    edited copies of one text. A class is compared with the centres of its keys, and the nearest is confirmed.
 2. Keys whose classes are still in different components compare the classes of different components, in blocks, inside
-   the tasks. What passes the size bound and a longer signature (320 symbols of 8 bits) is confirmed as well, once for
+   the tasks. What passes the size bound and a longer signature (640 symbols of 8 bits) is confirmed as well, once for
    the first key that a pair shares.
 
 So a group of copies is linked through its centres, and no link between different components is lost.
@@ -43,7 +43,7 @@ SIMILARITY = 75  # in hundredths
 SYMBOLS, CHUNKS, SYMBOL_BITS = 80, 16, 14
 CHUNK_SYMBOLS = SYMBOLS // CHUNKS
 # Of the longer signature. A pair at the similarity limit is farther apart with a probability below 1e-6.
-LONG_SYMBOLS, MAX_DISTANCE = 320, 120
+LONG_SYMBOLS, MAX_DISTANCE = 640, 216
 BLOCK_ROWS = 2048
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -170,14 +170,12 @@ def reach(one: np.ndarray, two: np.ndarray, similarity: int) -> bool:
     return 100 * shared >= similarity * (len(one) + len(two) - shared)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame:
-    """The pairs that reach the similarity on their full sets, written. Only texts of these classes are read again.
+def _full_sets(names: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """The full sets of the classes in ``names`` (c), and the two leading bytes of each member, written.
 
-    The two leading bytes of every member already bound what two sets can share, so pairs meet with those first, and
-    with their full sets only where the bound leaves them.
+    Texts of other classes are not looked at again. Both waves of links read this table.
     """
-    wanted = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    texts = settled(classes.join(wanted, "c").select("c", "t1", "t2"))
+    texts = settled(classes.join(names, "c").select("c", "t1", "t2"))
     held = docs.select(*text_key(), whole_text().alias("text")).join(texts, ["t1", "t2"]).select("c", "text")
     binary = [T.StructField(n, T.BinaryType()) for n in ("members", "ends")]
     set_schema = T.StructType([T.StructField("c", T.LongType()), *binary])
@@ -189,7 +187,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
             columns = [pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(ends, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], set_schema.names)
 
-    sets = settled(held.mapInArrow(members, set_schema).dropDuplicates(["c"]))
+    return settled(held.mapInArrow(members, set_schema).dropDuplicates(["c"]))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs that reach the similarity on their full sets, written.
+
+    The leading bytes bound what two sets can share, so pairs meet with those first, and with their full sets only where
+    the bound leaves them.
+    """
     possible = _compared(pairs, sets.select("c", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
     return _compared(possible, sets.select("c", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
 
@@ -295,7 +301,8 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     stars = shared.join(centres, "key").select(F.col("c").alias("a"), F.col("centre.c").alias("b"))
     stars = stars.where("a <> b").distinct()
     near = _with_distance(stars, classes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
-    links = _confirmed(settled(near.select("a", "best.b")), docs, classes, width, similarity)
+    sets = _full_sets(met.select("c"), docs, classes, width)
+    links = _confirmed(settled(near.select("a", "best.b")), sets, similarity)
     labels = component_labels(links)
 
     labels = settled(labels)
@@ -314,7 +321,7 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     dealt = units.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     second = settled(_cross_pairs(dealt, similarity))
     if not second.isEmpty():
-        links = links.unionByName(_confirmed(second, docs, classes, width, similarity))
+        links = links.unionByName(_confirmed(second, sets, similarity))
         labels = component_labels(links)
 
     named = classes.select("c", "first_id").join(labels.withColumnRenamed("node", "c"), "c", "left")
