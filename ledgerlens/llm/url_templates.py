@@ -1,9 +1,8 @@
 """URL filters: a few given rules first, then a tree of path templates for each host.
 
 A path becomes up to three segments (what is deeper counts as ``**``); a segment with a digit is a variable and becomes
-``*``. The tree of a host is walked from the root: below a node, children become ``*`` together if there are too many
-of them, and a child is merged into ``*`` if its labelled share of bad pages does not differ from that of its siblings
-(two-proportion test). Each template that is left has a smoothed share of bad pages, which leans on the share of all
+``*``. The tree of a host is walked from the root: below a node, a child is merged into ``*`` if its labelled share of
+bad pages does not differ from that of its siblings (two-proportion test), however many there are. Each template that is left has a smoothed share of bad pages, which leans on the share of all
 labelled pages, and is blocked above a limit. All of it is joins and grouped sums over template counts; the rows of a
 hot host are summed in the map tasks before anything is shuffled.
 
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import ascii_lower
 from ledgerlens.operators.small import one_row, settled
 
-MAX_CHILDREN = 32
+MAX_CHILDREN = 32  # only the SQL of op9 still has this limit
 Z_SQUARED = 3.84
 PRIOR_WEIGHT = 10.0
 BLOCK_SHARE = 0.5
@@ -56,27 +55,23 @@ def segments(path: str) -> list[Column]:
     return [F.when(s.rlike("[0-9]"), "*").otherwise(s).alias(n) for s, n in zip(found, LEVELS, strict=True)]
 
 
-def _merged(tree: DataFrame, level: int, max_children: int, z_squared: float) -> DataFrame:
+def _merged(tree: DataFrame, level: int, z_squared: float) -> DataFrame:
     """Decide the children at one level: ``tree`` has the given segments, the names so far (t1..) and counts."""
     parent = ["host", *[f"t{i + 1}" for i in range(level)]]
     child = LEVELS[level]
     children = tree.groupBy(*parent, child).agg(F.sum("labelled").alias("nc"), F.sum("bad").alias("bc"))
-    whole = children.groupBy(*parent).agg(
-        F.count("*").alias("children"), F.sum("nc").alias("np"), F.sum("bc").alias("bp")
-    )
+    whole = children.groupBy(*parent).agg(F.sum("nc").alias("np"), F.sum("bc").alias("bp"))
     nc, bc, np_, bp = (F.col(c).cast("double") for c in ("nc", "bc", "np", "bp"))
     gap = bc * (np_ - nc) - (bp - bc) * nc
     differs = gap * gap * np_ > F.lit(z_squared) * nc * (np_ - nc) * bp * (np_ - bp)
-    own = (F.col("children") <= max_children) & differs
     named = children.join(whole, parent).select(
-        *parent, child, F.when(own, F.col(child)).otherwise("*").alias(f"t{level + 1}")
+        *parent, child, F.when(differs, F.col(child)).otherwise("*").alias(f"t{level + 1}")
     )
     return tree.join(named, [*parent, child])
 
 
 def template_tree(
     pages: DataFrame,
-    max_children: int = MAX_CHILDREN,
     z_squared: float = Z_SQUARED,
     prior_weight: float = PRIOR_WEIGHT,
 ) -> DataFrame:
@@ -89,7 +84,7 @@ def template_tree(
     )
     total = one_row(tree.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
     for level in range(len(LEVELS)):
-        tree = _merged(tree, level, max_children, z_squared)
+        tree = _merged(tree, level, z_squared)
     names = ["t1", "t2", "t3"]
     shares = tree.groupBy("host", *names).agg(F.sum("labelled").alias("tn"), F.sum("bad").alias("tb"))
     prior = F.coalesce(total["b"] / F.when(total["n"] > 0, total["n"]), F.lit(0.0))

@@ -213,6 +213,15 @@ def test_urls_against_sql(spark, tmp_path):
     assert any(v == (None, "block") for i, v in verdicts.items() if i and i >= 100)
 
 
+def test_a_bad_section_is_blocked_however_many_siblings_it_has(spark):
+    urls = [f"http://big.com/{name}/x" for name in ["spam", *[f"clean{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]] for _ in range(50)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int("/spam/" in u)) for i, u in enumerate(urls)], "page_id long, bad int")
+    for r in url_templates.filter_urls(pages, labels, []).collect():
+        assert (r.verdict == "block") == ("/spam/" in r.path)
+        assert r.template.startswith("/spam/") == ("/spam/" in r.path)
+
+
 def test_urls_without_labels_or_pages(spark):
     pages = spark.createDataFrame(URLS, "page_id long, url string")
     labels = spark.createDataFrame([], "page_id long, bad int")
