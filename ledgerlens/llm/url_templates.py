@@ -1,10 +1,14 @@
 """URL filters: a few given rules first, then a tree of path templates for each host.
 
-A path becomes up to three segments (what is deeper counts as ``**``); a segment with a digit is a variable and becomes
-``*``. The tree of a host is walked from the root: below a node, a child is merged into ``*`` if its labelled share of
-bad pages does not differ from that of its siblings (two-proportion test), however many there are. Each template that is left has a smoothed share of bad pages, which leans on the share of all
-labelled pages, and is blocked above a limit. All of it is joins and grouped sums over template counts; the rows of a
-hot host are summed in the map tasks before anything is shuffled.
+All segments of a path count; a segment with a digit is a variable and becomes ``*``. The tree of a host is walked from
+the root: below a node, a child is merged into ``*`` if its labelled share of bad pages does not differ from that of its
+siblings (two-proportion test), however many there are. A path that has ended has the child ``''``. After the third
+level only nodes with good and bad pages go on, as long as a labelled path of theirs goes deeper: in others no child can
+differ. Each template that is left has a smoothed share of bad pages, which leans on the share of all labelled pages,
+and is blocked above a limit. All of it is joins and grouped sums over template counts, a written table a level; the
+rows of a hot host are summed in the map tasks before anything is shuffled.
+
+A template has three segments at least; after those, ``*`` at its end are left out.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, and is judged like any other template;
 repeated rows get a row each; pages without label only add to a template's size; with no labelled page at all nothing
@@ -23,7 +27,7 @@ MAX_CHILDREN = 32  # only the SQL of op9 still has this limit
 Z_SQUARED = 3.84
 PRIOR_WEIGHT = 10.0
 BLOCK_SHARE = 0.5
-LEVELS = ["s1", "s2", "s3"]
+LEAST_LEVELS = 3
 
 
 def url_parts(url: str = "url") -> tuple[Column, Column]:
@@ -48,49 +52,61 @@ def rule_for(host: str, path: str, rules: list[tuple[str, str]]) -> Column:
     return F.array_max(F.array(*fitting))
 
 
-def segments(path: str) -> list[Column]:
-    parts = F.split(F.col(path), "/", -1)
-    third = F.when(F.size(parts) > 4, "**").otherwise(F.coalesce(F.get(parts, F.lit(3)), F.lit("")))
-    found = [F.coalesce(F.get(parts, F.lit(1)), F.lit("")), F.coalesce(F.get(parts, F.lit(2)), F.lit("")), third]
-    return [F.when(s.rlike("[0-9]"), "*").otherwise(s).alias(n) for s, n in zip(found, LEVELS, strict=True)]
+def segments(path: str) -> Column:
+    """All segments of a path, without empty ones at its end; those with a digit are ``*``."""
+    parts = F.split(F.regexp_replace(F.col(path), "/+$", ""), "/", -1)
+    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
 
 
-def _merged(tree: DataFrame, level: int, z_squared: float) -> DataFrame:
-    """Decide the children at one level: ``tree`` has the given segments, the names so far (t1..) and counts."""
-    parent = ["host", *[f"t{i + 1}" for i in range(level)]]
-    child = LEVELS[level]
-    children = tree.groupBy(*parent, child).agg(F.sum("labelled").alias("nc"), F.sum("bad").alias("bc"))
-    whole = children.groupBy(*parent).agg(F.sum("nc").alias("np"), F.sum("bc").alias("bp"))
+def _named(tree: DataFrame, level: int, z_squared: float) -> DataFrame:
+    """Lengthen ``node``, the name so far, by the child at one level."""
+    placed = tree.withColumn("child", F.coalesce(F.get("segments", F.lit(level)), F.lit("")))
+    children = placed.groupBy("host", "node", "child").agg(F.sum("labelled").alias("nc"), F.sum("bad").alias("bc"))
+    whole = children.groupBy("host", "node").agg(F.sum("nc").alias("np"), F.sum("bc").alias("bp"))
     nc, bc, np_, bp = (F.col(c).cast("double") for c in ("nc", "bc", "np", "bp"))
     gap = bc * (np_ - nc) - (bp - bc) * nc
     differs = gap * gap * np_ > F.lit(z_squared) * nc * (np_ - nc) * bp * (np_ - bp)
-    named = children.join(whole, parent).select(
-        *parent, child, F.when(differs, F.col(child)).otherwise("*").alias(f"t{level + 1}")
+    own = children.join(whole, ["host", "node"]).where(differs).select("host", "node", "child", F.lit(True).alias("own"))
+    name = F.concat("node", F.lit("/"), F.when(F.col("own"), F.col("child")).otherwise("*"))
+    return placed.join(own, ["host", "node", "child"], "left").select(
+        "host", "segments", "labelled", "bad", name.alias("node")
     )
-    return tree.join(named, [*parent, child])
 
 
-def template_tree(
-    pages: DataFrame,
-    z_squared: float = Z_SQUARED,
-    prior_weight: float = PRIOR_WEIGHT,
-) -> DataFrame:
-    """host, s1, s2, s3 (as in the URLs), their template, and its smoothed bad share ``purity``.
+def template_tree(pages: DataFrame, z_squared: float = Z_SQUARED, prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
+    """host, segments (as in the URLs), their template, and its smoothed bad share ``purity``.
 
-    ``pages`` has host, s1, s2, s3 and ``bad`` (0, 1 or null for pages without label).
+    ``pages`` has host, segments and ``bad`` (0, 1 or null for pages without label).
     """
-    tree = settled(
-        pages.groupBy("host", *LEVELS).agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    )
+    counts = [F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")]
+    tree = settled(pages.groupBy("host", "segments").agg(*counts))
     total = one_row(tree.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
-    for level in range(len(LEVELS)):
-        tree = _merged(tree, level, z_squared)
-    names = ["t1", "t2", "t3"]
-    shares = tree.groupBy("host", *names).agg(F.sum("labelled").alias("tn"), F.sum("bad").alias("tb"))
+    tree = tree.withColumn("node", F.lit(""))
+    depth = F.max(F.when(F.col("labelled") > 0, F.size("segments")))
+    deepest = tree.agg(depth).first()[0] or 0
+    parts, level = [], 0
+    while True:
+        tree = settled(_named(tree, level, z_squared))
+        level += 1
+        if level >= max(LEAST_LEVELS, deepest):
+            break
+        if level < LEAST_LEVELS:
+            continue
+        nodes = tree.groupBy("host", "node").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"), depth.alias("depth"))
+        live = settled(nodes.where((F.col("b") > 0) & (F.col("b") < F.col("n")) & (F.col("depth") > level)))
+        deepest = live.agg(F.max("depth")).first()[0] or 0
+        if not deepest:
+            break
+        parts.append(tree.join(live, ["host", "node"], "left_anti"))
+        tree = tree.join(live, ["host", "node"], "left_semi")
+    for part in parts:
+        tree = tree.unionByName(part)
+    template = F.regexp_replace("node", rf"^((?:/[^/]*){{{LEAST_LEVELS}}}.*?)(?:/\*)*$", "$1")
+    judged = settled(tree.withColumn("template", template)) if parts else tree.withColumn("template", template)
+    shares = judged.groupBy("host", "template").agg(F.sum("labelled").alias("tn"), F.sum("bad").alias("tb"))
     prior = F.coalesce(total["b"] / F.when(total["n"] > 0, total["n"]), F.lit(0.0))
     purity = (F.col("tb") + F.lit(prior_weight) * prior) / (F.col("tn") + F.lit(prior_weight))
-    judged = tree.select("host", *LEVELS, *names).join(shares, ["host", *names])
-    return judged.select("host", *LEVELS, F.concat_ws("/", F.lit(""), *names).alias("template"), purity.alias("purity"))
+    return judged.join(shares, ["host", "template"]).select("host", "segments", "template", purity.alias("purity"))
 
 
 def filter_urls(
@@ -106,11 +122,11 @@ def filter_urls(
     """
     host, path = url_parts()
     known = labels.groupBy("page_id").agg(F.max("bad").alias("bad"))
-    split = pages.select("page_id", host.alias("host"), path.alias("path")).select("*", *segments("path"))
-    tree = settled(template_tree(split.join(known, "page_id", "left").select("host", *LEVELS, "bad"), **options))
+    split = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("segments", segments("path"))
+    tree = settled(template_tree(split.join(known, "page_id", "left").select("host", "segments", "bad"), **options))
     rule = rule_for("host", "path", rules)
     by_template = F.when(F.col("purity") > block_share, "block").otherwise("allow")
-    return split.join(tree, ["host", *LEVELS]).select(
+    return split.join(tree, ["host", "segments"]).select(
         "page_id",
         "host",
         "path",

@@ -222,6 +222,22 @@ def test_a_bad_section_is_blocked_however_many_siblings_it_has(spark):
         assert r.template.startswith("/spam/") == ("/spam/" in r.path)
 
 
+def test_deep_sections_are_told_apart(spark):
+    urls = [f"http://deep.com/en/shop/{name}/x/{k}" for name in ("spam", "news") for k in range(50)]
+    urls += [f"http://deep.com/en/shop/mix/a/b/{name}/{k}/z/" for name in ("bad", "good") for k in range(50)]
+    urls += [f"http://deep.com/en/shop/mix/a{end}" for end in ("", "/") for _ in range(20)] + ["http://deep.com/en/shop/new/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = [(i, int("spam" in u or "bad" in u)) for i, u in enumerate(urls[:-1])]
+    labels = spark.createDataFrame(labels, "page_id long, bad int")
+    found = url_templates.filter_urls(pages, labels, []).collect()
+    assert len(found) == len(urls)
+    assert all((r.verdict == "block") == ("spam" in r.path or "bad" in r.path) for r in found)
+    names = {r.path: r.template for r in found}
+    assert names["/en/shop/spam/x/1"] == "/*/*/spam" and names["/en/shop/news/x/1"] == "/*/*/news"
+    assert names["/en/shop/mix/a/b/bad/1/z/"].endswith("/bad") and names["/en/shop/mix/a/b/good/1/z/"].endswith("/good")
+    assert names["/en/shop/mix/a"] == names["/en/shop/mix/a/"]
+
+
 def test_urls_without_labels_or_pages(spark):
     pages = spark.createDataFrame(URLS, "page_id long, url string")
     labels = spark.createDataFrame([], "page_id long, bad int")
