@@ -1,10 +1,12 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the bytes of a text (each byte shifts the hash and adds a random number of that byte, so 32
-bytes are remembered), and a chunk ends where the hash falls below a limit, on average every 32 bytes and never inside
-a character. An insertion moves only the chunk ends near it. Chunks are told apart by two 64-bit digests. A run of
-consecutive repeated chunks that is long enough counts as repeated text; of every chunk in such a run the first
-occurrence (smallest doc_id, then place) stays and the others are taken out.
+A gear hash rolls over the bytes of a text (each byte shifts the hash and adds a random number of that byte; the last 12
+bytes decide here), and a chunk ends where the hash falls below a limit, on average every 16 bytes and never inside a
+character. Where no end comes within 64 bytes, the chunk ends at the smallest hash of those (the last of equal ones), so
+texts that repeat a short pattern are cut at the same place of the pattern everywhere. An insertion moves only the chunk
+ends near it. Chunks are told apart by two 64-bit digests. A run of consecutive repeated chunks of 96 bytes or more
+counts as repeated text; of every chunk in such a run the first occurrence (smallest doc_id, then place) stays and the
+others are taken out.
 
 Chunks are counted by digest with sums made in the map tasks, and only rows of repeated chunks are shuffled with their
 places, so a chunk that a third of all texts share is one row for each task in the count, and a skewed key that the
@@ -29,8 +31,10 @@ from ledgerlens.llm.spans import ARROW_SPANS, SPANS, cut_texts, merged
 from ledgerlens.llm.word_hash import mix
 from ledgerlens.operators.small import settled
 
-MEAN_CHUNK = 32
-MIN_RUN = 128
+MEAN_CHUNK = 16
+MAX_CHUNK = 64
+REACH = 12
+MIN_RUN = 96
 _rng = np.random.default_rng(987654321)
 _GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _BYTES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)
@@ -47,14 +51,26 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(data: np.ndarray, mean_chunk: int = MEAN_CHUNK) -> np.ndarray:
+def chunk_ends(data: np.ndarray, mean_chunk: int = MEAN_CHUNK, max_chunk: int = MAX_CHUNK) -> np.ndarray:
     """Ends of the chunks of a text, the last of which is the end of the text."""
     if not len(data):
         return np.zeros(0, np.int64)
-    cut = gear_hashes(data) < np.uint32(2**32 // mean_chunk)
-    cut[:-1] &= (data[1:] & 0xC0) != 0x80  # not before a continuation byte
+    h = gear_hashes(data) << np.uint32(32 - REACH)  # what older bytes add is shifted out
+    inside = np.append((data[1:] & 0xC0) == 0x80, False)  # not before a continuation byte
+    cut = (h < np.uint32(2**32 // mean_chunk)) & ~inside
     cut[-1] = True
-    return np.flatnonzero(cut) + 1
+    ends = np.flatnonzero(cut) + 1
+    begins = np.concatenate([[0], ends[:-1]])
+    long = ends - begins > max_chunk
+    if not long.any():
+        return ends
+    h[inside] = 2**32 - 1
+    more = []
+    for begin, end in zip(begins[long].tolist(), ends[long].tolist(), strict=True):
+        while end - begin > max_chunk:
+            begin += max_chunk - int(h[begin : begin + max_chunk][::-1].argmin())  # the last of equal ones
+            more.append(begin)
+    return np.sort(np.concatenate([ends, more]))
 
 
 def chunk_digests(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

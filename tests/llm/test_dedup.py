@@ -260,3 +260,31 @@ def test_gear_hash_remembers_32_bytes_and_chunks_resist_shifts():
     shifted = np.concatenate([np.frombuffer(b"inserted", dtype=np.uint8), data])
     ends, later = set(chunk_dedup.chunk_ends(data)), {e - 8 for e in chunk_dedup.chunk_ends(shifted)}
     assert {e for e in ends if e > 32} <= later
+
+
+def _longest_shared_run(passage, left, right):
+    """Bytes of the longest run of chunks within a passage that another text, which holds it too, also has."""
+    own, other = ((f + passage + f[::-1]).encode() for f in (left, right))
+    pieces = []
+    for raw in (own, other):
+        ends = chunk_dedup.chunk_ends(np.frombuffer(raw, dtype=np.uint8)).tolist()
+        pieces.append(list(zip([0, *ends], ends, strict=False)))
+    shared = {other[b:e] for b, e in pieces[1]}
+    begin, end = len(left.encode()), len((left + passage).encode())
+    best, run = 0, 0
+    for b, e in pieces[0]:
+        run = run + e - b if b >= begin and e <= end and own[b:e] in shared else 0
+        best = max(best, run)
+    return best
+
+
+def test_passages_of_51_words_hold_a_long_run(spark):
+    passages = [sentence(51, 1000 + k) for k in range(300)]
+    passages += ["therble " * 51, "spam and eggs are here. " * 11, "漢字 " * 51]
+    assert all(
+        _longest_shared_run(p, sentence(30, 5000 + k)[k % 40 :], sentence(30, 9000 + k)[k % 37 :]) >= chunk_dedup.MIN_RUN
+        for k, p in enumerate(passages)
+    )
+    rows = [(2 * k + d, f"{sentence(20, 300 + 2 * k + d)} {p} {sentence(20, 700 + 2 * k + d)}") for k, p in enumerate(passages[:100]) for d in (0, 1)]
+    removed = {r.doc_id: r.n_removed for r in chunk_dedup.dedup_chunks(documents(spark, rows)).collect()}
+    assert all(removed[2 * k + 1] >= 0.6 * len(passages[k].encode()) for k in range(100))
