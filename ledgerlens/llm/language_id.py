@@ -4,8 +4,8 @@ A text is cut into windows of fixed length, the last one padded with zeros. Byte
 widths slide over the window, the largest response of each filter is kept, and a softmax layer turns those into
 language probabilities. A document gets the mean of its windows' probabilities, weighted by their bytes.
 
-The network is fitted on the driver from a bounded sample (``fit_rows`` labelled documents of each language, chosen by
-a hash of the text, one window each); prediction covers every byte of every document in batches of windows.
+The network is fitted on the driver from a bounded sample (about ``fit_rows`` different labelled texts of each of the
+MAX_LANGUAGES languages with most texts, chosen by a hash of the text, one window each); prediction covers every byte of every document in batches of windows.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is everything if there is nothing
 to learn from; with one language in the labels all other texts get it. Labels that are null are not learnt from.
@@ -145,12 +145,15 @@ def train(windows: np.ndarray, labels: list[str], epochs: int = EPOCHS, seed: in
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, epochs: int = EPOCHS) -> ByteCnn | None:
-    """Fit on at most ``fit_rows`` documents of each of at most MAX_LANGUAGES languages; None if there are none.
+    """Fit on about ``fit_rows`` different texts of each of at most MAX_LANGUAGES languages; None if there are none.
 
-    ``labelled`` has text and lang. The sample is a threshold on a hash of the text, so no group is sorted.
+    ``labelled`` has text and lang. The sample is a threshold on a hash of the text, so no group is sorted; the share
+    counts different texts, so a language of few texts with many copies gives all of them.
     """
     usable = labelled.where(F.col("lang").isNotNull() & whole_text().rlike(r"\p{L}")).select("text", "lang")
-    counts = [tuple(r) for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    # Copies are combined before the shuffle.
+    different = usable.select("lang", F.xxhash64(F.lit(3), "text").alias("text_hash")).distinct()
+    counts = [tuple(r) for r in different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     if not counts:
         return None
     share = F.lit(0.0)

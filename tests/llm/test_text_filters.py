@@ -111,6 +111,11 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert all((p == q).all() for p, q in zip(net.parameters(), again.parameters(), strict=True))
 
 
+def test_a_language_of_few_texts_with_many_copies_is_learnt(spark):
+    rows = [(_tongue("aa", 40, i), "aa") for i in range(60)] + [(_tongue("bb", 40, i % 3), "bb") for i in range(1500)]
+    assert language_id.fit(spark.createDataFrame(rows, "text string, lang string"), fit_rows=20, epochs=1).languages == ["aa", "bb"]
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(1)
     windows = rng.integers(97, 120, (6, 40)).astype(np.uint8)
