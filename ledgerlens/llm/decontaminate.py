@@ -5,8 +5,9 @@ of ten consecutive words, or one window if it is shorter. Each task cuts its doc
 numbers their words by the benchmark's vocabulary, indexes the stretches that are long enough to hold a window
 (nothing else can match), searches all windows backward at once, locates them, and merges the hits into spans.
 
-The benchmark is read in blocks of bounded size; each block is broadcast and searched in the same pass over the
-documents, one step after the other, so the documents are neither shuffled nor read twice. A block passes the driver.
+The benchmark is made distinct and read in blocks of bounded size. Up to BLOCKS_A_PASS blocks are broadcast and searched
+in one pass over the documents, one step after the other; then the result is written and their broadcasts are dropped, so
+a task and the driver hold that many blocks at most. The documents are not shuffled. A block passes the driver.
 
 Defined results: a null or wordless text has no words, hits or items; an item without words is never found; an item
 with a null id is searched and counted as a hit but has no name to list; items that share an id are one item; repeated
@@ -30,10 +31,12 @@ from pyspark.sql import types as T
 from ledgerlens.llm.common import fresh
 from ledgerlens.llm.fm_index import FmIndex
 from ledgerlens.llm.spans import ARROW_SPANS, SPANS, merged
+from ledgerlens.operators.small import settled
 
 WINDOW = 10
 SHARD_WORDS = 500_000
 BLOCK_BYTES = 8 << 20
+BLOCKS_A_PASS = 4
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -131,6 +134,7 @@ def find_leaks(
     """``docs`` with the number of words, the merged spans of hit words (begin, end), and the sorted ids of found items."""
     spark = docs.sparkSession
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.where(F.col("text").isNotNull()).distinct()
     total = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     out = docs.withColumns(
@@ -142,9 +146,16 @@ def find_leaks(
     )
     schema = T.StructType([*docs.schema, T.StructField(names[0], T.LongType()), T.StructField(names[1], SPANS), T.StructField(names[2], T.ArrayType(T.StringType()))])
     text_at, kept = docs.columns.index("text"), len(docs.columns)
+    held = []
     for block in range(blocks):
+        if len(held) == BLOCKS_A_PASS:
+            out = settled(out)
+            for past in held:
+                past.destroy()  # nothing reads them again: the written table has no other lineage
+            held = []
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         shared = spark.sparkContext.broadcast(phrases_of([tuple(r) for r in own], window))
+        held.append(shared)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

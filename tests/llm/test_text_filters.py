@@ -64,6 +64,18 @@ def test_leaks(spark, options):
     assert same_rows(got, _brute_leaks(rows, ITEMS))
 
 
+def test_blocks_of_a_benchmark_stay_bounded(spark, monkeypatch):
+    sizes, passes, phrases_of, settled = [], [], decontaminate.phrases_of, decontaminate.settled
+    monkeypatch.setattr(decontaminate, "phrases_of", lambda own, window: sizes.append(len(own)) or phrases_of(own, window))
+    monkeypatch.setattr(decontaminate, "settled", lambda df: passes.append(len(sizes)) or settled(df))
+    items = [(k, sentence(20, 600 + k)) for k in range(9)]
+    hot = spark.createDataFrame([*items, *[items[0]] * 500], "item_id long, text string")
+    rows = [(k, f"x {text} y") for k, (_, text) in enumerate(items)] + [(99, "clean")]
+    found = decontaminate.find_leaks(documents(spark, rows), hot, ("w_", "s_", "i_"), block_bytes=150).collect()
+    assert same_rows([(r.doc_id, r.i_) for r in found], [*[(k, [str(k)]) for k in range(9)], (99, [])])
+    assert sum(sizes) == 9 and passes == list(range(4, len(sizes), 4)) and passes
+
+
 def test_leaks_go_and_clean_rows_stay(spark):
     rows = _leaky()
     docs = documents(spark, rows)
