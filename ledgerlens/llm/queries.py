@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chunk_dedup, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates
+from ledgerlens.llm import chunk_dedup, collocations, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates
 from ledgerlens.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +195,31 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_collocations",
+    rf"""
+with d as (select coalesce(lang, 'und') as lang, string_split_regex(
+  translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]') as pieces from documents),
+p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from (select lang, unnest(pieces) as piece from d)),
+n as (select lang, sum(len(w)) as n from p group by lang),
+g as (select lang, m, array_to_string(w[i : i + m - 1], ' ') as phrase, count(*) as a
+  from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from p, (select unnest(range(1, 6)) as m) where len(w) >= m)
+  group by all having count(*) >= 100),
+cuts as (select lang, phrase, m, a, k, array_to_string(w[1 : k], ' ') as first, array_to_string(w[k + 1 :], ' ') as rest
+  from (select *, string_split(phrase, ' ') as w, unnest(range(1, m)) as k from g where m > 1)),
+scored as (select c.*, x.a as l, y.a as r, n.n, (1000::hugeint * c.a * n.n) // (x.a::hugeint * y.a) as score
+  from cuts c join g x on x.lang = c.lang and x.phrase = c.first join g y on y.lang = c.lang and y.phrase = c.rest
+  join n on n.lang = c.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+longer as (select lang, part, max(a) as a from (select lang, first as part, a from cuts where k = m - 1
+  union all select lang, rest, a from cuts where k = 1) group by all),
+kept as (select b.* from best b left join longer x on x.lang = b.lang and x.part = b.phrase
+  where x.a is null or 100 * x.a < 100 * b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+  a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from kept qualify rank <= 2000""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), support=100, max_words=5, absorbed=100, top=2000)
