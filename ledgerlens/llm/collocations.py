@@ -11,7 +11,7 @@ occurrence, and what has not been ruled out by shorter phrases is then all that
 Phrases travel as 64-bit keys (language and words), counted in the shard before any shuffle. What a pass has to count
 goes to the tasks as a bit filter of at most ``FILTER_BYTES``, whatever the number of phrases; a key that passes it by
 accident is counted like any other and goes when the support is applied, so the size of the filter decides the amount
-of shuffled rows and nothing else. Words of a phrase are spelled out in the end, for frequent phrases only.
+of shuffled rows and nothing else. Words of a phrase are spelled out in the end, for frequent phrases only, by one shard.
 
 Every phrase is scored at each cut into a first part and a rest, floor(1000 * a * n / (l * r)), in decimals of 38 digits;
 its lowest score counts. A phrase goes if a longer one that contains it is as frequent (``absorbed`` per cent or more).
@@ -167,8 +167,8 @@ def counted(keys: np.ndarray, low: int, high: int, wanted: Filter) -> list[Count
     return out
 
 
-def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, is_frequent: Callable) -> list[tuple[int, str]]:
-    """Key and words of each locally frequent phrase of two words or more that passes the filter."""
+def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, tag: np.uint64) -> list[tuple[int, str]]:
+    """Key and words of each phrase of two words or more whose key, xor the tag, passes the filter."""
     data = LOWER[np.frombuffer(raw, np.uint8)]
     kinds = CLASSES[data]
     edges = np.flatnonzero(np.diff(kinds, prepend=np.uint8(0)) != 0)
@@ -179,14 +179,19 @@ def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, is_frequent: Callable)
     level, out = keys[places], []
     for width in range(2, MAX_WORDS + 1):
         level, places = longer_keys(keys, level, places, width)
-        held = wanted.holds(level)
-        found, first, n = np.unique(level[held], return_index=True, return_counts=True)
-        for key, at in zip(found[is_frequent(n)].tolist(), places[held][first[is_frequent(n)]].tolist(), strict=True):
+        held = wanted.holds(level ^ tag)
+        found, first = np.unique(level[held], return_index=True)
+        for key, at in zip(found.tolist(), places[held][first].tolist(), strict=True):
             parts = [text[begins[i] : ends[i]] for i in range(at, at + width)]
             out.append((key, b" ".join(parts).decode("utf-8")))
     return out
 
 
+def shard_tag(raw: bytes) -> np.uint64:
+    """A number that names a shard by its bytes."""
+    return np.uint64(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little"))
+
+
 def _parts(raw: bytes) -> Iterator[bytes]:
     """A text, or a very long one cut where pieces end."""
     at = 0
@@ -237,9 +242,11 @@ def _sliced(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_phrases(docs: DataFrame, support: int, max_words: int) -> tuple[list[DataFrame], Callable[..., DataFrame]]:
-    """Written tables (key, f) of the frequent words, pairs, and longer phrases; and a function that spells keys.
+    """Written tables (key, f, tag) of the frequent words, pairs, and longer phrases; and a function that spells them.
 
-    The table of words also holds the number of all words of a language, below the key of the language.
+    The table of words also holds the number of all words of a language, below the key of the language. The tag names
+    one shard that holds the phrase: that shard alone spells it. Should shards be cut in another way when they are read
+    again, what no shard has spelled is spelled by all that hold it.
     """
     spark = docs.sparkSession
 
@@ -266,26 +273,38 @@ def frequent_phrases(docs: DataFrame, support: int, max_words: int) -> tuple[lis
             found = counted(keys, low, high, Filter(wanted.value))
             if low == 1:
                 found.append((np.array([language_key(lang)]), np.array([np.count_nonzero(keys)])))
-            yield from _sliced({c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("key", "n"))})
+            columns = {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("key", "n"))}
+            yield from _sliced({**columns, "tag": np.full(len(columns["key"]), shard_tag(raw))})
 
-        sums = _run(docs, "key long, n long", exact).groupBy("key").agg(F.sum("n").alias("f"))
+        sums = _run(docs, "key long, n long, tag long", exact).groupBy("key").agg(
+            F.sum("n").alias("f"), F.min("tag").alias("tag")
+        )
         tables.append(settled(sums.where(F.col("f") >= support)))
         if high < max_words:
             shorter = key_filter(tables[-1].select("key"), tables[-1].count())
 
-    def spell(keys: DataFrame) -> DataFrame:
+    def spell(keys: DataFrame, tagged: bool = True) -> DataFrame:
         wanted = spark.sparkContext.broadcast(key_filter(keys, keys.count()))
 
         def work(lang, total, raw):
-            found = spelled(raw, word_keys(raw, lang), Filter(wanted.value), share(raw, total))
-            columns = [np.array([k for k, _ in found], np.uint64).view(np.int64), [p for _, p in found]]
-            arrays = [pa.array(columns[0]), pa.array([lang] * len(found), pa.string()), pa.array(columns[1], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "lang", "phrase"])
+            tag = shard_tag(raw) if tagged else np.uint64(0)
+            found = spelled(raw, word_keys(raw, lang), Filter(wanted.value), tag)
+            key = np.array([k for k, _ in found], np.uint64).view(np.int64)
+            columns = [pa.array(key), pa.array([lang] * len(found), pa.string()), pa.array([p for _, p in found], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "lang", "phrase"])
 
         found = _run(docs, "key long, lang string, phrase string", work)
         return found.groupBy("key").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
 
-    return tables, spell
+    def phrases(frequent: DataFrame) -> DataFrame:
+        """``frequent`` (key, f, tag) with lang and phrase."""
+        named = settled(spell(frequent.select(F.col("key").bitwiseXOR(F.col("tag")).alias("key"))).join(frequent, "key"))
+        lost = settled(frequent.join(named, "key", "left_anti"))
+        if lost.isEmpty():
+            return named
+        return named.unionByName(spell(lost.select("key"), tagged=False).join(lost, "key"))
+
+    return tables, phrases
 
 
 def phrase_keys(phrases: DataFrame) -> DataFrame:
@@ -325,12 +344,12 @@ def collocations(
     slim = docs.select(lang.alias("lang"), whole_text().cast("binary").alias("raw"))
     size = F.octet_length("raw").cast("long")  # and a line end after each text, or part of a very long one
     totals = settled(slim.groupBy("lang").agg(F.sum(size + 1 + F.floor(size / WINDOW_BYTES)).alias("total")))
-    tables, spell = frequent_phrases(slim.join(totals, "lang").select("lang", "total", "raw"), support, max_words)
+    tables, phrases_of = frequent_phrases(slim.join(totals, "lang").select("lang", "total", "raw"), support, max_words)
     frequent = tables[0]
     for more in tables[1:]:
         frequent = frequent.unionByName(more)
     long = tables[1].unionByName(tables[2]) if len(tables) > 2 else tables[1]
-    phrases = settled(phrase_keys(spell(long.select("key")).join(long.withColumnRenamed("f", "a"), "key")))
+    phrases = settled(phrase_keys(phrases_of(long).select("key", "lang", "phrase", F.col("f").alias("a"))))
     cut = phrases.select("key", "lang_key", "a", "n_words", F.inline("cuts"))
 
     def lookup(key: str, value: str) -> DataFrame:
