@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chunk_dedup, collocations, decontaminate, exact_dedup, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates
+from ledgerlens.llm import chunk_dedup, collocations, decontaminate, exact_dedup, hard_negatives, importance, language_id, near_dups, pieces, substring_dedup, token_counts, url_templates, warc
 from ledgerlens.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +223,58 @@ from kept qualify rank <= 2000""",
 )
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), support=100, max_words=5, absorbed=100, top=2000)
+
+
+@query(
+    "op13_hard_negatives",
+    """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c as (select vec_id, label, unnest(v) as x, unnest(range(len(v))) as i from e),
+s as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, sum(a.x * b.x)::bigint as score
+  from c a join c b on a.i = b.i where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id group by all),
+p as (select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id) as int) as rank,
+  other_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5""",
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), label, scale=256.0)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
+@query(
+    "op12_warc",
+    """
+with p as (select page_id, coalesce(html, '') as t from pages),
+h as (select page_id, t, sha1(t) as x, min(page_id) over (partition by t) as first from p),
+d as (select *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  cast((cast('0x' || substr(x, cast(i // 4 * 5 + 1 as bigint), 5) as int) >> cast(15 - 5 * (i % 4) as int)) & 31 as int) + 1, 1)), '')
+  as payload_digest from h)
+select page_id, strlen(t) as payload_bytes, payload_digest,
+  case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from d""",
+)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives, and read back from them."""
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(spark)
+    records, _ = warc.read_archives(warc.write_archives(pages, folder, min_payload=0), folder)
+
+    def page(column: str) -> Column:
+        key = F.url_decode(F.regexp_replace(column, "^urn:page:", ""))
+        return F.when(key != "", key).cast(pages.schema["page_id"].dataType)
+
+    return records.select(
+        page("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
