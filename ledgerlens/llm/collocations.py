@@ -4,8 +4,8 @@ Texts are lower-cased (A-Z only), split at ``.,;:!?`` and line ends into pieces,
 Each task mines its shards of the corpus completely in memory, language by language: a phrase is locally frequent if its
 share of the wanted support is at least the shard's share of the bytes of that language. A phrase that reaches the
 support anywhere reaches that share in one shard at least, so the union of the locally frequent phrases misses none;
-all of them are then counted over all shards, which is exact. This is done for words, then for pairs of frequent words,
-then for three and more words whose neighbours form frequent pairs: with very many shards a local share is below one
+all of them are then counted over all shards, which is exact. Single words are counted outright. Pairs are mined among
+frequent words, and three and more words where neighbours form frequent pairs: with very many shards a local share is below one
 occurrence, and what has not been ruled out by shorter phrases is then all that there is to count.
 
 Phrases travel as 64-bit keys (language and words), counted in the shard before any shuffle. What a pass has to count
@@ -128,7 +128,7 @@ def key_filter(keys: DataFrame, n: int, most: int = FILTER_BYTES) -> bytes:
     return out.tobytes()
 
 
-def mined(keys: np.ndarray, low: int, high: int, shorter: Filter | None, is_frequent: Callable) -> list[np.ndarray]:
+def mined(keys: np.ndarray, low: int, high: int, shorter: Filter, is_frequent: Callable) -> list[np.ndarray]:
     """Locally frequent phrases of ``low`` to ``high`` words; ``shorter`` holds the frequent ones of ``low - 1``.
 
     Each list is sorted. A phrase is tried only where both phrases of one word less in it are left.
@@ -155,15 +155,15 @@ def mined(keys: np.ndarray, low: int, high: int, shorter: Filter | None, is_freq
     return out
 
 
-def counted(keys: np.ndarray, low: int, high: int, wanted: Filter) -> list[Counted]:
-    """Keys of ``low`` to ``high`` words that pass the filter, with their occurrences."""
+def counted(keys: np.ndarray, low: int, high: int, wanted: Filter | None) -> list[Counted]:
+    """Keys of ``low`` to ``high`` words that pass the filter, or all, with their occurrences."""
     places = np.flatnonzero(keys)
     level, out = keys[places], []
     for width in range(1, high + 1):
         if width > 1:
             level, places = longer_keys(keys, level, places, width)
         if width >= low:
-            out.append(np.unique(level[wanted.holds(level)], return_counts=True))
+            out.append(np.unique(level[wanted.holds(level)] if wanted else level, return_counts=True))
     return out
 
 
@@ -258,19 +258,20 @@ def frequent_phrases(docs: DataFrame, support: int, max_words: int) -> tuple[lis
     shorter = None
     groups = [(1, 1), (2, 2), (3, max_words)][: min(3, max_words)]
     for low, high in groups:
-        held = spark.sparkContext.broadcast(shorter)
+        wanted = None
+        if low > 1:
+            held = spark.sparkContext.broadcast(shorter)
 
-        def local(lang, total, raw, low=low, high=high, held=held):
-            pruned = Filter(held.value) if held.value is not None else None
-            found = mined(word_keys(raw, lang), low, high, pruned, share(raw, total))
-            yield from _sliced({"key": np.concatenate(found)})
+            def local(lang, total, raw, low=low, high=high, held=held):
+                found = mined(word_keys(raw, lang), low, high, Filter(held.value), share(raw, total))
+                yield from _sliced({"key": np.concatenate(found)})
 
-        candidates = settled(_run(docs, "key long", local).distinct())
-        wanted = spark.sparkContext.broadcast(key_filter(candidates, candidates.count()))
+            candidates = settled(_run(docs, "key long", local).distinct())
+            wanted = spark.sparkContext.broadcast(key_filter(candidates, candidates.count()))
 
         def exact(lang, total, raw, low=low, high=high, wanted=wanted):
             keys = word_keys(raw, lang)
-            found = counted(keys, low, high, Filter(wanted.value))
+            found = counted(keys, low, high, Filter(wanted.value) if wanted else None)
             if low == 1:
                 found.append((np.array([language_key(lang)]), np.array([np.count_nonzero(keys)])))
             columns = {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("key", "n"))}

@@ -116,6 +116,8 @@ def parse_record(data: bytes) -> tuple[dict, int]:
         if not colon:
             raise Damaged("broken header line")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("latin-1")
+    if not fields.get("warc-type") or not fields.get("warc-record-id"):
+        raise Damaged("no type or id")
     size = fields.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         raise Damaged("no content length")
