@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.labels import DECISION_THRESHOLD
-from ledgerlens.operators import models, sampling
+from ledgerlens.operators import attribution, models, sampling
 from ledgerlens.operators.features import FEATURES
 from ledgerlens.operators.metrics import ranking_metrics
 from ledgerlens.operators.small import settled
@@ -29,22 +29,38 @@ TRIAL_ROUNDS = 20
 DROPPED = ["is_high_value", "sender_balance_change"]
 
 
-# State and models that several queries of one application start from, by application, table and kind.
+# State and models that several queries of one application start from, by application, files of the table and kind.
 _kept: dict[tuple, object] = {}
 
 
+def _kept_as(spark: SparkSession, sf_dir: str, kind: str) -> tuple:
+    """The key of a result: it names the size and time of the files, so a changed table starts anew."""
+    stamps = []
+    for name in ("events", "customer"):
+        files = spark.read.parquet(f"{sf_dir}/{name}.parquet").select("_metadata.*")
+        stamp = files.agg(F.max("file_modification_time"), F.count("*"), F.min("file_size"), F.max("file_size")).first()
+        stamps.append(tuple(stamp))
+    return spark.sparkContext.applicationId, sf_dir, *stamps, kind
+
+
 def _prepared(spark: SparkSession, sf_dir: str, oversample: bool = True) -> Prepared:
-    key = (spark.sparkContext.applicationId, sf_dir, oversample)
+    key = _kept_as(spark, sf_dir, f"prepared {oversample}")
     if key not in _kept:
         _kept[key] = prepare(transactions(spark, sf_dir), scratch(spark), oversample=oversample)
     return _kept[key]
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """Boosted trees with all rounds on the oversampled rows."""
-    key = (spark.sparkContext.applicationId, sf_dir, "boosted_trees")
+def _trained(spark: SparkSession, sf_dir: str, kind: str = "boosted_trees") -> models.Compared:
+    """A model of the comparison on the oversampled rows, with all its rounds, trees or iterations."""
+    estimators = {
+        "logistic_regression": models.logistic,
+        "random_forest": models.random_forest,
+        "boosted_trees": models.gbt,
+        "boosted_trees_deep": lambda: models.gbt(maxDepth=7),
+    }
+    key = _kept_as(spark, sf_dir, kind)
     if key not in _kept:
-        _kept[key] = models.train(_prepared(spark, sf_dir).train, FEATURES, models.gbt())
+        _kept[key] = models.fit_models(_prepared(spark, sf_dir).train, FEATURES, {kind: estimators[kind]()})[0]
     return _kept[key]
 
 
@@ -52,35 +68,26 @@ def _trained(spark: SparkSession, sf_dir: str) -> PipelineModel:
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees on the oversampled training rows; metrics of the test rows."""
     prepared = _prepared(spark, sf_dir)
-    return models.evaluate(prepared.test, _trained(spark, sf_dir))
+    return models.evaluate(prepared.test, _trained(spark, sf_dir).model)
 
 
 @query("model_comparison")
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    fitted = models.fit_models(
-        prepared.train,
-        FEATURES,
-        {
-            "logistic_regression": models.logistic(),
-            "random_forest": models.random_forest(),
-            "boosted_trees": models.gbt(),
-            "boosted_trees_deep": models.gbt(maxDepth=7),
-        },
-    )
-    return models.compare_models(prepared.test, fitted)
+    """Four models on the same rows; the default booster is the one the other queries use."""
+    kinds = ["logistic_regression", "random_forest", "boosted_trees", "boosted_trees_deep"]
+    return models.compare_models(_prepared(spark, sf_dir).test, [_trained(spark, sf_dir, kind) for kind in kinds])
 
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    return models.top_features(models.importances(_trained(spark, sf_dir), FEATURES, prepared.test), 15)
+    return models.top_features(models.importances(_trained(spark, sf_dir).model, FEATURES, prepared.test), 15)
 
 
 @query("permutation_importance")
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
-    return models.permutation_importance(prepared.test, _trained(spark, sf_dir), FEATURES)
+    return models.permutation_importance(prepared.test, _trained(spark, sf_dir).model, FEATURES)
 
 
 @query("trained_model_checks", TX + """
@@ -96,7 +103,7 @@ union all select 'permuted_features', 21.0
 """)
 def trained_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts that any trained model must meet, from the evaluation, the scored batch and both importances."""
-    prepared, model = _prepared(spark, sf_dir), _trained(spark, sf_dir)
+    prepared, model = _prepared(spark, sf_dir), _trained(spark, sf_dir).model
     report = train_gbt(spark, sf_dir).first()
     batch = score_batch_query(spark, sf_dir)
     odd = batch.agg(
@@ -119,6 +126,40 @@ def trained_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, float(v)) for k, v in facts.items()], "fact string, value double")
 
 
+@query("row_attribution")
+def row_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each feature adds to the margin of every test row."""
+    return attribution.attributions(_prepared(spark, sf_dir).test, _trained(spark, sf_dir).model, FEATURES)
+
+
+@query("mean_attribution")
+def mean_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features by the mean size of what they add, over every test row."""
+    return attribution.mean_attribution(row_attribution(spark, sf_dir), FEATURES)
+
+
+@query("attribution_checks", TX + """
+, held as (select * from tx where is_fraud is not null and substr(md5(concat(transaction_id, ':42')), 1, 8) < '33333333')
+select 'rows' as fact, cast(count(*) as double) as "value" from held
+union all select 'rows_off_their_score', 0.0
+union all select 'base_values', 1.0
+union all select 'features', 21.0
+""")
+def attribution_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that attributions must meet: one row a test row, parts that add up to the model's own score, one base."""
+    prepared, model = _prepared(spark, sf_dir), _trained(spark, sf_dir).model
+    rows = settled(row_attribution(spark, sf_dir))
+    scores = models.with_score(prepared.test, model).select("transaction_id", "score")
+    total = F.col("base_value")
+    for c in FEATURES:
+        total = total + F.col(c)
+    facts = rows.join(scores, "transaction_id").select("base_value", (F.abs(F.col("score") - 1 / (1 + F.exp(-2 * total))) > 1e-9).alias("off"))
+    found = facts.agg(F.count("*"), F.count_if("off"), F.count_distinct("base_value")).first()
+    named = {"rows": found[0], "rows_off_their_score": found[1], "base_values": found[2]}
+    named["features"] = attribution.mean_attribution(rows, FEATURES).count()
+    return spark.createDataFrame([(k, float(v)) for k, v in named.items()], "fact string, value double")
+
+
 @query("feature_ablation")
 def feature_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
@@ -150,7 +191,7 @@ def score_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction scored against stored state."""
     prepared = _prepared(spark, sf_dir)
     batch = transactions(spark, sf_dir).drop("is_fraud")
-    return score_batch(batch, prepared.profiles, prepared.scaler, _trained(spark, sf_dir), "2024-01-31")
+    return score_batch(batch, prepared.profiles, prepared.scaler, _trained(spark, sf_dir).model, "2024-01-31")
 
 
 @query("run_metrics", CURVE + """
@@ -271,7 +312,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     stream = streams.stream_transactions(spark, sf_dir)
     scored = streams.score_stream(
-        stream, prepared.profiles, prepared.scaler, _trained(spark, sf_dir), ["transaction_id"], 0.33
+        stream, prepared.profiles, prepared.scaler, _trained(spark, sf_dir).model, ["transaction_id"], 0.33
     )
     streams.write_appends(scored, f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, PipelineModel
@@ -33,6 +34,8 @@ from ledgerlens.sources.contract import ID_COLUMNS, SCORING_COLUMNS
 from ledgerlens.sources.files import require_columns, require_rows, write_csv, write_json
 
 THRESHOLDS = [0.3, 0.33]
+# Rows of a training matrix in one file: training reads it every round, and a round over few rows is all job start.
+MATRIX_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,10 @@ def prepare(tx: DataFrame, root: str, fit_on: str = "train", oversample: bool =
     state.save_scaler(fit_scaler(plain["train"], SCALED), f"{root}/scaler")
     scaler = state.load_scaler(spark, f"{root}/scaler")
     scaled = apply_scaler(plain["train"], scaler)
-    state.save_table(smote(scaled, FEATURES) if oversample else scaled, f"{root}/matrix/train")
+    # Oversampling doubles the rows at most.
+    files = math.ceil(plain["train"].count() * (2 if oversample else 1) / MATRIX_ROWS)
+    matrix = smote(scaled, FEATURES) if oversample else scaled
+    state.save_table(matrix.repartition(max(1, files)), f"{root}/matrix/train")
     state.save_table(apply_scaler(plain["test"], scaler), f"{root}/matrix/test")
     matrices = [spark.read.parquet(f"{root}/matrix/{n}") for n in ("train", "test")]
     return Prepared(profiles, scaler, *matrices)
