@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.geo import geographic_features
-from ledgerlens.functions.money import amount_features, balance_features, type_code
+from ledgerlens.functions.money import amount_features, balance_features, balance_remaining_pct, type_code
 from ledgerlens.functions.numeric import flag
 from ledgerlens.functions.temporal import temporal_features
+from ledgerlens.operators.ordered import band_edges, band_of
 from ledgerlens.operators.profiles import Profiles
-from ledgerlens.operators.small import one_row
+from ledgerlens.operators.small import one_row, settled
+from ledgerlens.operators.summaries import type_balance, with_type_balance
 
 # The feature list and the columns that are not scaled.
 FEATURES = [
@@ -46,6 +50,34 @@ NOT_SCALED = [
     "transaction_type_enc",
 ]
 SCALED = [name for name in FEATURES if name not in NOT_SCALED]
+# The exploratory feature list, its unscaled columns beyond those above, and what its second iteration drops.
+EXTENDED = [
+    "hour",
+    "day_of_week",
+    "month",
+    "is_night",
+    "is_weekend",
+    "sender_total_tx",
+    "log_amount",
+    "is_high_value",
+    "amount_vs_sender_avg",
+    "amount_to_balance_ratio",
+    "amount_band",
+    "sender_unique_devices",
+    "is_device_switch",
+    "balance_drain_rate",
+    "sender_balance_change",
+    "balance_remaining_pct",
+    "is_high_value_target",
+    "bal_to_type_avg_ratio",
+    "dist_from_nairobi",
+    "is_outside_kenya",
+    "device_unique_senders",
+    "transaction_type_enc",
+]
+EXTENDED_SCALED = [c for c in EXTENDED if c not in [*NOT_SCALED, "amount_band", "is_high_value_target"]]
+DROPPED_LATER = ["is_high_value", "amount_band", "sender_balance_change", "is_high_value_target"]
+AMOUNT_BANDS = 8
 
 
 def with_profiles(tx: DataFrame, profiles: Profiles) -> DataFrame:
@@ -99,3 +131,33 @@ def features(tx: DataFrame, profiles: Profiles, keep: list[str] | None = None) -
     return joined.select(
         *kept, *[derived[name].alias(name) if name in derived else F.col(name) for name in FEATURES]
     )
+
+
+@dataclass(frozen=True)
+class Context:
+    """What the exploratory features need of the training rows: band limits of the amount, balances of the types."""
+
+    edges: DataFrame
+    types: DataFrame
+
+
+def fit_context(tx: DataFrame) -> Context:
+    return Context(settled(band_edges(tx, "amount", AMOUNT_BANDS)), type_balance(tx))
+
+
+def extended_features(tx: DataFrame, profiles: Profiles, context: Context, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns of the input (those it has), then the 22 features of the exploratory list, not scaled.
+
+    Bands and type balances are those of the fitted rows, so a batch cannot move them. A type that was not fitted is
+    no high-value target and has a ratio of 1; a null amount is in band -1.
+    """
+    placed = with_type_balance(tx, context.types).withColumn("_edges", context.edges.scalar())
+    derived = {
+        "amount_band": F.coalesce(band_of("amount", F.col("_edges")), F.lit(-1)),
+        "balance_remaining_pct": balance_remaining_pct(),
+        "is_high_value_target": F.coalesce("is_high_value_target", F.lit(0)),
+        "bal_to_type_avg_ratio": F.coalesce("bal_to_type_avg_ratio", F.lit(1.0)),
+    }
+    more = placed.withColumns(derived).drop("_edges", "bal_to_type_mean")
+    kept = [c for c in (keep or []) if c in tx.columns]
+    return features(more, profiles, [*kept, *derived]).select(*kept, *EXTENDED)

@@ -252,21 +252,29 @@ def describe(df: DataFrame, columns: list[str], by: list[str] | None = None, dig
     )
 
 
+def band_edges(df: DataFrame, column: str, bands: int) -> DataFrame:
+    """One row with ``edges``, the ascending limits of equal-frequency bands; equal ones are merged."""
+    found = exact_quantiles(df, [column], [i / bands for i in range(bands + 1)])
+    return found.agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
+
+
+def band_of(column: str, edges: Column) -> Column:
+    """The band of a value, from 0. Values beyond the outer edges belong to the outer bands."""
+    above = F.size(F.filter(edges, lambda edge: edge < F.col(column)))
+    inside = F.least(F.greatest(F.lit(0), above - 1), F.greatest(F.lit(0), F.size(edges) - 2))
+    return F.when(F.col(column).isNotNull(), inside)
+
+
 def quantile_bands(df: DataFrame, column: str, bands: int) -> DataFrame:
     """Equal-frequency bands: adds ``band`` (from 0), ``band_low`` and ``band_high``.
 
     Bands are closed on the right, the lowest also on the left, and equal edges are merged, so there can be fewer
     than ``bands``.
     """
-    edges = exact_quantiles(df, [column], [i / bands for i in range(bands + 1)])
-    merged = edges.agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges")).scalar()
-    above = F.size(F.filter("_edges", lambda edge: edge < F.col(column)))
-    placed = df.withColumn("_edges", merged).withColumn("band", F.greatest(F.lit(0), above - 1))
+    placed = df.withColumn("_edges", band_edges(df, column, bands).scalar())
+    placed = placed.withColumn("band", band_of(column, F.col("_edges")))
     return placed.select(
-        *df.columns,
-        F.when(F.col(column).isNotNull(), F.col("band")).alias("band"),
-        F.get("_edges", F.col("band")).alias("band_low"),
-        F.get("_edges", F.col("band") + 1).alias("band_high"),
+        *df.columns, "band", F.get("_edges", F.col("band")).alias("band_low"), F.get("_edges", F.col("band") + 1).alias("band_high")
     )
 
 

@@ -264,17 +264,21 @@ def with_age_bucket(df: DataFrame) -> DataFrame:
     return with_account_age(df).withColumn("age_bucket", age_bucket(F.col("account_age_days")))
 
 
-def with_type_balance(df: DataFrame) -> DataFrame:
+def type_balance(df: DataFrame) -> DataFrame:
+    """Mean and sample deviation of the sender's balance of each transaction type."""
+    known = df.where(F.col("transaction_type").isNotNull()).groupBy("transaction_type")
+    before = "sender_balance_before"
+    return bounded(known.agg(F.avg(before).alias("_mean"), F.stddev_samp(before).alias("_std")))
+
+
+def with_type_balance(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Add ``is_high_value_target``, ``bal_to_type_avg_ratio`` and ``bal_to_type_mean``.
 
     The few type rows are broadcast where counted small, so the fact table is not shuffled by a five-value key.
+    ``stats`` are those of other rows (:func:`type_balance`).
     """
     key, before = "transaction_type", "sender_balance_before"
-    stats = bounded(
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.avg(before).alias("_mean"), F.stddev_samp(before).alias("_std"))
-    )
+    stats = type_balance(df) if stats is None else stats
     return (
         df.join(stats, key, "left")
         .withColumns(

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.labels import DECISION_THRESHOLD
-from ledgerlens.operators import attribution, models, sampling
-from ledgerlens.operators.features import FEATURES
-from ledgerlens.operators.metrics import ranking_metrics
+from ledgerlens.operators import attribution, logistic, models, sampling
+from ledgerlens.operators.features import DROPPED_LATER, EXTENDED, FEATURES, extended_features, fit_context
+from ledgerlens.operators.metrics import ranking_metrics, threshold_sweep
+from ledgerlens.operators.ordered import union_all
+from ledgerlens.operators.profiles import fit_profiles
 from ledgerlens.operators.small import settled
 from ledgerlens.plans.metric_queries import CURVE
 from ledgerlens.plans.quality_queries import scratch
@@ -25,8 +26,10 @@ from ledgerlens.streaming import transactions as streams
 # The named searches: a full one (50 trials of 300 rounds over three folds) takes hours and is left to search_run().
 TRIALS = 2
 TRIAL_ROUNDS = 20
-# Features the second iteration leaves out, of those in the shipped list.
-DROPPED = ["is_high_value", "sender_balance_change"]
+# The grid of the logistic regression (two solvers of the grid reach the same optimum) and its folds.
+GRID_C = [0.01, 0.1, 1.0, 10.0]
+GRID_WEIGHTS = [5.0, 15.0, 30.0]
+GRID_FOLDS = 5
 
 
 # State and models that several queries of one application start from, by application, files of the table and kind.
@@ -43,10 +46,10 @@ def _kept_as(spark: SparkSession, sf_dir: str, kind: str) -> tuple:
     return spark.sparkContext.applicationId, sf_dir, *stamps, kind
 
 
-def _prepared(spark: SparkSession, sf_dir: str, oversample: bool = True) -> Prepared:
-    key = _kept_as(spark, sf_dir, f"prepared {oversample}")
+def _prepared(spark: SparkSession, sf_dir: str, oversample: bool = True, extended: bool = False) -> Prepared:
+    key = _kept_as(spark, sf_dir, f"prepared {oversample} {extended}")
     if key not in _kept:
-        _kept[key] = prepare(transactions(spark, sf_dir), scratch(spark), oversample=oversample)
+        _kept[key] = prepare(transactions(spark, sf_dir), scratch(spark), oversample=oversample, extended=extended)
     return _kept[key]
 
 
@@ -162,8 +165,43 @@ def attribution_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("feature_ablation")
 def feature_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir)
-    return models.ablation(prepared.train, prepared.test, FEATURES, DROPPED, models.gbt())
+    """The exploratory list of 22 features with and without the four that add least, all rounds."""
+    prepared = _prepared(spark, sf_dir, extended=True)
+    return models.ablation(prepared.train, prepared.test, EXTENDED, DROPPED_LATER, models.gbt())
+
+
+@query("linear_ablation")
+def linear_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of the 22 features left out of a logistic regression in turn, all fits from the same passes."""
+    prepared = _prepared(spark, sf_dir, oversample=False, extended=True)
+    lists = {"": EXTENDED, **{c: [x for x in EXTENDED if x != c] for c in EXTENDED}, "all four": [c for c in EXTENDED if c not in DROPPED_LATER]}
+    fitted = logistic.fit_all(prepared.train, [logistic.Fit(k, tuple(v), 15.0, c=1.0) for k, v in lists.items()])
+    parts = [logistic.with_scores(prepared.test, f).select(F.lit(f.fit.name).alias("dropped"), models.LABEL, "score") for f in fitted]
+    areas = ranking_metrics(settled(union_all(parts)), ["dropped"])
+    whole = settled(areas.where("dropped = ''")).select("roc_auc").scalar()
+    return areas.select("*", F.round(F.col("roc_auc") - whole, 6).alias("delta"))
+
+
+@query("extended_features", TX + """
+, train as (select * from tx where is_fraud is not null and substr(md5(concat(transaction_id, ':42')), 1, 8) >= '33333333')
+, types as (select transaction_type, avg(sender_balance_before) as m, stddev_samp(sender_balance_before) as s from train
+  where transaction_type is not null group by all)
+, edges as (select list_sort(list_distinct(quantile_cont(amount, [0, .125, .25, .375, .5, .625, .75, .875, 1]))) as e from train)
+select transaction_id,
+ case when amount is null then -1 else least(greatest(0, len(list_filter(e, lambda x: x < amount)) - 1), greatest(0, len(e) - 2)) end as amount_band,
+ round(sender_balance_after / (sender_balance_before + 1) * 100, 6) as balance_remaining_pct,
+ case when sender_balance_before > m + 1.5 * s then 1 else 0 end as is_high_value_target,
+ round(coalesce(sender_balance_before / (m + 1e-9), 1), 6) as bal_to_type_avg_ratio,
+ round(ln(1 + amount), 6) as log_amount
+from tx left join types using (transaction_type), edges
+""")
+def extended_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the exploratory list adds, with bands and type balances of the training rows."""
+    tx = transactions(spark, sf_dir)
+    train, _ = sampling.stratified_split(tx)
+    derived = extended_features(tx, fit_profiles(train), fit_context(train), ["transaction_id"])
+    rounded = {c: F.round(c, 6) for c in ("balance_remaining_pct", "bal_to_type_avg_ratio", "log_amount")}
+    return derived.withColumns(rounded).select("transaction_id", "amount_band", "is_high_value_target", *rounded)
 
 
 @query("random_search")
@@ -173,17 +211,55 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.random_search(prepared.train, FEATURES, models.random_trials(TRIALS), rounds=TRIAL_ROUNDS)
 
 
+def _grid(spark: SparkSession, sf_dir: str) -> tuple[list[dict], logistic.Fitted]:
+    key = _kept_as(spark, sf_dir, "grid")
+    if key not in _kept:
+        rows = settled(sampling.with_fold(_prepared(spark, sf_dir, oversample=False).train, GRID_FOLDS))
+        _kept[key] = logistic.grid_search(rows, FEATURES, GRID_C, GRID_WEIGHTS, GRID_FOLDS)
+    return _kept[key]
+
+
 @query("grid_search")
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = _prepared(spark, sf_dir, oversample=False)
-    weighted = sampling.with_class_weight(prepared.train, 15.0)
-    estimator = models.logistic(weightCol="weight")
-    fitted = models.cross_validate(
-        weighted, FEATURES, estimator, models.grid(estimator, {"regParam": [0.01, 0.1, 1.0]}), parallelism=3
-    )
-    rows = [(r["trial"], json.dumps(r["params"], sort_keys=True), round(r["mean"], 6)) for r in models.grid_results(fitted)]
-    table = spark.createDataFrame(rows, "trial int, params string, mean_roc_auc double")
-    return models.best_so_far(table, "trial", "mean_roc_auc")
+    """Every cell of the logistic grid with its mean recall over five folds."""
+    trials, _ = _grid(spark, sf_dir)
+    rows = [(t["trial"], t["c"], t["positive_weight"], t["mean_recall"], t["mean_precision"]) for t in trials]
+    table = spark.createDataFrame(rows, "trial int, c double, positive_weight double, mean_recall double, mean_precision double")
+    return models.best_so_far(table, "trial", "mean_recall")
+
+
+@query("grid_best")
+def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best cell fitted on all training rows: its parameters and its metrics on the test rows."""
+    _, best = _grid(spark, sf_dir)
+    scored = settled(logistic.with_scores(_prepared(spark, sf_dir, oversample=False).test, best).select(models.LABEL, "score"))
+    ranks = ranking_metrics(scored).select(F.struct("*").alias("r")).scalar()
+    at = threshold_sweep(scored, [0.5]).withColumn("_r", ranks).select("_r.*", "*").drop("_r")
+    return at.select(F.lit(best.fit.c).alias("c"), F.lit(best.fit.positive_weight).alias("positive_weight"), "*")
+
+
+@query("grid_checks", TX + """
+, held as (select * from tx where is_fraud is not null and substr(md5(concat(transaction_id, ':42')), 1, 8) < '33333333')
+select 'trials' as fact, 12.0::double as "value"
+union all select 'recalls_outside_0_1', 0.0
+union all select 'best_is_the_highest', 1.0
+union all select 'test_rows', cast(count(*) as double) from held
+union all select 'test_positives', cast(sum(is_fraud) as double) from held
+""")
+def grid_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the grid: its size, scores in range, the best cell, and the rows that its metrics count."""
+    trials, best = _grid(spark, sf_dir)
+    report = grid_best(spark, sf_dir).first()
+    top = max(t["mean_recall"] for t in trials)
+    chosen = [t["mean_recall"] for t in trials if (t["c"], t["positive_weight"]) == (best.fit.c, best.fit.positive_weight)]
+    facts = {
+        "trials": len(trials),
+        "recalls_outside_0_1": sum(not 0 <= t["mean_recall"] <= 1 for t in trials),
+        "best_is_the_highest": float(chosen == [top]),
+        "test_rows": report["tp"] + report["fp"] + report["fn"] + report["tn"],
+        "test_positives": report["tp"] + report["fn"],
+    }
+    return spark.createDataFrame([(k, float(v)) for k, v in facts.items()], "fact string, value double")
 
 
 @query("score_batch")
@@ -209,22 +285,22 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.latest(runlog.read_metrics(spark, path)).select("stage", "model", "name", "value")
 
 
-@query("resolved_params", """
-select * from (values ('maxDepth', 6.0::double), ('stepSize', 0.1::double)) t(name, "value")
+@query("resolved_params", CURVE + """
+, trials as (select t.threshold, (select 2.0::double * count(*) filter (where score >= t.threshold and is_fraud = 1)
+   / (count(*) filter (where score >= t.threshold) + count(*) filter (where is_fraud = 1)) from scored) as f1
+  from (select unnest([0.3::double, 0.4::double, 0.5::double, 0.6::double, 0.7::double]) as threshold) t)
+select 'threshold' as name, threshold as "value" from trials order by round(f1, 6) desc, threshold limit 1
 """)
 def resolved_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best trial of the latest of two logged searches; the areas are those of the formula score, shifted."""
+    """The best trial of the latest of two logged searches for the threshold of the formula score, by F1 on all rows."""
     path = scratch(spark)
-    area = settled(ranking_metrics(scored_transactions(spark, sf_dir)).select("roc_auc"))
-    trials = [(1, 0, 4.0, 0.05, 0.9), (2, 0, 6.0, 0.1, 0.2), (2, 1, 5.0, 0.3, 0.1)]
-    table = spark.createDataFrame(trials, "run int, trial int, depth double, step double, shift double")
-    logged = table.withColumn("mean_roc_auc", F.col("shift") + area.select("roc_auc").scalar()).withColumn(
-        "params", F.create_map(F.lit("maxDepth"), F.col("depth"), F.lit("stepSize"), F.col("step"))
-    )
-    for run in (1, 2):
+    scored = settled(scored_transactions(spark, sf_dir))
+    for run, thresholds in ((1, [0.1, 0.9]), (2, [0.3, 0.4, 0.5, 0.6, 0.7])):
+        params = F.create_map(F.lit("threshold"), F.col("threshold")).alias("params")
+        trials = threshold_sweep(scored, thresholds).select(params, "f1")
         when = dt.datetime(2024, 2, run, tzinfo=dt.timezone.utc)
-        runlog.append_metrics(runlog.trial_rows(logged.where(F.col("run") == run), f"run{run}", when), path)
-    best = runlog.resolve_params(runlog.read_metrics(spark, path), {})
+        runlog.append_metrics(runlog.trial_rows(trials, f"run{run}", when, "formula", "f1"), path)
+    best = runlog.resolve_params(runlog.read_metrics(spark, path), {}, "f1")
     return spark.createDataFrame(sorted(best.items()), "name string, value double")
 
 

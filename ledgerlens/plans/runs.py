@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.labels import DECISION_THRESHOLD
 from ledgerlens.operators import drift
 from ledgerlens.operators.cleaning import clean, pass_through
-from ledgerlens.operators.features import FEATURES, SCALED, features
+from ledgerlens.operators.features import EXTENDED, EXTENDED_SCALED, FEATURES, SCALED, extended_features, features, fit_context
 from ledgerlens.operators.metrics import batch_summary, evaluation_report
 from ledgerlens.operators.models import (
     BOOSTING_ROUNDS,
@@ -48,25 +48,31 @@ class Prepared:
     test: DataFrame
 
 
-def prepare(tx: DataFrame, root: str, fit_on: str = "train", oversample: bool = True, test_size: float = 0.2) -> Prepared:
+def prepare(
+    tx: DataFrame, root: str, fit_on: str = "train", oversample: bool = True, test_size: float = 0.2, extended: bool = False
+) -> Prepared:
     """Split, fit the profiles, derive, scale and oversample; every part is written below ``root``.
 
     ``fit_on="all"`` fits the profiles on all rows before the split; that lets test rows leak into the profiles, so
-    the default fits on the training rows.
+    the default fits on the training rows. ``extended`` derives the exploratory feature list.
     """
     spark = tx.sparkSession
     train_rows, test_rows = stratified_split(tx, test_size)
-    profiles = state.fit_and_save_profiles(tx if fit_on == "all" else train_rows, f"{root}/profiles")
+    fitted_on = tx if fit_on == "all" else train_rows
+    profiles = state.fit_and_save_profiles(fitted_on, f"{root}/profiles")
     keep = ["transaction_id", LABEL]
+    context = fit_context(fitted_on) if extended else None
+    columns, continuous = (EXTENDED, EXTENDED_SCALED) if extended else (FEATURES, SCALED)
     for name, rows in (("train", train_rows), ("test", test_rows)):
-        state.save_table(features(rows, profiles, keep), f"{root}/features/{name}")
+        derived = extended_features(rows, profiles, context, keep) if extended else features(rows, profiles, keep)
+        state.save_table(derived, f"{root}/features/{name}")
     plain = {n: spark.read.parquet(f"{root}/features/{n}") for n in ("train", "test")}
-    state.save_scaler(fit_scaler(plain["train"], SCALED), f"{root}/scaler")
+    state.save_scaler(fit_scaler(plain["train"], continuous), f"{root}/scaler")
     scaler = state.load_scaler(spark, f"{root}/scaler")
     scaled = apply_scaler(plain["train"], scaler)
     # Oversampling doubles the rows at most.
     files = math.ceil(plain["train"].count() * (2 if oversample else 1) / MATRIX_ROWS)
-    matrix = smote(scaled, FEATURES) if oversample else scaled
+    matrix = smote(scaled, columns) if oversample else scaled
     state.save_table(matrix.repartition(max(1, files)), f"{root}/matrix/train")
     state.save_table(apply_scaler(plain["test"], scaler), f"{root}/matrix/test")
     matrices = [spark.read.parquet(f"{root}/matrix/{n}") for n in ("train", "test")]
