@@ -13,7 +13,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -115,68 +115,76 @@ def exact_quantiles(
     ``approximate=True`` is the one-pass sketch.
     """
     by = by or []
-    numbers = df.where(~any_null(by)).select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     if approximate:
+        numbers = df.where(~any_null(by)).select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
         return _buffered(numbers, columns, probabilities, by, lambda c: F.percentile_approx(c, probabilities, 100_000))
-    group = [*by, "column"]
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
-    long = settled(numbers).select(*by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-    long = long.withColumn("part", _size_part("value"))
-
-    counted = long.groupBy(*group, "part").agg(*_extent())
-    total = W.partitionBy(*group)
-    spans = counted.withColumn("total", F.sum("n").over(total)).withColumn("first_rank", F.lit(0).cast("long"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("prob")
-    ranks = settled(
-        counted.groupBy(*group)
-        .agg(F.sum("n").alias("total"))
-        .select(*group, wanted, "total")
-        .withColumn("position", F.col("prob") * (F.col("total") - 1))
-        .withColumn("low_rank", F.floor("position"))
-        .withColumn("high_rank", F.ceil("position"))
-        .drop("total")
+    # Written as SQL: the plans are long, and each would else be put together by hundreds of calls to the JVM.
+    spark, group = df.sparkSession, [*by, "column"]
+    keys = ", ".join(f"`{c}`" for c in group)
+    entries = ", ".join(f"struct('{c}' as `column`, cast(`{c}` as double) as value)" for c in columns)
+    known = " and ".join(["value is not null", *[f"`{c}` is not null" for c in by]])
+    long = df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))").where(known)
+    long = long.selectExpr("*", f"{_SIZE_PART} as part")
+    counts = "count(*) as n, min(value) as low, max(value) as high"
+    counted = spark.sql(f"select {keys}, part, {counts} from {{long}} group by {keys}, part", long=long)
+    # The size of the widest part is known when the counts have been written, without a job of its own.
+    widest = Observation()
+    counted = settled(counted.observe(widest, F.max("n").alias("n")))
+    wanted = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    held = settled(spark.sql(
+        f"""
+        with placed as (select *, sum(n) over (partition by {keys} order by part rows unbounded preceding) - n as first_rank,
+          sum(n) over (partition by {keys}) as total from {{counted}}),
+        ranks as (select *, prob * (total - 1) as position from placed lateral view explode(array({wanted})) as prob),
+        whole as (select *, floor(position) as low_rank, ceil(position) as high_rank from ranks)
+        select {keys}, part, n, low, high, first_rank, prob, position, low_rank, high_rank from whole
+        where (low_rank >= first_rank and low_rank < first_rank + n) or (high_rank >= first_rank and high_rank < first_rank + n)
+        """,
+        counted=counted,
+    ))
+    if (widest.get.get("n") or 0) > part_rows:
+        held = _finer(long, held, group, buckets or PARTS, part_rows)
+    return spark.sql(
+        f"""
+        with parts as (select distinct {keys}, part, low, high, first_rank from {{held}}),
+        counts as (select {keys}, part, low, first_rank, value, count(*) as n from {{long}} join parts using ({keys}, part)
+          where value between low and high group by {keys}, part, low, first_rank, value),
+        ends as (select *, first_rank + sum(n) over (partition by {keys}, part, low order by value rows unbounded preceding) as stop
+          from counts),
+        wanted as (select distinct {keys}, part, low, prob, position, low_rank, high_rank from {{held}}),
+        hit as (select *, stop - n <= low_rank and low_rank < stop as is_low from ends join wanted using ({keys}, part, low)
+          where (stop - n <= low_rank and low_rank < stop) or (stop - n <= high_rank and high_rank < stop)),
+        picked as (select {keys}, prob, position - low_rank as share, max(if(is_low, value, null)) as below, max(value) as above
+          from hit group by {keys}, prob, position, low_rank)
+        select {keys}, prob, if(share = 0, below, below + share * (above - below)) as value from picked
+        """,
+        held=held,
+        long=long,
     )
-    held = settled(_holding(spans.drop("total"), ranks, group, ["part"]))
+
+
+def _finer(long: DataFrame, held: DataFrame, group: list[str], buckets: int, part_rows: int) -> DataFrame:
+    """Cut the wide ones of the held parts until none has more than ``part_rows`` rows and more than one value."""
+    wide = (F.col("n") > part_rows) & (F.col("low") < F.col("high"))
+    ranks = settled(held.select(*group, "prob", "position", "low_rank", "high_rank").distinct())
     while True:
-        wide = (F.col("n") > part_rows) & (F.col("low") < F.col("high"))
-        if held.where(wide).isEmpty():
-            break
-        inside = _inside(long, held.where(wide).select(*group, "part", "low", "high", "first_rank"), group)
+        cut_again = held.where(wide).select(*group, "part", "low", "high", "first_rank").distinct()
+        if cut_again.isEmpty():
+            return held
+        inside = _inside(long, cut_again, group)
         share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-        cell = F.least(F.floor(share * (buckets or PARTS)), F.lit((buckets or PARTS) - 1))
+        cell = F.least(F.floor(share * buckets), F.lit(buckets - 1))
         cut = inside.groupBy(*group, "part", "low", "first_rank", cell.alias("cell")).agg(*_extent("cell_low", "cell_high"))
         cut = cut.select(*group, "part", "low", "first_rank", "cell", "n", "cell_low", "cell_high")
         finer = _holding(cut, ranks, group, ["part", "low", "cell"], ["part", "low"])
-        finer = finer.select(*group, "part", "first_rank", "n", F.col("cell_low").alias("low"), F.col("cell_high").alias("high"))
-        held = settled(held.where(~wide).select(*finer.columns).unionByName(finer))
-
-    values = (
-        _inside(long, held.select(*group, "part", "low", "high", "first_rank"), group)
-        .groupBy(*group, "part", "low", "first_rank", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    within = W.partitionBy(*group, "part", "low").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    ranked = values.withColumn("end", F.col("first_rank") + F.sum("n").over(within))
-    placed = ranked.withColumn("start", F.col("end") - F.col("n")).join(ranks, group)
-    covers = [(F.col("start") <= F.col(r)) & (F.col(r) < F.col("end")) for r in ("low_rank", "high_rank")]
-    picked = (
-        placed.where(covers[0] | covers[1])
-        .groupBy(*group, "prob", "position", "low_rank")
-        .agg(F.max(F.when(covers[0], F.col("value"))).alias("low"), F.max("value").alias("high"))
-    )
-    share = F.col("position") - F.col("low_rank")
-    between = F.when(share == 0, F.col("low")).otherwise(F.col("low") + share * (F.col("high") - F.col("low")))
-    return picked.select(*group, "prob", between.alias("value"))
+        finer = finer.withColumns({"low": F.col("cell_low"), "high": F.col("cell_high")})
+        held = settled(held.where(~wide).unionByName(finer.select(*held.columns)))
 
 
-def _size_part(column: str) -> Column:
-    """A whole number that never falls as the value grows: its sign and the size of its logarithm."""
-    value = F.col(column)
-    size = F.floor(F.log2(F.abs(value)) * OCTAVE_PARTS) + 1100 * OCTAVE_PARTS
-    top = F.lit(2200 * OCTAVE_PARTS)
-    size = F.when(F.abs(value) == float("inf"), top).otherwise(size)
-    signed = F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
-    return F.when(F.isnan(value), top + 1).otherwise(signed).cast("int")
+# A whole number that never falls as the value grows: its sign and the size of its logarithm.
+_TOP = 2200 * OCTAVE_PARTS
+_SIZE = f"if(abs(value) = double('infinity'), {_TOP}L, floor(log2(abs(value)) * {OCTAVE_PARTS}) + {1100 * OCTAVE_PARTS})"
+_SIZE_PART = f"cast(case when isnan(value) then {_TOP + 1} when value = 0 then 0 when value > 0 then {_SIZE} else -{_SIZE} end as int)"
 
 
 def _extent(low: str = "low", high: str = "high") -> list[Column]:
@@ -186,7 +194,7 @@ def _extent(low: str = "low", high: str = "high") -> list[Column]:
 def _holding(
     parts: DataFrame, ranks: DataFrame, group: list[str], order: list[str], inside: list[str] | None = None
 ) -> DataFrame:
-    """The parts that hold a wanted rank, with ``first_rank`` moved to their own first row.
+    """The parts that hold a wanted rank, once for each such rank, with ``first_rank`` moved to their own first row.
 
     ``parts`` are counted rows (n, first_rank of what was cut); ``inside`` names what was cut, apart from the group.
     """
@@ -196,7 +204,7 @@ def _holding(
     hit = ((F.col("low_rank") >= F.col("first_rank")) & (F.col("low_rank") < end)) | (
         (F.col("high_rank") >= F.col("first_rank")) & (F.col("high_rank") < end)
     )
-    return placed.join(ranks, group).where(hit).select(*placed.columns).distinct()
+    return placed.join(ranks, group).where(hit)
 
 
 def _inside(long: DataFrame, held: DataFrame, group: list[str]) -> DataFrame:

@@ -116,9 +116,21 @@ def velocity_stats(df: DataFrame, digits: int = 4) -> DataFrame:
     The sender-day counts are written once: the quantiles and the moments read them several times.
     """
     counts = settled(velocity(df).select(LABEL, "tx_count"))
-    summary = describe(counts, ["tx_count"], [LABEL], digits).drop("column")
-    clip = wide_quantiles(counts, "tx_count", {"p99": 0.99})
-    return summary.withColumn("clip_p99", rounded(clip.scalar(), digits))
+    # The classes and all rows together are groups of one search.
+    groups = counts.selectExpr(f"inline(array(struct(cast({LABEL} as string) as who, tx_count), struct('all' as who, tx_count)))")
+    names = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+    quantiles = settled(wide_quantiles(groups, "tx_count", names, ["who"]))
+    clip = quantiles.where("who = 'all'").select(F.max("p99"))
+    moments = counts.where(F.col(LABEL).isNotNull()).groupBy(LABEL).agg(
+        F.count("tx_count").alias("count"),
+        F.avg("tx_count").alias("mean"),
+        F.stddev_samp("tx_count").alias("std"),
+        F.min("tx_count").cast("double").alias("min"),
+        F.max("tx_count").cast("double").alias("max"),
+    )
+    summary = moments.join(quantiles, F.col(LABEL).cast("string") == F.col("who"))
+    shown = [rounded(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    return summary.select(LABEL, "count", *shown).withColumn("clip_p99", rounded(clip.scalar(), digits))
 
 
 def sender_activity(df: DataFrame) -> DataFrame:
@@ -325,7 +337,7 @@ def with_balance_remaining(df: DataFrame) -> DataFrame:
 def box_stats(df: DataFrame, column: str, key: str, digits: int = 4) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and rows beyond them, by key."""
     names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    quartiles = bounded(wide_quantiles(df, column, names, [key]))
+    quartiles = settled(wide_quantiles(df, column, names, [key]))  # a written table: its size tells whether it is broadcast
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
