@@ -2,13 +2,16 @@
 
 1. Rows with the same vector are copies. Only the ``k + 1`` lowest ids of each vector can ever be a neighbour (the
    rest are farther or tie with a higher id), so a vector that half the rows share becomes one point.
-2. A small sample of the points gives a balanced tree of median cuts; each point falls into one leaf. Leaves hold a
-   bounded number of distinct points.
+2. A hash sample of the points gives a balanced tree of median cuts, level by level, as tables of one row a node; each
+   point falls into one leaf. Leaves hold a bounded number of distinct points.
 3. Inside its leaf each point finds its nearest, and with them the radius no true neighbour can exceed.
-4. A point visits only the leaves whose bounding box reaches into that radius. Visitors of a leaf are split into
-   chunks, so a leaf everyone visits is many tasks.
+4. A point walks down the tree by joins with the nodes' boxes and visits only the leaves that reach into that radius:
+   the box of the vectors must, and for each of a few pivots so must the range of the distances to the pivot (by the
+   triangle inequality a neighbour's distance to a pivot differs by no more than the radius). Visitors of a leaf are
+   split into chunks, so a leaf everyone visits is many tasks.
 
-The answer does not depend on the tree: a bad one costs visits, not neighbours.
+The answer does not depend on the tree or the pivots: bad ones cost visits, not neighbours. Cuts and boxes are written
+tables that grow with the points: their size decides whether they are sent to all tasks, and none passes the driver.
 """
 
 from __future__ import annotations
@@ -89,36 +92,7 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
 
     placed = settled(placed)
     local = settled(placed.groupBy("leaf").applyInPandas(inside, inside_schema))
-    boxes = points.sparkSession.sparkContext.broadcast(_node_boxes(placed, depth))
-
-    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Walk the tree with all rows of a batch at once, dropping at each node the rows its box is too far for."""
-        low, high = boxes.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vec, own = np.stack(pdf["vec"]), pdf["leaf"].to_numpy()
-            reach = pdf["radius"].to_numpy() + SLACK
-            pending = [(0, np.arange(len(pdf)))]
-            while pending:
-                node, at = pending.pop()
-                gap = np.maximum(0.0, np.maximum(low[node] - vec[at], vec[at] - high[node]))
-                at = at[np.sqrt((gap * gap).sum(axis=1)) <= reach[at]]
-                if len(at) == 0:
-                    continue
-                leaf = node - (2**depth - 1)
-                if leaf < 0:
-                    pending += [(2 * node + 1, at), (2 * node + 2, at)]
-                    continue
-                at = at[own[at] != leaf]
-                if len(at):
-                    yield pdf.iloc[at][["pid", "vec", "radius"]].assign(leaf=np.int32(leaf))
-
-    asked = settled(
-        local.select("leaf", "pid", "vec", "radius").mapInPandas(
-            visits, "pid string, vec array<double>, radius double, leaf int"
-        )
-    )
+    asked = settled(_visits(local, placed, depth))
     chunks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     visitors = asked.join(chunks, "leaf").withColumn(
         "part", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int")
@@ -147,59 +121,76 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
 
 
 def _placed(points: DataFrame, count: int, depth: int) -> DataFrame:
-    """Add the leaf of each point. The tree is cut from a hash sample of at most 16 points a leaf."""
-    if count == 0:
-        return points.withColumn("leaf", F.lit(0))
-    # The lowest hashes are a sample of exactly this size.
-    lowest = points.orderBy(F.xxhash64("pid"), "pid").limit(SAMPLE_PER_LEAF * 2**depth)
-    dims, cuts = _median_cuts(np.stack(lowest.select("vec").toPandas()["vec"]), depth)
-
-    @F.pandas_udf("int")
-    def leaf_of(vec: pd.Series) -> pd.Series:
-        values = np.stack(vec)
-        node = np.zeros(len(values), dtype=np.int64)
-        for _ in range(depth):
-            node = 2 * node + 1 + (values[np.arange(len(values)), dims[node]] > cuts[node])
-        return pd.Series((node - (2**depth - 1)).astype(np.int32))
-
-    return points.withColumn("leaf", leaf_of("vec"))
-
-
-def _median_cuts(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cut dimension and value of every inner node of a complete tree, widest even cut first."""
-    dims = np.zeros(2**depth - 1, dtype=np.int64)
-    cuts = np.zeros(2**depth - 1)
-    members = {0: sample}
-    for node in range(2**depth - 1):
-        rows = members.pop(node)
-        if len(rows):
-            median = np.median(rows, axis=0)
-            evenness = np.minimum((rows > median).mean(axis=0), 0.5)
-            spread = rows.std(axis=0) * (evenness >= min(0.25, evenness.max()))
-            dims[node] = int(np.argmax(spread))
-            cuts[node] = median[dims[node]]
-        right = rows[:, dims[node]] > cuts[node]
-        members[2 * node + 1], members[2 * node + 2] = rows[~right], rows[right]
-    return dims, cuts
-
-
-def _node_boxes(placed: DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bounding box of every node, leaves last; an empty one is infinitely far.
-
-    Spark finds the leaves' boxes, a row for each leaf and dimension; the inner ones enclose their two children.
-    """
-    long = placed.select("leaf", F.posexplode("vec").alias("dim", "x"))
-    bounds = long.groupBy("leaf", "dim").agg(F.min("x").alias("low"), F.max("x").alias("high")).toPandas()
-    leaves = 2**depth
-    low = np.full((2 * leaves - 1, bounds["dim"].max() + 1 if len(bounds) else 1), np.inf)
-    high = -low
-    node = bounds["leaf"].to_numpy() + leaves - 1
-    low[node, bounds["dim"]] = bounds["low"]
-    high[node, bounds["dim"]] = bounds["high"]
-    for parent in range(leaves - 2, -1, -1):
-        low[parent] = np.minimum(low[2 * parent + 1], low[2 * parent + 2])
-        high[parent] = np.maximum(high[2 * parent + 1], high[2 * parent + 2])
-    return low, high
+    """Add the leaf of each point. Each level of the tree is a table (node, dim, cut) from the sampled points."""
+    share = min(1.0, SAMPLE_PER_LEAF * 2**depth / max(1, count))
+    below = F.pmod(F.xxhash64("pid"), F.lit(2**31)) < F.lit(int(share * 2**31))
+    sample = settled(points.where(below).select("vec", F.lit(0).cast("long").alias("node")))
+    placed = points.withColumn("node", F.lit(0).cast("long"))
+    for _ in range(depth):
+        cuts = settled(_median_cuts(sample))
+        sample = settled(_descended(sample, cuts))
+        placed = _descended(placed, cuts)
+    return placed.withColumn("leaf", (F.col("node") - (2**depth - 1)).cast("int")).drop("node")
+
+
+def _median_cuts(sample: DataFrame) -> DataFrame:
+    """(node, dim, cut): the median of the widest dimension, of those that the median cuts best."""
+    long = sample.selectExpr("node", "posexplode(vec) as (dim, x)").groupBy("node", "dim")
+    spread = long.agg(
+        F.expr("percentile_approx(x, array(0.5D, 0.75D), 200)").alias("q"), F.max("x").alias("top"), F.stddev_pop("x").alias("spread")
+    )
+    even = "case when q[1] > q[0] then 2 when top > q[0] then 1 else 0 end"
+    best = spread.groupBy("node").agg(F.expr(f"max_by(struct(dim, q[0] as cut), struct({even}, spread, dim))").alias("best"))
+    return best.select("node", "best.dim", "best.cut")
+
+
+def _descended(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows moved to a child of their node; where no sampled point was, to the left one."""
+    right = F.coalesce(F.expr("vec[dim] > cut"), F.lit(False)).cast("int")
+    moved = rows.join(cuts, "node", "left").withColumn("node", 2 * F.col("node") + 1 + right)
+    return moved.select(*[c for c in rows.columns if c != "node"], "node")
+
+
+def _gap(low: str, high: str, at: str) -> str:
+    """How far each coordinate lies outside a box, as SQL."""
+    under = f"zip_with({low}, {at}, (l, x) -> greatest(l - x, 0D))"
+    return f"zip_with({under}, zip_with({at}, {high}, (x, h) -> greatest(x - h, 0D)), (a, b) -> a + b)"
+
+
+def _distances(pivots: str) -> str:
+    """The distances of ``vec`` to each pivot, as SQL."""
+    square = "aggregate(zip_with(vec, p, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x)"
+    return f"transform({pivots}, p -> sqrt({square}))"
+
+
+def _visits(local: DataFrame, placed: DataFrame, depth: int) -> DataFrame:
+    """(pid, vec, radius, leaf): the leaves other than its own that a point has to look into."""
+    # Pivots: one point each from the ends of the longest and shortest vectors, and of two ids; any points would do.
+    norm = "aggregate(vec, 0D, (s, x) -> s + x * x)"
+    ends = [f"max_by(vec, {norm})", f"min_by(vec, {norm})", "max_by(vec, xxhash64(pid))", "min_by(vec, xxhash64(pid))"]
+    chosen = settled(placed.selectExpr(f"array({', '.join(ends)}) as pivots"))
+    known = placed.withColumn("_p", chosen.select("pivots").scalar()).selectExpr("leaf", "vec", f"{_distances('_p')} as far")
+    steps = ", ".join(f"{2 ** (depth - up) - 1} + shiftright(leaf, {up})" for up in range(depth + 1))
+    # A leaf's extent counts for all nodes above it; both kinds of coordinates go through one aggregation.
+    extent = known.selectExpr("leaf", "posexplode(concat(vec, far)) as (dim, x)").groupBy("leaf", "dim")
+    extent = extent.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    nodes = extent.selectExpr(f"explode(array({steps})) as node", "dim", "low", "high").groupBy("node", "dim")
+    sides = nodes.agg(F.min("low").alias("low"), F.max("high").alias("high")).groupBy("node")
+    boxes = sides.agg(F.array_sort(F.collect_list(F.struct("dim", "low", "high"))).alias("b"))
+    boxes = settled(boxes.selectExpr("node", "b.low as low", "b.high as high"))
+    at = local.withColumn("_p", chosen.select("pivots").scalar()).selectExpr(
+        "pid", "vec", "radius", "leaf as own", f"concat(vec, {_distances('_p')}) as at", "size(vec) as width", "0 as node"
+    )
+    for level in range(depth + 1):
+        gaps = at.join(boxes, "node").selectExpr(*at.columns, f"{_gap('low', 'high', 'at')} as gap")
+        vectors = "sqrt(aggregate(slice(gap, 1, width), 0D, (s, x) -> s + x * x))"
+        near = gaps.where(f"{vectors} <= radius + {SLACK}D and array_max(slice(gap, width + 1, 4)) <= radius + {SLACK}D")
+        at = near.select(*at.columns)
+        if level < depth:
+            rest = [c for c in at.columns if c != "node"]
+            at = at.selectExpr(*rest, "explode(array(2 * node + 1, 2 * node + 2)) as node")
+    visited = at.selectExpr("pid", "vec", "radius", "own", f"cast(node - {2**depth - 1} as int) as leaf")
+    return visited.where("leaf <> own").drop("own")
 
 
 def _scan(queries: np.ndarray, radius: np.ndarray | None, owners: np.ndarray, ids: list, k: int) -> tuple[list, list]:
