@@ -28,6 +28,15 @@ BUCKET_KEYS = 2048
 KEY_BITS = 64
 
 
+def _raw(text: Column, raw_bits: int) -> Column:
+    """A hash of the text as given."""
+    return F.shiftrightunsigned(F.xxhash64(text), 64 - raw_bits)
+
+
+def _key(normal: Column | str, key_bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(normal), 64 - key_bits)
+
+
 def _leading(depth: Column, key_bits: int) -> Column:
     """The first ``depth`` of the ``key_bits`` bits of a key, as a number."""
     return F.when(depth == 0, F.lit(0).cast("long")).otherwise(
@@ -69,18 +78,20 @@ def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = K
     return buckets.select("local_depth", "prefix", first.alias("bucket")), depths
 
 
-def build_index(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS) -> tuple[DataFrame, DataFrame]:
+def build_index(
+    docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS, raw_bits: int = KEY_BITS
+) -> tuple[DataFrame, DataFrame]:
     """``(entries, index)``, both written tables.
 
     ``entries``: a row for each document (doc_id, raw, key, text_sha256). ``index``: a row for each distinct raw hash
     of a key (bucket, key, raw, rows).
     """
-    normal = docs.select("doc_id", F.xxhash64(whole_text()).alias("raw"), ascii_lower(whole_text()).alias("normal"))
+    normal = docs.select("doc_id", _raw(whole_text(), raw_bits).alias("raw"), ascii_lower(whole_text()).alias("normal"))
     entries = settled(
         normal.select(
             "doc_id",
             "raw",
-            F.shiftrightunsigned(F.xxhash64("normal"), 64 - key_bits).alias("key"),
+            _key("normal", key_bits).alias("key"),
             F.sha2("normal", 256).alias("text_sha256"),
         )
     )
@@ -92,18 +103,22 @@ def build_index(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int =
     return entries, settled(index)
 
 
-def exact_duplicates(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = KEY_BITS, raw_bits: int = KEY_BITS
+) -> DataFrame:
     """One row for each document: doc_id, raw, text_sha256, keep_id, group_size, kept.
 
-    ``raw`` is the hash of the text as given; with doc_id it names the row for ``keep_rows``.
+    ``raw`` is the hash of the text as given; with doc_id it names the row for ``keep_rows``. Texts that collide in it
+    are told apart by their keys, and texts that collide in both by their bytes.
     """
-    entries, index = build_index(docs, bucket_keys, key_bits)
+    entries, index = build_index(docs, bucket_keys, key_bits, raw_bits)
     shared = index.groupBy("bucket", "key").agg(F.sum("rows").alias("n")).where("n > 1").select("bucket", "key")
     wanted = settled(index.join(shared, ["bucket", "key"]).select("raw", "bucket", "key"))
     fetched = (
-        docs.select("doc_id", F.xxhash64(whole_text()).alias("raw"), whole_text().alias("text"))
-        .join(wanted, "raw")
-        .select("doc_id", "raw", "bucket", "key", ascii_lower("text").alias("normal"))
+        docs.select("doc_id", _raw(whole_text(), raw_bits).alias("raw"), ascii_lower(whole_text()).alias("normal"))
+        .withColumn("key", _key("normal", key_bits))
+        .join(wanted, ["raw", "key"])
+        .select("doc_id", "raw", "bucket", "key", "normal")
     )
     groups = fetched.groupBy("bucket", "key", "normal").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
@@ -137,7 +152,7 @@ def keep_rows(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of equal texts, columns unchanged."""
     found = settled(exact_duplicates(docs, **options))
     raw, key_id, key_raw = fresh(docs, "raw", "dropped_id", "dropped_raw")
-    named = docs.withColumn(raw, F.xxhash64(whole_text()))
+    named = docs.withColumn(raw, _raw(whole_text(), options.get("raw_bits", KEY_BITS)))
     dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias(key_id), F.col("raw").alias(key_raw)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col(key_id)) & (F.col(raw) == F.col(key_raw))
     left = named.join(dropped, same, "left_anti")

@@ -35,6 +35,16 @@ def test_exact_groups(spark, options):
     assert same_rows(rows, _exact(texts()))
 
 
+@pytest.mark.parametrize("options", [{"raw_bits": 3}, {"raw_bits": 1, "key_bits": 2, "bucket_keys": 2}])
+def test_texts_that_collide_in_the_raw_hash_stay_single_rows(spark, options):
+    rows = [(i, f"text {i % 40}" if i % 3 else f"TEXT {i % 40}") for i in range(200)]
+    found = exact_dedup.exact_duplicates(documents(spark, rows), **options)
+    out = found.select("doc_id", "text_sha256", "keep_id", "group_size", "kept").collect()
+    assert same_rows(out, _exact(rows))
+    kept = exact_dedup.keep_rows(documents(spark, rows), **options).collect()
+    assert sorted(lower(r.text) for r in kept) == sorted({lower(t) for _, t in rows})
+
+
 def test_directory_doubles_until_no_bucket_is_overfull(spark):
     keys = spark.range(3000).selectExpr("xxhash64(id) as key").unionByName(spark.range(500).selectExpr("id as key"))
     keys = keys.distinct().cache()
