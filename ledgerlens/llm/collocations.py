@@ -133,7 +133,7 @@ def mined(keys: np.ndarray, low: int, high: int, shorter: Filter, is_frequent: C
 
     Each list is sorted. A phrase is tried only where both phrases of one word less in it are left.
     """
-    places = np.flatnonzero(keys)
+    places = np.flatnonzero(keys).astype(np.int32)
     level, out = keys[places], []
     for width in range(1, high + 1):
         if width > 1:
@@ -157,7 +157,7 @@ def mined(keys: np.ndarray, low: int, high: int, shorter: Filter, is_frequent: C
 
 def counted(keys: np.ndarray, low: int, high: int, wanted: Filter | None) -> list[Counted]:
     """Keys of ``low`` to ``high`` words that pass the filter, or all, with their occurrences."""
-    places = np.flatnonzero(keys)
+    places = np.flatnonzero(keys).astype(np.int32)
     level, out = keys[places], []
     for width in range(1, high + 1):
         if width > 1:
@@ -175,7 +175,7 @@ def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, tag: np.uint64) -> lis
     ends = np.append(edges[1:], len(data))
     held = kinds[edges] > 0
     begins, ends, text = edges[held], ends[held], data.tobytes()
-    places = np.flatnonzero(keys)
+    places = np.flatnonzero(keys).astype(np.int32)
     level, out = keys[places], []
     for width in range(2, MAX_WORDS + 1):
         level, places = longer_keys(keys, level, places, width)
@@ -211,8 +211,11 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
     size = 0
 
     def out() -> Iterator[tuple[str, int, bytes]]:
-        for lang, parts in held.items():
-            yield lang, totals[lang], b"\n".join(parts)
+        while held:
+            lang, parts = held.popitem()
+            raw = b"\n".join(parts)
+            del parts
+            yield lang, totals[lang], raw
 
     for batch in batches:
         for lang, total, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -222,7 +225,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
                 size += len(part)
                 if size >= SHARD_BYTES:
                     yield from out()
-                    held, size = {}, 0
+                    size = 0
     yield from out()
 
 
