@@ -13,7 +13,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,10 +126,7 @@ def exact_quantiles(
     long = df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))").where(known)
     long = long.selectExpr("*", f"{_SIZE_PART} as part")
     counts = "count(*) as n, min(value) as low, max(value) as high"
-    counted = spark.sql(f"select {keys}, part, {counts} from {{long}} group by {keys}, part", long=long)
-    # The size of the widest part is known when the counts have been written, without a job of its own.
-    widest = Observation()
-    counted = settled(counted.observe(widest, F.max("n").alias("n")))
+    counted = settled(spark.sql(f"select {keys}, part, {counts} from {{long}} group by {keys}, part", long=long))
     wanted = ", ".join(f"{float(p)!r}D" for p in probabilities)
     held = settled(spark.sql(
         f"""
@@ -142,8 +139,7 @@ def exact_quantiles(
         """,
         counted=counted,
     ))
-    if (widest.get.get("n") or 0) > part_rows:
-        held = _finer(long, held, group, buckets or PARTS, part_rows)
+    held = _finer(long, held, group, buckets or PARTS, part_rows)
     return spark.sql(
         f"""
         with parts as (select distinct {keys}, part, low, high, first_rank from {{held}}),
@@ -166,11 +162,9 @@ def exact_quantiles(
 def _finer(long: DataFrame, held: DataFrame, group: list[str], buckets: int, part_rows: int) -> DataFrame:
     """Cut the wide ones of the held parts until none has more than ``part_rows`` rows and more than one value."""
     wide = (F.col("n") > part_rows) & (F.col("low") < F.col("high"))
-    ranks = settled(held.select(*group, "prob", "position", "low_rank", "high_rank").distinct())
-    while True:
+    ranks = held.select(*group, "prob", "position", "low_rank", "high_rank").distinct()
+    while not held.where(wide).isEmpty():
         cut_again = held.where(wide).select(*group, "part", "low", "high", "first_rank").distinct()
-        if cut_again.isEmpty():
-            return held
         inside = _inside(long, cut_again, group)
         share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
         cell = F.least(F.floor(share * buckets), F.lit(buckets - 1))
@@ -179,6 +173,7 @@ def _finer(long: DataFrame, held: DataFrame, group: list[str], buckets: int, par
         finer = _holding(cut, ranks, group, ["part", "low", "cell"], ["part", "low"])
         finer = finer.withColumns({"low": F.col("cell_low"), "high": F.col("cell_high")})
         held = settled(held.where(~wide).unionByName(finer.select(*held.columns)))
+    return held
 
 
 # A whole number that never falls as the value grows: its sign and the size of its logarithm.
