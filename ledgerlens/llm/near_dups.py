@@ -12,8 +12,12 @@ Links are confirmed on the full sets, in two waves that never list all pairs of
 1. Every key has a centre: the class that meets most others over all its keys, which is the original where a group are
    edited copies of one text. A class is compared with the centres of its keys, and the nearest is confirmed.
 2. Keys whose classes are still in different components compare the classes of different components, in blocks, inside
-   the tasks. What passes the size bound and a longer signature (640 symbols of 8 bits) is confirmed as well, once for
-   the first key that a pair shares.
+   the tasks. What passes the size bound and the signature distance is confirmed as well, once for the first key that a
+   pair shares.
+
+A pair is confirmed in three steps, each for what the one before leaves: a longer signature (640 symbols of 8 bits), the
+leading bytes of the sets, the full sets. Those are made for classes that share a key with another only, once, and
+travel to pairs, not with keys; what travels with keys is the signature of 160 bytes.
 
 So a group of copies is linked through its centres, and no link between different components is lost.
 
@@ -42,14 +46,13 @@ SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 SYMBOLS, CHUNKS, SYMBOL_BITS = 80, 16, 14
 CHUNK_SYMBOLS = SYMBOLS // CHUNKS
-# Of the longer signature. A pair at the similarity limit is farther apart with a probability below 1e-6.
-LONG_SYMBOLS, MAX_DISTANCE = 640, 216
+# A pair at the similarity limit is farther apart with a probability below 4e-8 (signature) and 1e-6 (longer signature).
+MAX_DISTANCE = 42
+LONG_SYMBOLS, MAX_LONG_DISTANCE = 640, 216
 BLOCK_ROWS = 2048
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64)
-# How a class keeps its symbols: those of the index, and those of the longer signature.
-SIGNATURE = np.dtype([("index", "<u2", SYMBOLS), ("long", "u1", LONG_SYMBOLS)])
 
 
 def shingle_set(text: str, width: int = SHINGLE_WORDS) -> np.ndarray:
@@ -57,21 +60,28 @@ def shingle_set(text: str, width: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(shingles(words(text.encode("utf-8"))[0], width))
 
 
-def signature(members: np.ndarray) -> np.ndarray:
-    """The b-bit MinHash symbols of a set that is not empty, as one SIGNATURE."""
-    lowest = np.full(LONG_SYMBOLS, np.uint64(2**64 - 1))
+def _lowest(members: np.ndarray, functions: int) -> np.ndarray:
+    """The mixed minima of the first so many MinHash functions over a set that is not empty."""
+    lowest = np.full(functions, np.uint64(2**64 - 1))
     for begin in range(0, len(members), 256):
-        part = members[begin : begin + 256, None] * _MULTIPLY + _ADD
+        part = members[begin : begin + 256, None] * _MULTIPLY[:functions] + _ADD[:functions]
         np.minimum(lowest, part.min(axis=0), out=lowest)
-    mixed = mix(lowest)
-    out = np.zeros(1, SIGNATURE)
-    out["index"] = mixed[:SYMBOLS] & np.uint64((1 << SYMBOL_BITS) - 1)
-    out["long"] = mixed >> np.uint64(56)
-    return out
+    return mix(lowest)
+
+
+def signature(members: np.ndarray) -> np.ndarray:
+    """The b-bit MinHash symbols of a set that is not empty."""
+    return (_lowest(members, SYMBOLS) & np.uint64((1 << SYMBOL_BITS) - 1)).astype("<u2")
+
+
+def long_signature(members: np.ndarray) -> np.ndarray:
+    """The symbols of the longer signature."""
+    return (_lowest(members, LONG_SYMBOLS) >> np.uint64(56)).astype(np.uint8)
 
 
 def signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=SIGNATURE)
+    """A column of signatures as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, SYMBOLS)
 
 
 def index_keys(symbols: np.ndarray) -> np.ndarray:
@@ -125,19 +135,13 @@ def _key_rows(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 2048):
                 part = batch.slice(begin, 2048)
-                keys = index_keys(signatures(part.column(1))["index"])
+                keys = index_keys(signatures(part.column(1)))
                 names = np.repeat(part.column(0).to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(names)], schema.names)
 
     return classes.select("c", "sig").mapInArrow(keyed, schema)
 
 
-def _close(batch_a: pa.Array, batch_b: pa.Array) -> np.ndarray:
-    """Signature distances, row by row."""
-    a, b = (signatures(x)["long"] for x in (batch_a, batch_b))
-    return (a != b).sum(axis=1)
-
-
 def _with_distance(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) whose sizes allow the similarity, with their signature distance, up to MAX_DISTANCE."""
     one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
@@ -148,8 +152,8 @@ def _with_distance(pairs: DataFrame, classes: DataFrame, similarity: int) -> Dat
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = _close(batch.column(2), batch.column(3)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far)], schema.names)
+            far = (signatures(batch.column(2)) != signatures(batch.column(3))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.int64())], schema.names)
 
     return both.select("a", "b", "sa", "sb").mapInArrow(measured, schema).where(F.col("distance") <= MAX_DISTANCE)
 
@@ -171,51 +175,69 @@ def reach(one: np.ndarray, two: np.ndarray, similarity: int) -> bool:
 
 
 def _full_sets(names: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """The full sets of the classes in ``names`` (c), and the two leading bytes of each member, written.
+    """c, row number ``u``, longer signature, leading two bytes of each member, and members of the classes in ``names``.
 
-    Texts of other classes are not looked at again. Both waves of links read this table.
+    Written, and read by both waves of links. Texts of other classes are not looked at again. Rows of ``docs`` that
+    repeat an id and a text give a class several rows here; ``_numbered`` takes one.
     """
-    texts = settled(classes.join(names, "c").select("c", "t1", "t2"))
-    held = docs.select(*text_key(), whole_text().alias("text")).join(texts, ["t1", "t2"]).select("c", "text")
-    binary = [T.StructField(n, T.BinaryType()) for n in ("members", "ends")]
+    texts = settled(classes.join(names, "c").select("c", F.col("t1").alias("c1"), F.col("t2").alias("c2"), "first_text_id"))
+    own = docs.select("doc_id", *text_key(), whole_text().alias("text"))
+    same = (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_text_id"))
+    held = own.join(texts, same).select("c", "text")
+    binary = [T.StructField(n, T.BinaryType()) for n in ("long", "ends", "members")]
     set_schema = T.StructType([T.StructField("c", T.LongType()), *binary])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), width) for t in batch.column(1)]
+            longs = [long_signature(x).tobytes() for x in sets]
             ends = [(x >> np.uint64(48)).astype(np.uint16).tobytes() for x in sets]
-            columns = [pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(ends, pa.binary())]
+            columns = [pa.array(x, pa.binary()) for x in (longs, ends, [x.tobytes() for x in sets])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], set_schema.names)
 
-    return settled(held.mapInArrow(members, set_schema).dropDuplicates(["c"]))
+    return settled(held.mapInArrow(members, set_schema).withColumn("u", F.monotonically_increasing_id()))
+
+
+def _numbered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the row numbers (ua, ub) of their sets, written."""
+    first = sets.groupBy("c").agg(F.min("u").alias("u"))
+    one, two = (first.withColumnsRenamed({"c": x, "u": f"u{x}"}) for x in ("a", "b"))
+    return settled(pairs.join(one, "a").join(two, "b").select("a", "b", "ua", "ub"))
+
+
+def may_be_close(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two longer signatures are near enough for a link."""
+    return int((one != two).sum()) <= MAX_LONG_DISTANCE
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs that reach the similarity on their full sets, written.
 
-    The leading bytes bound what two sets can share, so pairs meet with those first, and with their full sets only where
-    the bound leaves them.
+    The leading bytes bound what two sets can share, so pairs meet with the longer signature first, with those bytes
+    next, and with their full sets only where both leave them.
     """
-    possible = _compared(pairs, sets.select("c", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
-    return _compared(possible, sets.select("c", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
+    possible = _compared(_numbered(pairs, sets), sets.select("u", "long"), np.uint8, may_be_close)
+    possible = _compared(possible, sets.select("u", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
+    linked = _compared(possible, sets.select("u", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
+    return linked.select("a", "b")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, kind: type, good: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """The pairs (a, b) whose sets pass a test, written. ``sets`` has c and one binary column."""
+    """The pairs (a, b, ua, ub) whose sets pass a test, written. ``sets`` has u and one binary column."""
     name = sets.columns[1]
-    both = pairs.join(sets.withColumnsRenamed({"c": "a", name: "ma"}), "a").join(
-        sets.withColumnsRenamed({"c": "b", name: "mb"}), "b"
+    both = pairs.join(sets.withColumnsRenamed({"u": "ua", name: "ma"}), "ua").join(
+        sets.withColumnsRenamed({"u": "ub", name: "mb"}), "ub"
     )
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    schema = T.StructType([T.StructField(x, T.LongType()) for x in ("a", "b", "ua", "ub")])
 
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = zip(batch.column(2), batch.column(3), strict=True)
+            columns = zip(batch.column(4), batch.column(5), strict=True)
             passed = [good(*(np.frombuffer(m.as_buffer(), dtype=kind) for m in pair)) for pair in columns]
             keep = pa.array(passed, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(4)], schema.names)
 
-    return settled(both.select("a", "b", "ma", "mb").mapInArrow(tested, schema))
+    return settled(both.select("a", "b", "ua", "ub", "ma", "mb").mapInArrow(tested, schema))
 
 
 def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -244,9 +266,9 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
             fits = (label != label[i]) & (100 * np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
             other = np.flatnonzero(fits & (c > c[i]) & ((block == block[i]) if within else (block != block[i])))
             if len(other):
-                other = other[(sig["long"][other] != sig["long"][i]).sum(axis=1) <= MAX_DISTANCE]
+                other = other[(sig[other] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
             if len(other):
-                other = other[first_shared(sig["index"][i], sig["index"][other]) == slot]
+                other = other[first_shared(sig[i], sig[other]) == slot]
             left.append(np.full(len(other), c[i]))
             right.append(c[other])
         return np.concatenate(left), np.concatenate(right)
@@ -288,7 +310,7 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
         .agg(
             F.min("doc_id").alias("first_id"),
             F.max("n_shingles").alias("n"),
-            F.min(F.struct("t1", "t2", "sig")).alias("one"),
+            F.min(F.struct("t1", "t2", F.col("doc_id").alias("first_text_id"), "sig")).alias("one"),
         )
         .select("c", "first_id", "n", "one.*")
     )
@@ -302,7 +324,7 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     stars = stars.where("a <> b").distinct()
     near = _with_distance(stars, classes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     sets = _full_sets(met.select("c"), docs, classes, width)
-    links = _confirmed(settled(near.select("a", "best.b")), sets, similarity)
+    links = _confirmed(near.select("a", "best.b"), sets, similarity)
     labels = component_labels(links)
 
     labels = settled(labels)
