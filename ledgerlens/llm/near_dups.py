@@ -12,12 +12,11 @@ Links are confirmed on the full sets, in two waves that never list all pairs of
 1. Every key has a centre: the class that meets most others over all its keys, which is the original where a group are
    edited copies of one text. A class is compared with the centres of its keys, and the nearest is confirmed.
 2. Keys whose classes are still in different components compare the classes of different components, in blocks, inside
-   the tasks. What passes the size bound and the signature distance is confirmed as well, once for the first key that a
-   pair shares.
+   the tasks. What passes the size bound and a longer signature (640 symbols of 8 bits) is confirmed as well, once for
+   the first key that a pair shares.
 
-A pair is confirmed in three steps, each for what the one before leaves: a longer signature (640 symbols of 8 bits), the
-leading bytes of the sets, the full sets. Those are made for classes that share a key with another only, once, and
-travel to pairs, not with keys; what travels with keys is the signature of 160 bytes.
+A pair is confirmed in three steps, each for what the one before leaves: the longer signature, the leading bytes of the
+sets, the full sets. Those are made once, and only for classes that share a key with another.
 
 So a group of copies is linked through its centres, and no link between different components is lost.
 
@@ -40,7 +39,7 @@ from pyspark.sql import types as T
 from ledgerlens.llm.common import bounded_batches, fresh, text_key, whole_text
 from ledgerlens.llm.components import component_labels
 from ledgerlens.llm.word_hash import mix, shingles, words
-from ledgerlens.operators.small import settled
+from ledgerlens.operators.small import bounded, settled
 
 SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
@@ -178,7 +177,7 @@ def _full_sets(names: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     """c, row number ``u``, longer signature, leading two bytes of each member, and members of the classes in ``names``.
 
     Written, and read by both waves of links. Texts of other classes are not looked at again. Rows of ``docs`` that
-    repeat an id and a text give a class several rows here; ``_numbered`` takes one.
+    repeat an id and a text give a class several rows here; the one with the least number counts.
     """
     texts = settled(classes.join(names, "c").select("c", F.col("t1").alias("c1"), F.col("t2").alias("c2"), "first_text_id"))
     own = docs.select("doc_id", *text_key(), whole_text().alias("text"))
@@ -198,10 +197,9 @@ def _full_sets(names: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     return settled(held.mapInArrow(members, set_schema).withColumn("u", F.monotonically_increasing_id()))
 
 
-def _numbered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _numbered(pairs: DataFrame, numbers: DataFrame) -> DataFrame:
     """Pairs (a, b) with the row numbers (ua, ub) of their sets, written."""
-    first = sets.groupBy("c").agg(F.min("u").alias("u"))
-    one, two = (first.withColumnsRenamed({"c": x, "u": f"u{x}"}) for x in ("a", "b"))
+    one, two = (numbers.withColumnsRenamed({"c": x, "u": f"u{x}"}) for x in ("a", "b"))
     return settled(pairs.join(one, "a").join(two, "b").select("a", "b", "ua", "ub"))
 
 
@@ -210,13 +208,13 @@ def may_be_close(one: np.ndarray, two: np.ndarray) -> bool:
     return int((one != two).sum()) <= MAX_LONG_DISTANCE
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, numbers: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs that reach the similarity on their full sets, written.
 
     The leading bytes bound what two sets can share, so pairs meet with the longer signature first, with those bytes
     next, and with their full sets only where both leave them.
     """
-    possible = _compared(_numbered(pairs, sets), sets.select("u", "long"), np.uint8, may_be_close)
+    possible = _compared(_numbered(pairs, numbers), sets.select("u", "long"), np.uint8, may_be_close)
     possible = _compared(possible, sets.select("u", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
     linked = _compared(possible, sets.select("u", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
     return linked.select("a", "b")
@@ -225,6 +223,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 def _compared(pairs: DataFrame, sets: DataFrame, kind: type, good: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
     """The pairs (a, b, ua, ub) whose sets pass a test, written. ``sets`` has u and one binary column."""
     name = sets.columns[1]
+    # Only sets that a pair still needs move.
+    used = bounded(pairs.select(F.col("ua").alias("u")).unionByName(pairs.select(F.col("ub").alias("u"))).distinct())
+    sets = sets.join(used, "u", "left_semi")
     both = pairs.join(sets.withColumnsRenamed({"u": "ua", name: "ma"}), "ua").join(
         sets.withColumnsRenamed({"u": "ub", name: "mb"}), "ub"
     )
@@ -251,7 +252,7 @@ def first_shared(one: np.ndarray, others: np.ndarray) -> np.ndarray:
 def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
     """Pairs of classes that share a key, differ in component, and pass the size bound and the distance.
 
-    ``rows`` has key, a pair of blocks (one, two), own block, c, label, n, sig. A task goes through its sorted units one
+    ``rows`` has key, a pair of blocks (one, two), own block, c, label, n, sig, long. A task goes through its sorted units one
     by one; a unit holds at most two blocks of about BLOCK_ROWS rows. A pair is given by the first key it shares.
     """
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
@@ -261,12 +262,13 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         slot = unit.column("key")[0].as_py() >> (SYMBOL_BITS * (CHUNK_SYMBOLS - 1))
         within = unit.column("one")[0].as_py() == unit.column("two")[0].as_py()
         sig = signatures(unit.column("sig"))
+        longs = np.frombuffer(b"".join(unit.column("long").to_pylist()), np.uint8).reshape(-1, LONG_SYMBOLS)
         left, right = [], []
         for i in range(len(c)):
             fits = (label != label[i]) & (100 * np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
             other = np.flatnonzero(fits & (c > c[i]) & ((block == block[i]) if within else (block != block[i])))
             if len(other):
-                other = other[(sig[other] != sig[i]).sum(axis=1) <= MAX_DISTANCE]
+                other = other[(longs[other] != longs[i]).sum(axis=1) <= MAX_LONG_DISTANCE]
             if len(other):
                 other = other[first_shared(sig[i], sig[other]) == slot]
             left.append(np.full(len(other), c[i]))
@@ -297,7 +299,7 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         if held:
             yield from units(last=True)
 
-    return rows.select("key", "one", "two", "block", "c", "label", "n", "sig").mapInArrow(compared, schema)
+    return rows.select("key", "one", "two", "block", "c", "label", "n", "sig", "long").mapInArrow(compared, schema)
 
 
 def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -324,7 +326,8 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     stars = stars.where("a <> b").distinct()
     near = _with_distance(stars, classes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     sets = _full_sets(met.select("c"), docs, classes, width)
-    links = _confirmed(near.select("a", "best.b"), sets, similarity)
+    numbers = settled(sets.groupBy("c").agg(F.min("u").alias("u")))
+    links = _confirmed(near.select("a", "best.b"), numbers, sets, similarity)
     labels = component_labels(links)
 
     labels = settled(labels)
@@ -333,17 +336,19 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     mixed = settled(mixed.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")))
-    rows = placed.select("key", "c", "label").join(mixed, "key").join(classes.select("c", "n", "sig"), "c")
+    longs = numbers.join(sets.select("u", "long"), "u")
+    rows = placed.select("key", "c", "label").join(mixed, "key")
+    rows = rows.join(classes.select("c", "n", "sig"), "c").join(longs, "c")
     block = F.pmod(F.xxhash64("c"), F.col("blocks"))
     pairs_of_blocks = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.struct(F.least(block, other).alias("one"), F.greatest(block, other).alias("two")),
     )
-    units = rows.select("key", "c", "label", "n", "sig", block.alias("block"), F.inline(pairs_of_blocks))
+    units = rows.select("key", "c", "label", "n", "sig", "long", block.alias("block"), F.inline(pairs_of_blocks))
     dealt = units.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
     second = settled(_cross_pairs(dealt, similarity))
     if not second.isEmpty():
-        links = links.unionByName(_confirmed(second, sets, similarity))
+        links = links.unionByName(_confirmed(second, numbers, sets, similarity))
         labels = component_labels(links)
 
     named = classes.select("c", "first_id").join(labels.withColumnRenamed("node", "c"), "c", "left")
