@@ -2,9 +2,10 @@
 
 Words and punctuation runs, and pairs of neighbours, are hashed into a fixed number of buckets. Two generative models
 are bucket shares with add-one smoothing: one of all documents, one of a bounded sample of target documents (ids that
-labels name as good). The log weight of a document is its mean log ratio of target to raw over its n-grams, times a
-reference length, so that long texts are not favoured for their length. Adding Gumbel noise to the log weights and
-keeping the k largest is sampling without replacement in proportion to the weights. The noise is a hash of doc_id.
+labels name as good). The log weight of a document is the sum of the log ratios of target to raw over its n-grams, that
+is the log of the ratio of its probabilities under both models; ``length_exponent`` divides it by a power of the number
+of n-grams, where long texts shall weigh less. Adding Gumbel noise to the log weights and keeping the k largest is
+sampling without replacement in proportion to the weights. The noise is a hash of doc_id.
 
 The k-th largest key is found by counting keys in ever narrower cells, so nothing is sorted as a whole.
 
@@ -29,7 +30,6 @@ from ledgerlens.operators.small import settled
 
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
-REFERENCE_LENGTH = 100.0
 UNITS = 1_000_000
 CELLS = 1024
 
@@ -81,7 +81,7 @@ def fit(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.log(shares[1]) - np.log(shares[0])
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, reference_length: float = REFERENCE_LENGTH) -> DataFrame:
+def weigh(docs: DataFrame, ratios: np.ndarray, length_exponent: float = 0.0) -> DataFrame:
     """doc_id, n_grams and log_weight for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # one number for each bucket
     schema = T.StructType(
@@ -95,7 +95,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, reference_length: float = REFEREN
             for text in batch.column(1):
                 found = buckets_of(text.as_py().encode("utf-8"))
                 sizes.append(len(found))
-                weights.append(float(table[found].mean() * reference_length) if len(found) else None)
+                weights.append(float(table[found].sum() / len(found) ** length_exponent) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(weights, pa.float64())], schema.names
             )
@@ -130,7 +130,7 @@ def resample(
     good,
     share: float | None = None,
     target_rows: int = TARGET_ROWS,
-    reference_length: float = REFERENCE_LENGTH,
+    length_exponent: float = 0.0,
     seed: int = 29,
 ) -> DataFrame:
     """doc_id, n_grams, log_weight, gumbel_key and kept for each row.
@@ -138,7 +138,7 @@ def resample(
     ``labels`` has doc_id and whatever ``good`` reads. The sample holds ``share`` of the documents with text; by
     default the share of good rows among the labels.
     """
-    weights = weigh(docs, fit(docs, target_ids(labels, good, target_rows)), reference_length)
+    weights = weigh(docs, fit(docs, target_ids(labels, good, target_rows)), length_exponent)
     uniform = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = settled(weights.withColumn("gumbel_key", F.floor((F.col("log_weight") - F.log(-F.log(uniform))) * UNITS)))
     if share is None:

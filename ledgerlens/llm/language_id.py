@@ -4,8 +4,8 @@ A text is cut into windows of fixed length, the last one padded with zeros. Byte
 widths slide over the window, the largest response of each filter is kept, and a softmax layer turns those into
 language probabilities. A document gets the mean of its windows' probabilities, weighted by their bytes.
 
-The network is fitted on the driver from a bounded sample (about ``fit_rows`` different labelled texts of each of the
-MAX_LANGUAGES languages with most texts, chosen by a hash of the text, one window each); prediction covers every byte of every document in batches of windows.
+The network is fitted on the driver from a bounded sample (about ``fit_rows`` different labelled texts of each language,
+chosen by a hash of the text, one window each); prediction covers every byte of every document in batches of windows.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is everything if there is nothing
 to learn from; with one language in the labels all other texts get it. Labels that are null are not learnt from.
@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import fresh, whole_text
+from ledgerlens.operators.small import bounded
 
 WINDOW = 256
 EMBEDDING = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 FIT_ROWS = 1500
-MAX_LANGUAGES = 200
 EPOCHS = 6
 BATCH = 64
 CHUNK = 256
@@ -145,26 +145,26 @@ def train(windows: np.ndarray, labels: list[str], epochs: int = EPOCHS, seed: in
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, epochs: int = EPOCHS) -> ByteCnn | None:
-    """Fit on about ``fit_rows`` different texts of each of at most MAX_LANGUAGES languages; None if there are none.
+    """Fit on about ``fit_rows`` different texts of each language, however many there are; None if there are none.
 
-    ``labelled`` has text and lang. The sample is a threshold on a hash of the text, so no group is sorted; the share
-    counts different texts, so a language of few texts with many copies gives all of them.
+    ``labelled`` has text and lang. The sample, bounded by ``fit_rows`` times the languages, is a threshold on a hash of
+    the text, so no group is sorted; the share counts different texts, so a language of few texts with many copies gives
+    all of them.
     """
     usable = labelled.where(F.col("lang").isNotNull() & whole_text().rlike(r"\p{L}")).select("text", "lang")
     # Copies are combined before the shuffle.
     different = usable.select("lang", F.xxhash64(F.lit(3), "text").alias("text_hash")).distinct()
-    counts = [tuple(r) for r in different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not counts:
+    shares = different.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.count("*")).alias("share"))
+    shares = bounded(shares)
+    languages = shares.count()
+    if not languages:
         return None
-    share = F.lit(0.0)
-    for lang, n in counts:
-        share = F.when(F.col("lang") == lang, min(1.0, fit_rows / n)).otherwise(share)
     position = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1_000_003)) / 1_000_003.0
     # One window of each document, from a place that its hash chooses; four bytes a character at most.
     starts = F.pmod(F.xxhash64(F.lit(5), "text"), F.greatest(F.lit(1), F.length("text") - WINDOW)).cast("int")
-    chosen = usable.where(position < share).select("lang", F.substr("text", starts + 1, F.lit(WINDOW)).alias("part"))
+    chosen = usable.join(shares, "lang").where(position < F.col("share")).select("lang", F.substr("text", starts + 1, F.lit(WINDOW)).alias("part"))
     chosen = chosen.distinct()  # copies teach once
-    rows = sorted(tuple(r) for r in chosen.limit(2 * fit_rows * len(counts)).collect())
+    rows = sorted(tuple(r) for r in chosen.limit(2 * fit_rows * languages).collect())
     if not rows:
         return None
     return train(np.concatenate([to_windows(p.encode("utf-8")[:WINDOW]) for _, p in rows]), [lang for lang, _ in rows], epochs)

@@ -191,6 +191,32 @@ def test_log_weights_equal_plain_sums(spark):
     assert np.allclose(importance.fit(docs, ids), ratios)
 
 
+def test_kept_rows_equal_a_plain_sort_of_summed_ratios(spark):
+    rows = [(i, sentence(5 + i % 60, 50 + i % 90)) for i in range(150)] + [(150, None), (151, ""), (152, "...")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int")
+    docs = documents(spark, rows)
+    ratios = importance.fit(docs, labels.where("quality = 1").select("doc_id"))
+    uniform = "(pmod(xxhash64(29, doc_id), 4503599627370496) + 0.5d) / 4503599627370496d"
+    noise = {r.doc_id: r.g for r in docs.selectExpr("doc_id", f"-ln(-ln({uniform})) as g").collect()}
+    keys = {}
+    for i, t in rows:
+        own = importance.buckets_of((t or "").encode())
+        if len(own):
+            keys[i] = float(sum(ratios[b] for b in own)) + noise[i]
+    found = importance.resample(docs, labels, F.col("quality") == 1, share=0.4).collect()
+    assert all(abs(r.gumbel_key - keys[r.doc_id]) < 1e-4 if r.doc_id in keys else r.gumbel_key is None for r in found)
+    best = sorted(keys, key=lambda i: -keys[i])[: round(0.4 * len(keys))]
+    assert sorted(r.doc_id for r in found if r.kept) == sorted(best)
+    halved = importance.weigh(docs, ratios, length_exponent=0.5).where("doc_id = 7").first()
+    assert abs(halved.log_weight * halved.n_grams**0.5 - (keys[7] - noise[7])) < 1e-9
+
+
+def test_more_than_200_languages_are_learnt(spark):
+    rows = [(f"l{k}", f"{sentence(6, 900 + k)} {j}") for k in range(230) for j in range(2)]
+    net = language_id.fit(spark.createDataFrame(rows, "lang string, text string"), epochs=1)
+    assert sorted(net.languages) == sorted(f"l{k}" for k in range(230))
+
+
 @pytest.mark.parametrize("k", [1, 2, 7, 100, 5000])
 def test_kth_largest(spark, k):
     values = [((i * 7919) % 1009) * 10**6 - 5 * 10**8 for i in range(5000)]
