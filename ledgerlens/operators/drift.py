@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions.numeric import ratio, rounded
 from ledgerlens.operators.ordered import union_all
 from ledgerlens.operators.sampling import hash_sample
-from ledgerlens.operators.small import bounded, one_row
+from ledgerlens.operators.small import bounded, one_row, settled
 
 # Fixed values.
 DRIFT_NUMERIC = ["amount", "sender_balance_before", "receiver_balance_before"]
@@ -93,16 +93,18 @@ def category_counts(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> Da
     )
 
 
-def category_shares(df: DataFrame, columns: list[str] = DRIFT_CATEGORICAL) -> DataFrame:
-    """``(column, key, share)`` of the non-null values. The window runs over one row a value."""
-    total = F.sum("n").over(W.partitionBy("column"))
-    return category_counts(df, columns).select("column", "key", ratio(F.col("n"), total).alias("share"))
-
-
 def build_baseline(df: DataFrame, label: bool = True) -> DataFrame:
-    """The reference statistics of a table as ``(column, kind, key, value)``."""
-    moments = bounded(numeric_moments(df))
+    """The reference statistics of a table as ``(column, kind, key, value)``, from two scans.
+
+    The first gives moments, categories and the label rate together; the second counts the bins, which need the range.
+    """
+    rate = label and DRIFT_LABEL in df.columns
+    found = settled(_moments_and_categories(df, [DRIFT_LABEL] if rate else []))
     names = ["mean", "std", "min", "max"]
+    numeric = F.broadcast(df.sparkSession.createDataFrame([(c,) for c in DRIFT_NUMERIC], "column string"))
+    moments = bounded(numeric.join(found.where("key is null"), "column", "left").select("column", *names))
+    total = F.sum("n").over(W.partitionBy("column"))
+    categories = found.where(F.col("column").isin(DRIFT_CATEGORICAL) & F.col("key").isNotNull())
     entries = [
         F.struct(F.lit("numeric").alias("kind"), F.lit(n).alias("key"), F.col(n).alias("value")) for n in names
     ]
@@ -112,19 +114,38 @@ def build_baseline(df: DataFrame, label: bool = True) -> DataFrame:
             "column", F.lit("bin").alias("kind"), F.col("bin").cast("string").alias("key"),
             F.col("n").cast("double").alias("value"),
         ),
-        category_shares(df).select(
-            "column", F.lit("category").alias("kind"), "key", F.col("share").alias("value")
-        ),
+        categories.select("column", F.lit("category").alias("kind"), "key", ratio(F.col("n"), total).alias("value")),
     ]
-    if label and DRIFT_LABEL in df.columns:
+    if rate:
         parts.append(
-            df.agg(F.avg(DRIFT_LABEL).alias("value")).select(
+            found.agg(F.max(F.when(F.col("column") == DRIFT_LABEL, F.col("mean"))).alias("value")).select(
                 F.lit(DRIFT_LABEL).alias("column"), F.lit("rate").alias("kind"), F.lit("mean").alias("key"), "value"
             )
         )
     return union_all(parts)
 
 
+def _moments_and_categories(df: DataFrame, labels: list[str]) -> DataFrame:
+    """``(column, key, n, mean, std, min, max)`` from one scan: a row each numeric column and each category."""
+    none = F.lit(None)
+    entries = [
+        F.struct(F.lit(c).alias("column"), none.cast("string").alias("key"), F.col(c).cast("double").alias("x"))
+        for c in [*DRIFT_NUMERIC, *labels]
+    ]
+    entries += [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key"), none.cast("double").alias("x"))
+        for c in DRIFT_CATEGORICAL
+    ]
+    return (
+        df.select(F.inline(F.array(*entries)))
+        .groupBy("column", "key")
+        .agg(
+            F.count("*").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+            F.min("x").alias("min"), F.max("x").alias("max"),
+        )
+    )
+
+
 def baseline_sample(df: DataFrame, key: str = "transaction_id", fraction: float = BASELINE_FRACTION) -> DataFrame:
     """The rows a first baseline is taken from."""
     return hash_sample(df, fraction, key)
@@ -164,20 +185,46 @@ def _psi(sides: DataFrame) -> DataFrame:
     return shares.groupBy("column").agg(F.round(F.sum(term), 4).alias("psi"))
 
 
-def _numeric_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+def _held_bins(baseline: DataFrame, columns: list[str]) -> DataFrame:
+    """The reference side of numeric columns, every bin included."""
     held = baseline.where("kind = 'bin'").where(F.col("column").isin(columns))
-    current = bin_counts(df, stored_moments(baseline), columns).withColumnRenamed("bin", "key")
     names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
-    every_bin = df.sparkSession.range(BINS).select(names, F.col("id").alias("key"), F.lit(0).alias("n"))
-    return union_all(
-        [_side(every_bin, "ref"), _side(held.withColumnRenamed("value", "n"), "ref"), _side(current, "cur")]
-    )
+    every_bin = baseline.sparkSession.range(BINS).select(names, F.col("id").alias("key"), F.lit(0).alias("n"))
+    return _side(every_bin, "ref").unionByName(_side(held.withColumnRenamed("value", "n"), "ref"))
 
 
-def _categorical_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+def _held_categories(baseline: DataFrame, columns: list[str]) -> DataFrame:
+    """The reference side of categorical columns."""
     steps = F.floor(F.col("value") * SHARE_STEPS).alias("n")
     held = baseline.where("kind = 'category'").where(F.col("column").isin(columns)).select("column", "key", steps)
-    return _side(held.where("n > 0"), "ref").unionByName(_side(category_counts(df, columns), "cur"))
+    return _side(held.where("n > 0"), "ref")
+
+
+def _numeric_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    current = bin_counts(df, stored_moments(baseline), columns).withColumnRenamed("bin", "key")
+    return _held_bins(baseline, columns).unionByName(_side(current, "cur"))
+
+
+def _categorical_sides(df: DataFrame, baseline: DataFrame, columns: list[str]) -> DataFrame:
+    return _held_categories(baseline, columns).unionByName(_side(category_counts(df, columns), "cur"))
+
+
+def _current_counts(df: DataFrame, baseline: DataFrame, labels: list[str]) -> DataFrame:
+    """``(column, key, n)`` of all bins, categories and label values, from one scan."""
+    ranged = df.select(*DRIFT_NUMERIC, *DRIFT_CATEGORICAL, *labels).withColumn(
+        "_b", _bounds_row(stored_moments(baseline), DRIFT_NUMERIC)
+    )
+
+    def entry(column: str, key: Column) -> Column:
+        return F.struct(F.lit(column).alias("column"), key.cast("string").alias("key"))
+
+    entries = []
+    for c in DRIFT_NUMERIC:
+        x = F.col(c).cast("double")
+        entries.append(entry(c, F.when(x.isNotNull(), _bin_index(x, F.col(f"_b.{c}.min"), F.col(f"_b.{c}.max")))))
+    entries += [entry(c, F.col(c)) for c in DRIFT_CATEGORICAL] + [entry(c, F.col(c).cast("double")) for c in labels]
+    long = ranged.select(F.inline(F.array(*entries))).where("key is not null")
+    return long.groupBy("column", "key").agg(F.count("*").alias("n"))
 
 
 def psi_numeric(df: DataFrame, baseline: DataFrame, columns: list[str] = DRIFT_NUMERIC) -> DataFrame:
@@ -192,8 +239,13 @@ def psi_categorical(df: DataFrame, baseline: DataFrame, columns: list[str] = DRI
 
 def label_shift(df: DataFrame, baseline: DataFrame, threshold: float = RATE_SHIFT_THRESHOLD) -> DataFrame:
     """Absolute difference of the label rate; flagged strictly above the threshold."""
+    return _shift(df.agg(F.avg(DRIFT_LABEL).alias("cur")), baseline, threshold)
+
+
+def _shift(rate: DataFrame, baseline: DataFrame, threshold: float) -> DataFrame:
+    """The label shift of a one-row table with the current rate ``cur``."""
     stored = baseline.where("kind = 'rate'").agg(F.max("value")).scalar()
-    current = df.agg(F.avg(DRIFT_LABEL).alias("cur")).withColumn("ref", stored)
+    current = rate.withColumn("ref", stored)
     shift = F.abs(F.col("cur") - F.col("ref"))
     return current.select(
         F.lit(DRIFT_LABEL).alias("column"),
@@ -230,18 +282,22 @@ def check_drift(
         return df.sparkSession.createDataFrame(
             [("*", "status", None, False, "no reference statistics: drift not checked")], REPORT_SCHEMA
         )
-    sides = _numeric_sides(df, baseline, DRIFT_NUMERIC).unionByName(
-        _categorical_sides(df, baseline, DRIFT_CATEGORICAL)
-    )
-    scores = _psi(sides).select(
+    labels = [DRIFT_LABEL] if DRIFT_LABEL in df.columns else []
+    # Counts of bins, categories and label values: a small table that both measures read.
+    current = settled(_current_counts(df, baseline, labels))
+    compared = _side(current.where(F.col("column") != DRIFT_LABEL), "cur")
+    held = _held_bins(baseline, DRIFT_NUMERIC).unionByName(_held_categories(baseline, DRIFT_CATEGORICAL))
+    scores = _psi(held.unionByName(compared)).select(
         "column",
         F.lit("psi").alias("measure"),
         F.col("psi").alias("value"),
         (F.col("psi") >= psi_threshold).alias("flagged"),
     )
-    if DRIFT_LABEL in df.columns:
+    if labels:
+        values = current.where(F.col("column") == DRIFT_LABEL).select(F.col("key").cast("double").alias("x"), "n")
+        rate = values.agg(F.try_divide(F.sum(F.col("x") * F.col("n")), F.sum("n")).alias("cur"))
         scores = scores.unionByName(
-            label_shift(df, baseline, shift_threshold).select(
+            _shift(rate, baseline, shift_threshold).select(
                 "column", F.lit("rate_shift").alias("measure"), F.col("shift").alias("value"), "flagged"
             )
         )

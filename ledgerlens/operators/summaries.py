@@ -19,35 +19,45 @@ from ledgerlens.operators.small import bounded, settled
 def dataset_overview(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, time range and distinct entities, as ``(item, value)``.
 
-    Exact distinct counts group each entity column on its own, so map-side combining removes repeats before the
-    shuffle; one aggregate with several distinct counts would multiply the rows instead.
+    All come from one scan: each row gives one (kind, id) for every entity column, and rows, times and frauds are
+    combined by those in the map tasks, so the shuffle holds each different id once a task.
     """
     when = event_time(F.col("timestamp"))
-    base = df.agg(
-        F.count("*").cast("string").alias("rows"),
-        F.date_format(F.min(when), "yyyy-MM-dd HH:mm:ss").alias("first_time"),
-        F.date_format(F.max(when), "yyyy-MM-dd HH:mm:ss").alias("last_time"),
-        F.sum(LABEL).cast("string").alias("fraud"),
-    )
-    names = ["rows", "first_time", "last_time", "fraud"]
-    entries = [F.struct(F.lit(n).alias("item"), F.col(n).alias("value")) for n in names]
-    out = base.select(F.inline(F.array(*entries)))
+    measures = {
+        "rows": F.count("*"),
+        "first_time": F.date_format(F.min("when"), "yyyy-MM-dd HH:mm:ss"),
+        "last_time": F.date_format(F.max("when"), "yyyy-MM-dd HH:mm:ss"),
+        "fraud": F.sum("label"),
+    }
     entities = {
         "senders": "sender_id",
         "receivers": "receiver_id",
         "devices": "device_id",
         "transaction_types": "transaction_type",
     }
+    slim = df.select(when.alias("when"), F.col(LABEL).alias("label"), *entities.values())
     if approximate:
-        sketches = df.agg(
-            *[F.approx_count_distinct(c).cast("string").alias(n) for n, c in entities.items()]
+        distinct = {n: F.approx_count_distinct(c) for n, c in entities.items()}
+        found = slim.agg(*[m.cast("string").alias(n) for n, m in {**measures, **distinct}.items()])
+    else:
+        pairs = [F.struct(F.lit(n).alias("kind"), F.col(c).cast("string").alias("id")) for n, c in entities.items()]
+        by_id = (
+            slim.select("when", "label", F.inline(F.array(*pairs)))
+            .groupBy("kind", "id")
+            .agg(F.count("*").alias("n"), F.min("when").alias("first"), F.max("when").alias("last"), F.sum("label").alias("fraud"))
         )
-        entries = [F.struct(F.lit(n).alias("item"), F.col(n).alias("value")) for n in entities]
-        return out.union(sketches.select(F.inline(F.array(*entries))))
-    for name, column in entities.items():
-        count = df.select(column).distinct().agg(F.count(column).cast("string").alias("value"))
-        out = out.union(count.select(F.lit(name).alias("item"), "value"))
-    return out
+        # Every row is in every kind, so one of them gives the totals.
+        one = F.col("kind") == next(iter(entities))
+        totals = {
+            "rows": F.coalesce(F.sum(F.when(one, F.col("n"))), F.lit(0)),
+            "first_time": F.date_format(F.min("first"), "yyyy-MM-dd HH:mm:ss"),
+            "last_time": F.date_format(F.max("last"), "yyyy-MM-dd HH:mm:ss"),
+            "fraud": F.sum(F.when(one, F.col("fraud"))),
+        }
+        distinct = {n: F.count(F.when(F.col("kind") == n, F.col("id"))) for n in entities}
+        found = by_id.agg(*[m.cast("string").alias(n) for n, m in {**totals, **distinct}.items()])
+    entries = [F.struct(F.lit(n).alias("item"), F.col(n).alias("value")) for n in [*measures, *entities]]
+    return found.select(F.inline(F.array(*entries)))
 
 
 def date_span(df: DataFrame) -> DataFrame:

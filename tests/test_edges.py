@@ -246,6 +246,27 @@ def test_same_data_does_not_drift(spark, tx):
     assert report[("amount", "psi")]["value"] == 0.0 and report[("*", "status")]["note"] == "STABLE"
 
 
+def test_drift_with_nulls_and_of_empty_tables(spark, tx):
+    columns = ["amount", "sender_balance_before", "receiver_balance_before", "transaction_type", "is_fraud"]
+    schema = "amount double, sender_balance_before double, receiver_balance_before double, transaction_type string, is_fraud int"
+    rows = [(float(i), None, 5.0, None if i % 4 == 0 else "ab"[i % 2], None if i == 3 else i % 2) for i in range(12)]
+    mixed = spark.createDataFrame(rows, schema)
+    held = {(r["column"], r["kind"], r["key"]): r["value"] for r in drift.build_baseline(mixed).collect()}
+    assert held[("is_fraud", "rate", "mean")] == 5 / 11
+    assert held[("transaction_type", "category", "a")] == 3 / 9 and held[("transaction_type", "category", "b")] == 6 / 9
+    assert held[("sender_balance_before", "numeric", "mean")] is None
+    assert sum(v for (c, k, _), v in held.items() if c == "amount" and k == "bin") == 12
+    baseline = drift.build_baseline(mixed)
+    report = {(r["column"], r["measure"]): r["value"] for r in drift.check_drift(mixed, baseline).collect()}
+    assert report[("amount", "psi")] == 0.0 and report[("is_fraud", "rate_shift")] == 0.0
+    singly = {r["column"]: r["psi"] for r in drift.psi_numeric(mixed, baseline).collect()}
+    assert all(report[(c, "psi")] == v for c, v in singly.items())
+    none = tx.select(*columns).limit(0)
+    assert {r["column"] for r in drift.build_baseline(none).collect()} >= {*columns[:3], "is_fraud"}
+    report = {(r["column"], r["measure"]): r["value"] for r in drift.check_drift(none, baseline).collect()}
+    assert report[("is_fraud", "rate_shift")] is None
+
+
 @pytest.fixture(scope="module")
 def seven(spark):
     pairs = zip([0.1, 0.4, 0.35, 0.8, 0.8, 0.2, 0.6], [0, 0, 1, 1, 0, 0, 1])

@@ -116,3 +116,17 @@ def test_library_text_is_clean():
                 text = open(os.path.join(folder, name)).read()
                 for unwanted in ("localCheckpoint", "crossJoin", ".rdd", "coalesce(1)"):
                     assert unwanted not in text, (name, unwanted)
+
+
+def test_overview_reads_its_table_once(spark, data, tmp_path):
+    transactions(spark, data).write.parquet(str(tmp_path / "tx"))
+    plan = plan_of(summaries.dataset_overview(spark.read.parquet(str(tmp_path / "tx"))))
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_overview_of_an_empty_table_and_sketched_counts(spark, data):
+    tx = transactions(spark, data)
+    empty = {r["item"]: r["value"] for r in summaries.dataset_overview(tx.limit(0)).collect()}
+    assert empty["rows"] == "0" and empty["senders"] == "0" and empty["first_time"] is None and empty["fraud"] is None
+    exact, sketched = ([tuple(r)[0] for r in summaries.dataset_overview(tx, flag).collect()] for flag in (False, True))
+    assert exact == sketched
