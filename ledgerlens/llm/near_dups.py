@@ -15,8 +15,9 @@ Links are confirmed on the full sets, in two waves that never list all pairs of
    the tasks. What passes the size bound and a longer signature (640 symbols of 8 bits) is confirmed as well, once for
    the first key that a pair shares.
 
-A pair is confirmed in three steps, each for what the one before leaves: the longer signature, the leading bytes of the
-sets, the full sets. Those are made once, and only for classes that share a key with another.
+In both waves the longer signature tells how near two classes are. Pairs within the limit are confirmed by the leading
+bytes of their sets, and what those leave by the full sets. All three are made once, and only for classes that share a
+key with another; keys travel with nothing but the class.
 
 So a group of copies is linked through its centres, and no link between different components is lost.
 
@@ -45,9 +46,8 @@ SHINGLE_WORDS = 5
 SIMILARITY = 75  # in hundredths
 SYMBOLS, CHUNKS, SYMBOL_BITS = 80, 16, 14
 CHUNK_SYMBOLS = SYMBOLS // CHUNKS
-# A pair at the similarity limit is farther apart with a probability below 4e-8 (signature) and 1e-6 (longer signature).
-MAX_DISTANCE = 42
-LONG_SYMBOLS, MAX_LONG_DISTANCE = 640, 216
+# Of the longer signature. A pair at the similarity limit is farther apart with a probability below 1e-6.
+LONG_SYMBOLS, MAX_DISTANCE = 640, 216
 BLOCK_ROWS = 2048
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 2**63, LONG_SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,6 +83,11 @@ def signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, SYMBOLS)
 
 
+def long_signatures(column: pa.Array) -> np.ndarray:
+    """A column of longer signatures as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, LONG_SYMBOLS)
+
+
 def index_keys(symbols: np.ndarray) -> np.ndarray:
     """Keys of signatures (a row each): every chunk with each of its symbols left out."""
     out = []
@@ -141,17 +146,17 @@ def _key_rows(classes: DataFrame) -> DataFrame:
     return classes.select("c", "sig").mapInArrow(keyed, schema)
 
 
-def _with_distance(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity, with their signature distance, up to MAX_DISTANCE."""
-    one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    two = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+def _with_distance(pairs: DataFrame, shapes: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) whose sizes allow the similarity, with the distance of their longer signatures, up to MAX_DISTANCE."""
+    one = shapes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("long").alias("sa"))
+    two = shapes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("long").alias("sb"))
     both = pairs.join(one, "a").join(two, "b")
     both = both.where(100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb"))
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b", "distance")])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = (signatures(batch.column(2)) != signatures(batch.column(3))).sum(axis=1)
+            far = (long_signatures(batch.column(2)) != long_signatures(batch.column(3))).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.int64())], schema.names)
 
     return both.select("a", "b", "sa", "sb").mapInArrow(measured, schema).where(F.col("distance") <= MAX_DISTANCE)
@@ -179,7 +184,7 @@ def _full_sets(names: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     Written, and read by both waves of links. Texts of other classes are not looked at again. Rows of ``docs`` that
     repeat an id and a text give a class several rows here; the one with the least number counts.
     """
-    texts = settled(classes.join(names, "c").select("c", F.col("t1").alias("c1"), F.col("t2").alias("c2"), "first_text_id"))
+    texts = bounded(classes.join(names, "c").select("c", F.col("t1").alias("c1"), F.col("t2").alias("c2"), "first_text_id"))
     own = docs.select("doc_id", *text_key(), whole_text().alias("text"))
     same = (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_text_id"))
     held = own.join(texts, same).select("c", "text")
@@ -203,19 +208,13 @@ def _numbered(pairs: DataFrame, numbers: DataFrame) -> DataFrame:
     return settled(pairs.join(one, "a").join(two, "b").select("a", "b", "ua", "ub"))
 
 
-def may_be_close(one: np.ndarray, two: np.ndarray) -> bool:
-    """Whether two longer signatures are near enough for a link."""
-    return int((one != two).sum()) <= MAX_LONG_DISTANCE
-
-
 def _confirmed(pairs: DataFrame, numbers: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs that reach the similarity on their full sets, written.
 
-    The leading bytes bound what two sets can share, so pairs meet with the longer signature first, with those bytes
-    next, and with their full sets only where both leave them.
+    The leading bytes bound what two sets can share, so pairs meet with those first, and with their full sets only where
+    the bound leaves them.
     """
-    possible = _compared(_numbered(pairs, numbers), sets.select("u", "long"), np.uint8, may_be_close)
-    possible = _compared(possible, sets.select("u", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
+    possible = _compared(_numbered(pairs, numbers), sets.select("u", "ends"), np.uint16, lambda x, y: may_share(x, y, similarity))
     linked = _compared(possible, sets.select("u", "members"), np.uint64, lambda x, y: reach(x, y, similarity))
     return linked.select("a", "b")
 
@@ -262,13 +261,13 @@ def _cross_pairs(rows: DataFrame, similarity: int) -> DataFrame:
         slot = unit.column("key")[0].as_py() >> (SYMBOL_BITS * (CHUNK_SYMBOLS - 1))
         within = unit.column("one")[0].as_py() == unit.column("two")[0].as_py()
         sig = signatures(unit.column("sig"))
-        longs = np.frombuffer(b"".join(unit.column("long").to_pylist()), np.uint8).reshape(-1, LONG_SYMBOLS)
+        longs = long_signatures(unit.column("long"))
         left, right = [], []
         for i in range(len(c)):
             fits = (label != label[i]) & (100 * np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
             other = np.flatnonzero(fits & (c > c[i]) & ((block == block[i]) if within else (block != block[i])))
             if len(other):
-                other = other[(longs[other] != longs[i]).sum(axis=1) <= MAX_LONG_DISTANCE]
+                other = other[(longs[other] != longs[i]).sum(axis=1) <= MAX_DISTANCE]
             if len(other):
                 other = other[first_shared(sig[i], sig[other]) == slot]
             left.append(np.full(len(other), c[i]))
@@ -324,9 +323,10 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     centres = settled(shared.join(met, "c").groupBy("key").agg(F.max(F.struct("met", "c")).alias("centre")))
     stars = shared.join(centres, "key").select(F.col("c").alias("a"), F.col("centre.c").alias("b"))
     stars = stars.where("a <> b").distinct()
-    near = _with_distance(stars, classes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     sets = _full_sets(met.select("c"), docs, classes, width)
     numbers = settled(sets.groupBy("c").agg(F.min("u").alias("u")))
+    shapes = settled(classes.select("c", "n", "sig").join(numbers, "c").join(sets.select("u", "long"), "u").drop("u"))
+    near = _with_distance(stars, shapes, similarity).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     links = _confirmed(near.select("a", "best.b"), numbers, sets, similarity)
     labels = component_labels(links)
 
@@ -336,9 +336,7 @@ def near_components(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     )
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     mixed = settled(mixed.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")))
-    longs = numbers.join(sets.select("u", "long"), "u")
-    rows = placed.select("key", "c", "label").join(mixed, "key")
-    rows = rows.join(classes.select("c", "n", "sig"), "c").join(longs, "c")
+    rows = placed.select("key", "c", "label").join(mixed, "key").join(shapes, "c")
     block = F.pmod(F.xxhash64("c"), F.col("blocks"))
     pairs_of_blocks = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
