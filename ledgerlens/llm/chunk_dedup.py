@@ -4,13 +4,16 @@ A gear hash rolls over the bytes of a text (each byte shifts the hash and adds a
 bytes decide here), and a chunk ends where the hash falls below a limit, on average every 16 bytes and never inside a
 character. Where no end comes within 64 bytes, the chunk ends at the smallest hash of those (the last of equal ones), so
 texts that repeat a short pattern are cut at the same place of the pattern everywhere. An insertion moves only the chunk
-ends near it. Chunks are told apart by two 64-bit digests. A run of consecutive repeated chunks of 96 bytes or more
-counts as repeated text; of every chunk in such a run the first occurrence (smallest doc_id, then place) stays and the
-others are taken out.
+ends near it.
 
-Chunks are counted by digest with sums made in the map tasks, and only rows of repeated chunks are shuffled with their
-places, so a chunk that a third of all texts share is one row for each task in the count, and a skewed key that the
-join splits afterwards. The list of spans of one document is bounded by its own length.
+What is looked up is a window: a chunk and as many after it as reach 96 bytes together. Single chunks of 16 bytes repeat
+by accident, windows hardly ever. A window is told apart by 96 bits of digest. Of equal windows the first (smallest
+doc_id, then place) stays, and the bytes of all others are taken out; every chunk that goes is left at an earlier place.
+
+Texts are read once. A batch of texts settles its own copies: it sends one row for each different window, and only the
+places of further copies. Rows meet by digest, sorted, and a pass over the sorted rows lets repeated ones out. So a
+window that a third of all texts share is one row for each batch, no group is held, and rows that nothing repeats are
+shuffled once and written nowhere. The list of spans of one document is bounded by its own length.
 
 Defined results: a null text is the empty text; a null doc_id comes after all others; rows that repeat one doc_id and
 one text are one document and get the same result; an empty table gives an empty table; other columns are not read.
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +43,8 @@ _rng = np.random.default_rng(987654321)
 _GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _BYTES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+WINDOWS_HELD = 500_000
+_SIZE_BITS = 31
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -73,16 +79,18 @@ def chunk_ends(data: np.ndarray, mean_chunk: int = MEAN_CHUNK, max_chunk: int =
     return np.sort(np.concatenate([ends, more]))
 
 
-def chunk_digests(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of each chunk."""
-    starts = np.concatenate([[0], ends[:-1]])
+def windows(data: np.ndarray, ends: np.ndarray, min_run: int = MIN_RUN) -> tuple[np.ndarray, ...]:
+    """Begin, end and two digests (64 and 32 bits) of every window of consecutive chunks."""
+    begins = np.concatenate([[0], ends[:-1]])
+    last = np.searchsorted(ends, begins + min_run)
+    begins, ends = begins[last < len(ends)], ends[last[last < len(ends)]]
     out = []
     for table, factor in zip(_BYTES, _FACTORS, strict=True):
         up, down = (_powers(factor, len(data) + 1), _powers(pow(factor, -1, 1 << 64), len(data) + 1))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[: len(data)], out=sums[1:])
-        out.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-    return out[0], out[1]
+        out.append(mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64)))
+    return begins, ends, out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 _held: dict[int, np.ndarray] = {}
@@ -96,99 +104,127 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _held[base]
 
 
-def _chunk_rows(docs: DataFrame, mean_chunk: int, count_only: bool) -> DataFrame:
-    """Chunks of all texts: (d1, n) summed in each batch, or (d1, d2, doc_id, t1, begin, end)."""
-    if count_only:
-        schema = T.StructType([T.StructField("d1", T.LongType()), T.StructField("n", T.LongType())])
-    else:
-        fields = [T.StructField(n, T.LongType()) for n in ("d1", "d2", "begin", "end", "t1")]
-        schema = T.StructType([*fields, docs.schema["doc_id"]])
+# Kinds of rows: a window its batch holds once, one its batch holds at several places, and one of those other places.
+ALONE, COPIED, COPY = 0, 1, 2
+
+
+def _ranks(ids: pa.Array, t1: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the documents of a batch (null ids last), and the rank of each, the same for equal ones."""
+    rows = pa.table({"id": ids, "t1": t1})
+    order = pc.sort_indices(rows, [("id", "ascending"), ("t1", "ascending")], null_placement="at_end").to_numpy()
+    codes = pc.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()[order]
+    keys = t1.to_numpy(zero_copy_only=False)[order]
+    new = np.append(False, (codes[1:] != codes[:-1]) | (keys[1:] != keys[:-1])) if len(order) else np.zeros(0, bool)
+    ranks = np.empty(len(order), np.int64)
+    ranks[order] = np.cumsum(new)
+    return order, ranks
+
+
+def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
+    """w, c, t1, place, kind, doc_id: each different window of a batch, and the places of its copies there."""
+    fields = [("w", T.LongType()), ("c", T.IntegerType()), ("t1", T.LongType()), ("place", T.LongType()), ("kind", T.ByteType())]
+    schema = T.StructType([*[T.StructField(n, t) for n, t in fields], docs.schema["doc_id"]])
 
-    def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            firsts, seconds, begins, ends_, owners, held = [], [], [], [], [], 0
-
-            def rows() -> pa.RecordBatch:
-                d1 = np.concatenate(firsts).view(np.int64)
-                if count_only:
-                    digest, n = np.unique(d1, return_counts=True)
-                    return pa.RecordBatch.from_arrays([pa.array(digest), pa.array(n)], schema.names)
-                own = pa.array(np.concatenate(owners))
-                columns = [pa.array(d1), pa.array(np.concatenate(seconds).view(np.int64))]
-                columns += [pa.array(np.concatenate(x)) for x in (begins, ends_)]
-                columns += [batch.column(1).take(own), batch.column(2).take(own)]
-                return pa.RecordBatch.from_arrays(columns, schema.names)
-
-            for row, text in enumerate(batch.column(0)):
-                data = np.frombuffer(text.as_py().encode("utf-8"), dtype=np.uint8)
-                ends = chunk_ends(data, mean_chunk)
-                if not len(ends):
-                    continue
-                one, two = chunk_digests(data, ends)
-                firsts.append(one)
-                seconds.append(two)
-                begins.append(np.concatenate([[0], ends[:-1]]))
-                ends_.append(ends)
-                owners.append(np.full(len(ends), row))
-                held += len(ends)
-                if held >= 100_000:
-                    yield rows()
-                    firsts, seconds, begins, ends_, owners, held = [], [], [], [], [], 0
-            if firsts:
-                yield rows()
-
-    text = whole_text().alias("text")
-    slim = docs.select(text) if count_only else docs.select(text, text_key()[0], "doc_id")
-    return slim.mapInArrow(chunked, schema)
-
-
-def spans_of(chunks: list[tuple[int, int, bool]], min_run: int) -> tuple[int, list[tuple[int, int]]]:
-    """Bytes in runs of touching chunks that are long enough, and the spans of those chunks that are not the first."""
-    repeated, cut, run = 0, [], []
-    for chunk in [*sorted(chunks), (-1, -1, True)]:
-        if run and chunk[0] != run[-1][1]:
-            length = run[-1][1] - run[0][0]
-            if length >= min_run:
-                repeated += length
-                cut.extend((b, e) for b, e, is_first in run if not is_first)
-            run = []
-        run.append(chunk)
-    return repeated, cut
+            order, ranks = _ranks(batch.column(2), batch.column(1))
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
+
+            def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+                owner, w, c, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+                by = np.lexsort((c, w))  # stable: equal windows stay in the order of documents and places
+                owner, w, c, place, rank = owner[by], w[by], c[by], place[by], ranks[owner[by]]
+                starts = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
+                sizes = np.diff(np.append(starts, len(w)))
+                other = (rank != np.repeat(rank[starts], sizes)) | (place != np.repeat(place[starts], sizes))
+                kind = np.where(other, COPY, ALONE).astype(np.int8)
+                kind[starts] = np.where(np.logical_or.reduceat(other, starts), COPIED, ALONE)
+                kept = other.copy()
+                kept[starts] = True
+                owner, w, c, place, kind = (x[kept] for x in (owner, w, c, place, kind))
+                w = np.where(kind == COPY, keys[owner], w)  # copies meet nobody: they are dealt by document
+                columns = [pa.array(w), pa.array(c), pa.array(keys[owner]), pa.array(place), pa.array(kind)]
+                return pa.RecordBatch.from_arrays([*columns, batch.column(2).take(pa.array(owner))], schema.names)
+
+            parts, held, before = [], 0, -1
+            for row in order.tolist():
+                if ranks[row] == before:
+                    continue  # the same document again
+                before = ranks[row]
+                data = np.frombuffer(batch.column(0)[row].as_py().encode("utf-8"), dtype=np.uint8)
+                begins, ends, w, c = windows(data, chunk_ends(data, mean_chunk), min_run)
+                if len(w):
+                    parts.append((np.full(len(w), row), w, c, begins << _SIZE_BITS | (ends - begins)))
+                    held += len(w)
+                if held >= WINDOWS_HELD:
+                    yield rows(parts)
+                    parts, held = [], 0
+            if parts:
+                yield rows(parts)
+
+    return docs.select(whole_text().alias("text"), text_key()[0], "doc_id").mapInArrow(windowed, schema)
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of windows that have several places, and whether a row is the first, from rows sorted by window and place.
+
+    Between batches only the first row of the last window is held, and whether it has been let out.
+    """
+    first, is_out = None, False
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if first is not None:
+            rows = pa.concat_tables([first, rows])
+        w, c, t1, place, kind = (rows.column(n).to_numpy() for n in ("w", "c", "t1", "place", "kind"))
+        ids = pc.dictionary_encode(rows.column("doc_id").combine_chunks(), null_encoding="encode").indices.to_numpy()
+        copy = kind == COPY
+        new = np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | copy[1:] | copy[:-1])
+        starts = np.flatnonzero(new)
+        at = np.repeat(starts, np.diff(np.append(starts, len(w))))
+        other = (ids != ids[at]) | (t1 != t1[at]) | (place != place[at])
+        out = other.copy()
+        out[starts] = np.logical_or.reduceat(other | (kind != ALONE), starts)
+        begin = starts[-1]
+        later_out = bool(out[begin]) or (is_out and begin == 0 and first is not None)
+        if first is not None and is_out:
+            out[0] = False
+        taken = rows.filter(pa.array(out))
+        flags = pa.array(~(other | copy)[out])
+        first, is_out = rows.slice(begin, 1), later_out
+        columns = [taken.column(n) for n in ("doc_id", "t1", "place")]
+        yield from pa.table([*columns, flags], ["doc_id", "t1", "place", "is_first"]).to_batches()
+
+
+def spans_of(spans: list[tuple[int, int, bool]]) -> tuple[int, list[tuple[int, int]]]:
+    """Bytes in repeated windows, given as (begin, end, is_first), and what is taken out: those that are not the first."""
+    covered = merged([(b, e) for b, e, _ in spans])
+    return sum(e - b for b, e in covered), merged([(b, e) for b, e, is_first in spans if not is_first])
 
 
 def repeated_spans(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, t1, n_repeated (bytes in repeated runs) and ``cut`` (spans to take out) of documents with repeated runs."""
-    counts = _chunk_rows(docs, mean_chunk, True).groupBy("d1").agg(F.sum("n").alias("n")).where("n > 1").select("d1")
-    repeated = settled(counts)
-    rows = settled(_chunk_rows(docs, mean_chunk, False).join(repeated, "d1", "left_semi"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "begin")
-    # Written, so that the join below has two plain sides and a hot chunk can be split.
-    firsts = settled(rows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"))
-    flagged = rows.join(firsts, ["d1", "d2"]).select(
-        "doc_id", "t1", "begin", "end", place.eqNullSafe(F.col("first")).alias("is_first")
-    )
-    lists = flagged.groupBy("doc_id", "t1").agg(F.collect_set(F.struct("begin", "end", "is_first")).alias("chunks"))
-    schema = T.StructType(
-        [
-            docs.schema["doc_id"],
-            T.StructField("t1", T.LongType()),
-            T.StructField("n_repeated", T.LongType()),
-            T.StructField("cut", SPANS),
-        ]
-    )
+    """doc_id, t1, n_repeated (bytes in repeated windows) and ``cut`` (spans to take out) of documents with such windows."""
+    doc_id = docs.schema["doc_id"]
+    key = T.StructField("t1", T.LongType())
+    places = T.StructType([doc_id, key, T.StructField("place", T.LongType()), T.StructField("is_first", T.BooleanType())])
+    dealt = _window_rows(docs, mean_chunk, min_run).repartition("w")
+    order = ["w", "c", F.col("kind") == COPY, F.col("doc_id").asc_nulls_last(), "t1", "place"]
+    flagged = dealt.sortWithinPartitions(*order).mapInArrow(_repeated, places)
+    lists = flagged.groupBy("doc_id", "t1").agg(F.collect_set(F.struct("place", "is_first")).alias("spans"))
+    schema = T.StructType([doc_id, key, T.StructField("n_repeated", T.LongType()), T.StructField("cut", SPANS)])
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, cuts = [], []
-            for chunks in batch.column(2).to_pylist():
-                repeated, cut = spans_of([(c["begin"], c["end"], c["is_first"]) for c in chunks], min_run)
+            for spans in batch.column(2).to_pylist():
+                begins = [(s["place"] >> _SIZE_BITS, s["place"] & (1 << _SIZE_BITS) - 1, s["is_first"]) for s in spans]
+                repeated, cut = spans_of([(b, b + size, is_first) for b, size, is_first in begins])
                 sizes.append(repeated)
-                cuts.append([{"begin": b, "end": e} for b, e in merged(cut)])
+                cuts.append([{"begin": b, "end": e} for b, e in cut])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(cuts, ARROW_SPANS)], schema.names
             )
 
-    return lists.mapInArrow(folded, schema).where("n_repeated > 0")
+    return lists.mapInArrow(folded, schema)
 
 
 def dedup_chunks(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int = MIN_RUN, with_text: bool = False) -> DataFrame:

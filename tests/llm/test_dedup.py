@@ -226,27 +226,47 @@ def test_suffix_array_and_common_prefixes():
             assert prefixes[k] == min(50, same)
 
 
+def _plain_ends(raw):
+    """Chunk ends byte by byte."""
+    def hash_after(i):
+        return sum(int(chunk_dedup._GEAR[raw[i - k]]) << (k + 20) for k in range(min(12, i + 1))) & 0xFFFFFFFF
+
+    inside = [i + 1 < len(raw) and raw[i + 1] & 0xC0 == 0x80 for i in range(len(raw))]
+    hashes = [hash_after(i) for i in range(len(raw))]
+    ends, begin = [], 0
+    while begin < len(raw):
+        cut = next((i for i in range(begin, len(raw)) if i + 1 == len(raw) or hashes[i] < 2**28 and not inside[i]))
+        while cut + 1 - begin > 64:
+            least = min((2**32 - 1 if inside[i] else hashes[i], -i) for i in range(begin, begin + 64))
+            begin = 1 - least[1]
+            ends.append(begin)
+        ends.append(cut + 1)
+        begin = cut + 1
+    return ends
+
+
 def _brute_chunks(rows):
-    places, chunks = defaultdict(set), []
+    """Windows told apart by their bytes, all places of each in one set."""
+    places, owns = defaultdict(set), []
     for i, t in rows:
         raw = (t or "").encode()
-        ends = chunk_dedup.chunk_ends(np.frombuffer(raw, dtype=np.uint8)).tolist()
-        own = list(zip([0, *ends], ends, strict=False))
-        chunks.append(own)
-        for b, e in own:
-            places[raw[b:e]].add((i is None, i or 0, raw if i is None else b"", b))
-    counts = Counter(((t or "").encode())[b:e] for (_, t), own in zip(rows, chunks, strict=True) for b, e in own)
+        ends = _plain_ends(raw)
+        own = [(b, next((e for e in ends if e - b >= 96), None)) for b in [0, *ends[:-1]]]
+        owns.append([(b, e, (i is None, i or 0, raw, b)) for b, e in own if e])
+        for b, e, place in owns[-1]:
+            places[raw[b:e]].add(place)
     out = []
-    for (i, t), own in zip(rows, chunks, strict=True):
+    for (i, t), own in zip(rows, owns, strict=True):
         raw = (t or "").encode()
-        held = []
-        for b, e in own:
-            if counts[raw[b:e]] > 1:
-                held.append((b, e, (i is None, i or 0, raw if i is None else b"", b) == min(places[raw[b:e]])))
-        repeated, cut = chunk_dedup.spans_of(held, chunk_dedup.MIN_RUN)
-        spans = merged(cut)
-        left = remaining(raw, spans)
-        out.append((i, len(raw), len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest(), repeated))
+        repeated, gone = set(), set()
+        for b, e, place in own:
+            if len(places[raw[b:e]]) > 1:
+                repeated |= set(range(b, e))
+                if place != min(places[raw[b:e]]):
+                    gone |= set(range(b, e))
+        left = bytes(x for at, x in enumerate(raw) if at not in gone)
+        runs = sum(at - 1 not in gone for at in gone)
+        out.append((i, len(raw), len(gone), runs, hashlib.sha256(left).hexdigest(), len(repeated)))
     return out
 
 
@@ -261,6 +281,21 @@ def test_chunks(spark):
     assert all(removed[100 + i] > 300 for i in range(1, 12))
 
 
+@pytest.mark.parametrize("held", [1, 500_000])
+def test_chunks_of_copies_in_one_batch_and_in_many(spark, monkeypatch, held):
+    common, other = sentence(60, 8), "漢字 " * 80
+    rows = [(i, f"{sentence(12, i)} {common if i % 3 else other} {sentence(9, 99 + i)}") for i in range(40)]
+    rows += [(i, common) for i in range(200, 230)] + [(300, common)] * 20 + [(None, other), (None, other), (400, "ab" * 400)]
+    monkeypatch.setattr(chunk_dedup, "WINDOWS_HELD", held)
+    frame = documents(spark, rows).repartition(6)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # windows cross batches of the sorted pass
+    try:
+        assert same_rows(chunk_dedup.dedup_chunks(frame).collect(), _brute_chunks(rows))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_gear_hash_remembers_32_bytes_and_chunks_resist_shifts():
     data = np.frombuffer(("héllo " + sentence(400, 9)).encode(), dtype=np.uint8)
     rolled, hashes = 0, chunk_dedup.gear_hashes(data)
