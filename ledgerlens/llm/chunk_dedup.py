@@ -7,13 +7,14 @@ texts that repeat a short pattern are cut at the same place of the pattern every
 ends near it.
 
 What is looked up is a window: a chunk and as many after it as reach 96 bytes together. Single chunks of 16 bytes repeat
-by accident, windows hardly ever. A window is told apart by 96 bits of digest. Of equal windows the first (smallest
+by accident, windows hardly ever. A window is told apart by 95 bits of digest. Of equal windows the first (smallest
 doc_id, then place) stays, and the bytes of all others are taken out; every chunk that goes is left at an earlier place.
 
 Texts are read once. A batch of texts settles its own copies: it sends one row for each different window, and only the
 places of further copies. Rows meet by digest, sorted, and a pass over the sorted rows lets repeated ones out. So a
 window that a third of all texts share is one row for each batch, no group is held, and rows that nothing repeats are
-shuffled once and written nowhere. The list of spans of one document is bounded by its own length.
+shuffled once and written nowhere. The list of spans of one document is bounded by its own length. Lists go to the
+texts by broadcast where they were counted to be few (``BROADCAST_SPANS``); beyond that the texts are shuffled once.
 
 Defined results: a null text is the empty text; a null doc_id comes after all others; rows that repeat one doc_id and
 one text are one document and get the same result; an empty table gives an empty table; other columns are not read.
@@ -44,7 +45,7 @@ _GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _BYTES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 WINDOWS_HELD = 500_000
-_SIZE_BITS = 31
+BROADCAST_SPANS = 1_000_000  # 16 bytes each
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -80,7 +81,7 @@ def chunk_ends(data: np.ndarray, mean_chunk: int = MEAN_CHUNK, max_chunk: int =
 
 
 def windows(data: np.ndarray, ends: np.ndarray, min_run: int = MIN_RUN) -> tuple[np.ndarray, ...]:
-    """Begin, end and two digests (64 and 32 bits) of every window of consecutive chunks."""
+    """Begin, end and two digests (64 and 31 bits) of every window of consecutive chunks."""
     begins = np.concatenate([[0], ends[:-1]])
     last = np.searchsorted(ends, begins + min_run)
     begins, ends = begins[last < len(ends)], ends[last[last < len(ends)]]
@@ -90,7 +91,7 @@ def windows(data: np.ndarray, ends: np.ndarray, min_run: int = MIN_RUN) -> tuple
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[: len(data)], out=sums[1:])
         out.append(mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64)))
-    return begins, ends, out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return begins, ends, out[0].view(np.int64), (out[1] >> np.uint64(33)).astype(np.int64)
 
 
 _held: dict[int, np.ndarray] = {}
@@ -104,10 +105,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _held[base]
 
 
-# Kinds of rows: a window its batch holds once, one its batch holds at several places, and one of those other places.
-ALONE, COPIED, COPY = 0, 1, 2
-
-
 def _ranks(ids: pa.Array, t1: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Order of the documents of a batch (null ids last), and the rank of each, the same for equal ones."""
     rows = pa.table({"id": ids, "t1": t1})
@@ -121,9 +118,14 @@ def _ranks(ids: pa.Array, t1: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
-    """w, c, t1, place, kind, doc_id: each different window of a batch, and the places of its copies there."""
-    fields = [("w", T.LongType()), ("c", T.IntegerType()), ("t1", T.LongType()), ("place", T.LongType()), ("kind", T.ByteType())]
-    schema = T.StructType([*[T.StructField(n, t) for n, t in fields], docs.schema["doc_id"]])
+    """w, place, size, t1, doc_id: each different window of a batch, and the places of its copies there.
+
+    ``place`` is the second digest and the begin, ``size`` the length, with 1 in its last bit if the batch holds copies.
+    Copies meet nobody: ``place`` is negative, and ``w`` deals them by document. Fields that change from row to row
+    stand together, since rows of one document are written one after the other and compress well then.
+    """
+    fields = [T.StructField("w", T.LongType()), T.StructField("place", T.LongType()), T.StructField("size", T.IntegerType())]
+    schema = T.StructType([*fields, T.StructField("t1", T.LongType()), docs.schema["doc_id"]])
 
     def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,20 +133,22 @@ def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
             keys = batch.column(1).to_numpy(zero_copy_only=False)
 
             def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-                owner, w, c, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+                owner, w, c, begin, size = (np.concatenate(x) for x in zip(*parts, strict=True))
                 by = np.lexsort((c, w))  # stable: equal windows stay in the order of documents and places
-                owner, w, c, place, rank = owner[by], w[by], c[by], place[by], ranks[owner[by]]
+                owner, w, c, begin, size, rank = owner[by], w[by], c[by], begin[by], size[by], ranks[owner[by]]
                 starts = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
-                sizes = np.diff(np.append(starts, len(w)))
-                other = (rank != np.repeat(rank[starts], sizes)) | (place != np.repeat(place[starts], sizes))
-                kind = np.where(other, COPY, ALONE).astype(np.int8)
-                kind[starts] = np.where(np.logical_or.reduceat(other, starts), COPIED, ALONE)
-                kept = other.copy()
+                runs = np.diff(np.append(starts, len(w)))
+                copy = (rank != np.repeat(rank[starts], runs)) | (begin != np.repeat(begin[starts], runs))
+                size = size << 1
+                size[starts] |= np.logical_or.reduceat(copy, starts)
+                kept = copy.copy()
                 kept[starts] = True
-                owner, w, c, place, kind = (x[kept] for x in (owner, w, c, place, kind))
-                w = np.where(kind == COPY, keys[owner], w)  # copies meet nobody: they are dealt by document
-                columns = [pa.array(w), pa.array(c), pa.array(keys[owner]), pa.array(place), pa.array(kind)]
-                return pa.RecordBatch.from_arrays([*columns, batch.column(2).take(pa.array(owner))], schema.names)
+                back = np.lexsort((begin[kept], rank[kept]))  # by document again
+                owner, w, c, begin, size, copy = (x[kept][back] for x in (owner, w, c, begin, size, copy))
+                place = np.where(copy, -1 - begin, c << 32 | begin)
+                columns = [np.where(copy, keys[owner], w), place, size.astype(np.int32), keys[owner]]
+                columns = [*[pa.array(x) for x in columns], batch.column(2).take(pa.array(owner))]
+                return pa.RecordBatch.from_arrays(columns, schema.names)
 
             parts, held, before = [], 0, -1
             for row in order.tolist():
@@ -154,7 +158,7 @@ def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
                 data = np.frombuffer(batch.column(0)[row].as_py().encode("utf-8"), dtype=np.uint8)
                 begins, ends, w, c = windows(data, chunk_ends(data, mean_chunk), min_run)
                 if len(w):
-                    parts.append((np.full(len(w), row), w, c, begins << _SIZE_BITS | (ends - begins)))
+                    parts.append((np.full(len(w), row), w, c, begins, ends - begins))
                     held += len(w)
                 if held >= WINDOWS_HELD:
                     yield rows(parts)
@@ -172,27 +176,28 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     first, is_out = None, False
     for batch in batches:
+        if not batch.num_rows:
+            continue
         rows = pa.Table.from_batches([batch])
         if first is not None:
             rows = pa.concat_tables([first, rows])
-        w, c, t1, place, kind = (rows.column(n).to_numpy() for n in ("w", "c", "t1", "place", "kind"))
+        w, place, size, t1 = (rows.column(n).to_numpy() for n in ("w", "place", "size", "t1"))
         ids = pc.dictionary_encode(rows.column("doc_id").combine_chunks(), null_encoding="encode").indices.to_numpy()
-        copy = kind == COPY
-        new = np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | copy[1:] | copy[:-1])
-        starts = np.flatnonzero(new)
+        copy, c = place < 0, place >> 32
+        starts = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | copy[1:]))
         at = np.repeat(starts, np.diff(np.append(starts, len(w))))
         other = (ids != ids[at]) | (t1 != t1[at]) | (place != place[at])
         out = other.copy()
-        out[starts] = np.logical_or.reduceat(other | (kind != ALONE), starts)
-        begin = starts[-1]
-        later_out = bool(out[begin]) or (is_out and begin == 0 and first is not None)
-        if first is not None and is_out:
+        out[starts] = np.logical_or.reduceat(other | copy | (size & 1 > 0), starts)
+        last_out = bool(out[starts[-1]]) or (is_out and starts[-1] == 0)
+        if is_out:
             out[0] = False
         taken = rows.filter(pa.array(out))
-        flags = pa.array(~(other | copy)[out])
-        first, is_out = rows.slice(begin, 1), later_out
-        columns = [taken.column(n) for n in ("doc_id", "t1", "place")]
-        yield from pa.table([*columns, flags], ["doc_id", "t1", "place", "is_first"]).to_batches()
+        begin = np.where(copy, -1 - place, place & 0xFFFFFFFF)[out]
+        first, is_out = rows.slice(starts[-1], 1), last_out
+        columns = [taken.column("doc_id"), taken.column("t1"), pa.array(begin), pa.array(begin + (size[out] >> 1))]
+        columns += [pa.array(~(other | copy)[out])]
+        yield from pa.table(columns, ["doc_id", "t1", "begin", "end", "is_first"]).to_batches()
 
 
 def spans_of(spans: list[tuple[int, int, bool]]) -> tuple[int, list[tuple[int, int]]]:
@@ -205,19 +210,18 @@ def repeated_spans(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int =
     """doc_id, t1, n_repeated (bytes in repeated windows) and ``cut`` (spans to take out) of documents with such windows."""
     doc_id = docs.schema["doc_id"]
     key = T.StructField("t1", T.LongType())
-    places = T.StructType([doc_id, key, T.StructField("place", T.LongType()), T.StructField("is_first", T.BooleanType())])
+    places = T.StructType([doc_id, key, *SPANS.elementType.fields, T.StructField("is_first", T.BooleanType())])
     dealt = _window_rows(docs, mean_chunk, min_run).repartition("w")
-    order = ["w", "c", F.col("kind") == COPY, F.col("doc_id").asc_nulls_last(), "t1", "place"]
+    order = ["w", F.shiftright("place", 32), F.col("doc_id").asc_nulls_last(), "t1", "place"]
     flagged = dealt.sortWithinPartitions(*order).mapInArrow(_repeated, places)
-    lists = flagged.groupBy("doc_id", "t1").agg(F.collect_set(F.struct("place", "is_first")).alias("spans"))
+    lists = flagged.groupBy("doc_id", "t1").agg(F.collect_set(F.struct("begin", "end", "is_first")).alias("spans"))
     schema = T.StructType([doc_id, key, T.StructField("n_repeated", T.LongType()), T.StructField("cut", SPANS)])
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, cuts = [], []
             for spans in batch.column(2).to_pylist():
-                begins = [(s["place"] >> _SIZE_BITS, s["place"] & (1 << _SIZE_BITS) - 1, s["is_first"]) for s in spans]
-                repeated, cut = spans_of([(b, b + size, is_first) for b, size, is_first in begins])
+                repeated, cut = spans_of([(s["begin"], s["end"], s["is_first"]) for s in spans])
                 sizes.append(repeated)
                 cuts.append([{"begin": b, "end": e} for b, e in cut])
             yield pa.RecordBatch.from_arrays(
@@ -230,6 +234,8 @@ def repeated_spans(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int =
 def dedup_chunks(docs: DataFrame, mean_chunk: int = MEAN_CHUNK, min_run: int = MIN_RUN, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text), n_repeated for each row."""
     spans = settled(repeated_spans(docs, mean_chunk, min_run)).withColumnsRenamed({"doc_id": "span_id", "t1": "span_t1"})
+    n_spans = spans.agg(F.sum(F.size("cut") + 2)).first()[0] or 0
+    spans = F.broadcast(spans) if n_spans <= BROADCAST_SPANS else spans
     rows = docs.select("doc_id", text_key()[0], whole_text().alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("t1") == F.col("span_t1"))
     joined = rows.join(spans, same, "left")
