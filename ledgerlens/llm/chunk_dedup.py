@@ -121,7 +121,7 @@ def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
     """w, place, size, t1, doc_id: each different window of a batch, and the places of its copies there.
 
     ``place`` is the second digest and the begin, ``size`` the length, with 1 in its last bit if the batch holds copies.
-    Copies meet nobody: ``place`` is negative, and ``w`` deals them by document. Fields that change from row to row
+    Copies meet nobody: ``place`` is negative, and ``w`` spreads them, as one text may be a third of all rows. Fields that change from row to row
     stand together, since rows of one document are written one after the other and compress well then.
     """
     fields = [T.StructField("w", T.LongType()), T.StructField("place", T.LongType()), T.StructField("size", T.IntegerType())]
@@ -146,7 +146,8 @@ def _window_rows(docs: DataFrame, mean_chunk: int, min_run: int) -> DataFrame:
                 back = np.lexsort((begin[kept], rank[kept]))  # by document again
                 owner, w, c, begin, size, copy = (x[kept][back] for x in (owner, w, c, begin, size, copy))
                 place = np.where(copy, -1 - begin, c << 32 | begin)
-                columns = [np.where(copy, keys[owner], w), place, size.astype(np.int32), keys[owner]]
+                spread = mix((keys[owner] + begin + rank[kept][back] * 1_000_003).view(np.uint64)).view(np.int64)
+                columns = [np.where(copy, spread, w), place, size.astype(np.int32), keys[owner]]
                 columns = [*[pa.array(x) for x in columns], batch.column(2).take(pa.array(owner))]
                 return pa.RecordBatch.from_arrays(columns, schema.names)
 
