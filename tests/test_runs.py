@@ -123,6 +123,45 @@ def test_profiles_from_many_batches_equal_the_whole(spark, data, tmp_path):
         assert sorted(map(str, one.select(shown).collect())) == sorted(map(str, two.select(shown).collect()))
 
 
+def test_parts_of_profiles_are_merged_by_level_and_survive_crashes(spark, tx, tmp_path, monkeypatch):
+    from ledgerlens.operators.profiles import sender_and_device
+
+    names = ["transaction_id", "sender_id", "receiver_id", "device_id", "amount"]
+    tx = tx.select(*names, (F.crc32("transaction_id") % 9).alias("n")).cache()
+    path = str(tmp_path / "pairs")
+
+    def shown(profiles):
+        rounded = [p.select([F.round(c, 6).alias(c) if t == "double" else c for c, t in p.dtypes]) for p in profiles]
+        return [sorted(map(str, p.collect())) for p in rounded]
+
+    def whole(batches):
+        return shown(sender_and_device(tx.where(F.col("n") < batches)))
+
+    def broken(parts):
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(FileNotFoundError):
+        streams.maintained_profiles(spark, path)
+    make, merge = streams.PAIR_TABLES["receiver_pairs"]
+    for number in range(9):
+        batch = tx.where(F.col("n") == number)
+        if number == 7:  # ends in the midst of the merges, and is run again
+            monkeypatch.setitem(streams.PAIR_TABLES, "receiver_pairs", (make, broken))
+            with pytest.raises(RuntimeError):
+                streams.fold_batch(batch, number, path)
+            monkeypatch.setitem(streams.PAIR_TABLES, "receiver_pairs", (make, merge))
+            assert shown(streams.maintained_profiles(spark, path)) == whole(7)
+        streams.fold_batch(batch, number, path)
+        known = streams._manifests(spark, path)
+        assert len(known) == min(2, number + 1)
+        assert len(known[number]) == (number + 1).bit_count()
+    assert known[8] == [(3, 0, 7), (0, 8, 8)]
+    assert {f.name for f in (tmp_path / "pairs/device_pairs").iterdir()} == {"3-0-7", "0-8-8"}
+    assert shown(streams.maintained_profiles(spark, path)) == whole(9)
+    streams.fold_batch(tx.where("n = 8"), 8, path)
+    assert shown(streams.maintained_profiles(spark, path)) == whole(9)
+
+
 def test_late_rows_are_dropped_and_sessions_close(spark, tmp_path):
     schema = "sender_id string, timestamp timestamp_ntz, is_fraud int"
     batches = [
