@@ -48,7 +48,7 @@ SALTS = 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = re.compile(b"[" + re.escape(BREAKS) + b"]")
-_SEPARATOR = re.compile(b"[ \t" + re.escape(BREAKS) + b"]")
+_SEPARATORS = re.compile(b"[ \t" + re.escape(BREAKS) + b"]+")
 # Classes of bytes: 0 stands between words, runs of 1 are words, runs of 2 end a piece.
 CLASSES = np.ones(256, np.uint8)
 CLASSES[[0x20, 0x09]] = 0
@@ -65,7 +65,7 @@ def word_keys(raw: bytes, lang: str) -> np.ndarray:
     """A key for each word of a text of one language, and 0 where a piece ends."""
     seed, out, at = language_key(lang), [], 0
     while at < len(raw):
-        found = _SEPARATOR.search(raw, at + WINDOW_BYTES)
+        found = _SEPARATORS.search(raw, at + WINDOW_BYTES)  # all of them: a run of breaks has one 0
         end = found.end() if found else len(raw)
         window = raw[at:end]
         hashes, starts = words(window, CLASSES)

@@ -98,6 +98,22 @@ def test_shards_are_cut_where_pieces_end():
     assert len(parts) > 2 and b"".join(parts) == raw and all(p.endswith(b".") for p in parts[:-1])
 
 
+@pytest.mark.parametrize("pad", range(6))
+def test_phrases_are_spelled_right_behind_runs_of_breaks(pad):
+    raw = b"x" * pad + b" " + b"..\n, " * (collocations.WINDOW_BYTES // 3) + b"late words come. last ones"
+    everything = collocations.Filter(b"\xff" * 4096)
+    found = collocations.spelled(raw, collocations.word_keys(raw, "en"), everything, np.uint64(0))
+    assert sorted(p for _, p in found) == ["last ones", "late words", "late words come", "words come"]
+    assert all(collocations.word_keys(p.encode(), "en").all() for _, p in found)
+
+
+def test_collocations_of_long_texts_equal_a_plain_count(spark):
+    rows = [("en", "early words, ... " * 90_000 + "late words come!?\n" * 30), (None, "... " * 300_000 + "a b c. " * 20)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    found = collocations.collocations(docs, support=20)
+    assert sorted(map(tuple, found.collect())) == plain_collocations(rows, 20, 5, 2000)
+
+
 def test_a_filter_holds_all_its_keys(spark):
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2**63, 20_000, dtype=np.int64)
