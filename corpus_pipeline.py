@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; every stage but the last returns the
 columns of the documents. ``run`` writes each stage as Parquet to the shared folder and reads it back for the next.
 
-Defined results: rows without a language (null texts, texts without letters) go; of equal texts the largest doc_id
-stays, of near copies the smallest; documents that hold a benchmark window go; an empty table stays empty.
+Defined results: rows without a language (null texts, texts without letters, texts whose likeliest language is less likely
+than all others together) go; of equal texts the largest doc_id stays, of near copies the smallest; documents that hold a
+benchmark window go; an empty table stays empty.
 """
 
 from __future__ import annotations

@@ -35,6 +35,7 @@ EPOCHS = 6
 BATCH = 64
 CHUNK = 256
 UNKNOWN = "und"
+MIN_SCORE = 0.5
 
 
 @dataclass
@@ -226,8 +227,11 @@ def predict(docs: DataFrame, net: ByteCnn | None, names: tuple[str, str] = ("lan
     return docs.withColumn(letters, whole_text().rlike(r"\p{L}")).mapInArrow(label, schema)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or scored below ``min_score``; columns unchanged."""
+def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or scored below ``min_score``; columns unchanged.
+
+    By default a language has to be as likely as all others together.
+    """
     lang, score = fresh(docs, "lang_pred", "score")
     labelled = predict(docs, fit(docs.where(~held_out()), **options), (lang, score))
     return labelled.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(*docs.columns)

@@ -163,6 +163,21 @@ def test_language_of_awkward_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(i or 0 for i, t in texts() if re.search(r"[^\W\d_]", t or ""))
 
 
+def test_texts_whose_language_cannot_be_told_are_dropped(spark):
+    letters = {"aa": "abcdef", "bb": "uvwxyz", "cc": "klmnop"}
+
+    def window(lang, seed):
+        rng = random.Random(seed)
+        return "".join(rng.choice(letters[lang] + " ") for _ in range(language_id.WINDOW))
+
+    rows = [(i, window(lang, i), lang) for i in range(450) for lang in [("aa", "bb", "cc")[i % 3]]]
+    mixed = [(1000 + i, "".join(window(lang, 900 + i) for lang in letters), ("aa", None)[i % 2]) for i in range(10)]
+    docs = spark.createDataFrame(rows + mixed, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.keep_languages(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(450))
+    assert language_id.keep_identified(docs, min_score=0.0).count() == 460
+
+
 def test_resampling_prefers_target_text(spark):
     rng = random.Random(8)
     rows = [(i, sentence(60, i) if i % 2 else "".join(rng.choice("#$%& q") for _ in range(300))) for i in range(400)]
