@@ -44,11 +44,13 @@ SHARD_BYTES = 32 << 20
 WINDOW_BYTES = 1 << 20
 FILTER_BYTES = 32 << 20
 BLOCK_BITS = 1 << 15
+PROBED = 1 << 18
 SALTS = 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = re.compile(b"[" + re.escape(BREAKS) + b"]")
 _SEPARATORS = re.compile(b"[ \t" + re.escape(BREAKS) + b"]+")
+_WORD = re.compile(b"[^ \t]+")
 # Classes of bytes: 0 stands between words, runs of 1 are words, runs of 2 end a piece.
 CLASSES = np.ones(256, np.uint8)
 CLASSES[[0x20, 0x09]] = 0
@@ -61,9 +63,10 @@ def language_key(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.sha256(lang.encode("utf-8")).digest()[:8], "little") | 1)
 
 
-def word_keys(raw: bytes, lang: str) -> np.ndarray:
-    """A key for each word of a text of one language, and 0 where a piece ends."""
+def word_places(raw: bytes, lang: str) -> tuple[np.ndarray, np.ndarray]:
+    """A key for each word of a text of one language, and 0 where a piece ends; and the bytes where those begin."""
     seed, out, at = language_key(lang), [], 0
+    begins = [np.zeros(0, np.int32)]
     while at < len(raw):
         found = _SEPARATORS.search(raw, at + WINDOW_BYTES)  # all of them: a run of breaks has one 0
         end = found.end() if found else len(raw)
@@ -72,8 +75,13 @@ def word_keys(raw: bytes, lang: str) -> np.ndarray:
         keys = mix(hashes + seed) | np.uint64(1)
         keys[CLASSES[np.frombuffer(window, np.uint8)[starts]] == 2] = 0
         out.append(keys)
+        begins.append((starts + at).astype(np.int32))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64), np.concatenate(begins)
+
+
+def word_keys(raw: bytes, lang: str) -> np.ndarray:
+    return word_places(raw, lang)[0]
 
 
 def longer_keys(keys: np.ndarray, first: np.ndarray, places: np.ndarray, width: int) -> Counted:
@@ -97,6 +105,10 @@ class Filter:
         return [(keys >> np.uint64(15 * i)).astype(np.int64) & (BLOCK_BITS - 1) for i in range(3)]
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
+        parts = [self._holds(keys[at : at + PROBED]) for at in range(0, len(keys), PROBED)]
+        return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+    def _holds(self, keys: np.ndarray) -> np.ndarray:
         block = (keys >> np.uint64(64 - self.block_bits)).astype(np.int64) if self.block_bits else np.int64(0)
         held = np.ones(len(keys), bool)
         for probe in self.probes(keys):
@@ -167,14 +179,10 @@ def counted(keys: np.ndarray, low: int, high: int, wanted: Filter | None) -> lis
     return out
 
 
-def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, tag: np.uint64) -> list[tuple[int, str]]:
+def spelled(raw: bytes, lang: str, wanted: Filter, tag: np.uint64) -> list[tuple[int, str]]:
     """Key and words of each phrase of two words or more whose key, xor the tag, passes the filter."""
-    data = LOWER[np.frombuffer(raw, np.uint8)]
-    kinds = CLASSES[data]
-    edges = np.flatnonzero(np.diff(kinds, prepend=np.uint8(0)) != 0)
-    ends = np.append(edges[1:], len(data))
-    held = kinds[edges] > 0
-    begins, ends, text = edges[held], ends[held], data.tobytes()
+    keys, begins = word_places(raw, lang)
+    begins = np.append(begins, np.int32(len(raw)))
     places = np.flatnonzero(keys).astype(np.int32)
     level, out = keys[places], []
     for width in range(2, MAX_WORDS + 1):
@@ -182,8 +190,8 @@ def spelled(raw: bytes, keys: np.ndarray, wanted: Filter, tag: np.uint64) -> lis
         held = wanted.holds(level ^ tag)
         found, first = np.unique(level[held], return_index=True)
         for key, at in zip(found.tolist(), places[held][first].tolist(), strict=True):
-            parts = [text[begins[i] : ends[i]] for i in range(at, at + width)]
-            out.append((key, b" ".join(parts).decode("utf-8")))
+            phrase = raw[begins[at] : begins[at + width]].translate(LOWER.tobytes())
+            out.append((key, b" ".join(_WORD.findall(phrase)).decode("utf-8")))
     return out
 
 
@@ -292,7 +300,7 @@ def frequent_phrases(docs: DataFrame, support: int, max_words: int) -> tuple[lis
 
         def work(lang, total, raw):
             tag = shard_tag(raw) if tagged else np.uint64(0)
-            found = spelled(raw, word_keys(raw, lang), Filter(wanted.value), tag)
+            found = spelled(raw, lang, Filter(wanted.value), tag)
             key = np.array([k for k, _ in found], np.uint64).view(np.int64)
             columns = [pa.array(key), pa.array([lang] * len(found), pa.string()), pa.array([p for _, p in found], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "lang", "phrase"])

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from base64 import b32encode
 from collections import Counter
@@ -102,7 +103,7 @@ def test_shards_are_cut_where_pieces_end():
 def test_phrases_are_spelled_right_behind_runs_of_breaks(pad):
     raw = b"x" * pad + b" " + b"..\n, " * (collocations.WINDOW_BYTES // 3) + b"late words come. last ones"
     everything = collocations.Filter(b"\xff" * 4096)
-    found = collocations.spelled(raw, collocations.word_keys(raw, "en"), everything, np.uint64(0))
+    found = collocations.spelled(raw, "en", everything, np.uint64(0))
     assert sorted(p for _, p in found) == ["last ones", "late words", "late words come", "words come"]
     assert all(collocations.word_keys(p.encode(), "en").all() for _, p in found)
 
@@ -124,6 +125,16 @@ def test_a_filter_holds_all_its_keys(spark):
     assert small.holds(keys.view(np.uint64)).all()
 
 
+def test_a_filter_looks_keys_up_in_bounded_memory():
+    keys = np.arange(1 << 22, dtype=np.uint64)
+    everything = collocations.Filter(b"\xff" * 4096)
+    tracemalloc.start()
+    assert everything.holds(keys).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(keys) * 8
+
+
 # ---- archives
 
 
