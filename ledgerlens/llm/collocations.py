@@ -4,7 +4,10 @@ Texts are lower-cased (A-Z only), split at ``.,;:!?`` and line ends into pieces,
 Each task mines its shards of the corpus completely in memory, language by language: a phrase is locally frequent if its
 share of the wanted support is at least the shard's share of the bytes of that language. A phrase that reaches the
 support anywhere reaches that share in one shard at least, so the union of the locally frequent phrases misses none;
-all of them are then counted over all shards, which is exact. Single words are counted outright. Pairs are mined among
+all of them are then counted over all shards, which is exact. A few tasks mine first, then four times as many, in the
+end all of them, and each sends only what no earlier wave has found: a phrase that is frequent nearly everywhere is not
+sent by every shard. The last wave mines the whole corpus, so the earlier ones decide the amount of rows and nothing
+else, and cost a third more mining. Single words are counted outright. Pairs are mined among
 frequent words, and three and more words where neighbours form frequent pairs: with very many shards a local share is below one
 occurrence, and what has not been ruled out by shorter phrases is then all that there is to count.
 
@@ -40,7 +43,7 @@ from ledgerlens.operators.small import settled
 
 MAX_WORDS = 5
 SUPPORT = 100
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 24 << 20
 WINDOW_BYTES = 1 << 20
 FILTER_BYTES = 32 << 20
 BLOCK_BITS = 1 << 15
@@ -140,6 +143,15 @@ def key_filter(keys: DataFrame, n: int, most: int = FILTER_BYTES) -> bytes:
     return out.tobytes()
 
 
+def joined(one: bytes, other: bytes) -> bytes:
+    """A filter that holds whatever either filter holds, by accident too; as large as the larger one."""
+    blocks = [np.frombuffer(bits, np.uint8).reshape(-1, BLOCK_BITS // 8) for bits in (one, other)]
+    most = max(map(len, blocks))
+    # A block of a smaller filter stands for all those of the larger one whose keys begin alike.
+    one_bits, other_bits = [np.repeat(b, most // len(b), axis=0) for b in blocks]
+    return (one_bits | other_bits).tobytes()
+
+
 def mined(keys: np.ndarray, low: int, high: int, shorter: Filter, is_frequent: Callable) -> list[np.ndarray]:
     """Locally frequent phrases of ``low`` to ``high`` words; ``shorter`` holds the frequent ones of ``low - 1``.
 
@@ -213,14 +225,19 @@ def _parts(raw: bytes) -> Iterator[bytes]:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes]]:
-    """(language, bytes of the language in all shards, texts of one shard and language)."""
+    """(language, bytes of the language in all shards, texts of one shard and language).
+
+    What follows a shard is held until it is half a shard, or goes with it: nearly all phrases of a small rest would be
+    locally frequent.
+    """
     held: dict[str, list[bytes]] = {}
+    rest: dict[str, list[bytes]] = {}
     totals: dict[str, int] = {}
     size = 0
 
-    def out() -> Iterator[tuple[str, int, bytes]]:
-        while held:
-            lang, parts = held.popitem()
+    def out(shard: dict[str, list[bytes]]) -> Iterator[tuple[str, int, bytes]]:
+        while shard:
+            lang, parts = shard.popitem()
             raw = b"\n".join(parts)
             del parts
             yield lang, totals[lang], raw
@@ -229,12 +246,24 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes
         for lang, total, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             totals[lang] = total
             for part in _parts(raw):
-                held.setdefault(lang, []).append(part)
+                (held if size < SHARD_BYTES else rest).setdefault(lang, []).append(part)
                 size += len(part)
-                if size >= SHARD_BYTES:
-                    yield from out()
-                    size = 0
-    yield from out()
+                if size >= SHARD_BYTES * 3 // 2:
+                    yield from out(held)
+                    held, rest = rest, {}
+                    size = sum(len(p) for parts in held.values() for p in parts)
+    for lang, parts in rest.items():
+        held.setdefault(lang, []).extend(parts)
+    del rest
+    yield from out(held)
+
+
+def _steps(tasks: int) -> list[int]:
+    """Every how many tasks one mines, wave by wave: one to three tasks, then four times as many, then all."""
+    steps = [1]
+    while 4 * steps[-1] <= tasks:
+        steps.append(4 * steps[-1])
+    return steps[::-1]
 
 
 def _run(docs: DataFrame, schema: str, work: Callable[[str, int, bytes], Iterator[pa.RecordBatch]]) -> DataFrame:
@@ -267,18 +296,27 @@ def frequent_phrases(docs: DataFrame, support: int, max_words: int) -> tuple[lis
 
     tables: list[DataFrame] = []
     shorter = None
+    task = F.spark_partition_id()
+    tasks = (docs.select(task.alias("task")).agg(F.max("task")).first()[0] or 0) + 1
     groups = [(1, 1), (2, 2), (3, max_words)][: min(3, max_words)]
     for low, high in groups:
         wanted = None
         if low > 1:
             held = spark.sparkContext.broadcast(shorter)
-
-            def local(lang, total, raw, low=low, high=high, held=held):
-                found = mined(word_keys(raw, lang), low, high, Filter(held.value), share(raw, total))
-                yield from _sliced({"key": np.concatenate(found)})
-
-            candidates = settled(_run(docs, "key long", local).distinct())
-            wanted = spark.sparkContext.broadcast(key_filter(candidates, candidates.count()))
+            candidates = bytes(BLOCK_BITS // 8)
+            for step in _steps(tasks):
+                known = spark.sparkContext.broadcast(candidates)
+
+                def local(lang, total, raw, low=low, high=high, held=held, known=known):
+                    found = np.concatenate(mined(word_keys(raw, lang), low, high, Filter(held.value), share(raw, total)))
+                    yield from _sliced({"key": found[~Filter(known.value).holds(found)]})
+
+                wave = docs if step == 1 else docs.where(task % step == 0)
+                new = settled(_run(wave, "key long", local).distinct())
+                # Room for later waves: filters of one size are as sparse joined as one filter of all keys.
+                room = max(new.count() * (1 if step == 1 else 4), len(candidates) // 2)
+                candidates = joined(candidates, key_filter(new, room))
+            wanted = spark.sparkContext.broadcast(candidates)
 
         def exact(lang, total, raw, low=low, high=high, wanted=wanted):
             keys = word_keys(raw, lang)

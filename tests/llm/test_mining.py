@@ -99,6 +99,15 @@ def test_shards_are_cut_where_pieces_end():
     assert len(parts) > 2 and b"".join(parts) == raw and all(p.endswith(b".") for p in parts[:-1])
 
 
+@pytest.mark.parametrize("rows", [0, 3, 12, 16, 21, 27, 100])
+def test_no_shard_is_a_small_rest(monkeypatch, rows):
+    monkeypatch.setattr(collocations, "SHARD_BYTES", 1000)
+    table = pa.table({"lang": ["en"] * rows, "total": [100 * rows] * rows, "raw": [b"%0100d" % i for i in range(rows)]})
+    shards = [raw.split(b"\n") for _, _, raw in collocations._shards(iter(table.to_batches(max_chunksize=7)))]
+    assert sorted(sum(shards, [])) == [b"%0100d" % i for i in range(rows)]
+    assert all(min(5, rows) <= len(shard) <= 15 for shard in shards)
+
+
 @pytest.mark.parametrize("pad", range(6))
 def test_phrases_are_spelled_right_behind_runs_of_breaks(pad):
     raw = b"x" * pad + b" " + b"..\n, " * (collocations.WINDOW_BYTES // 3) + b"late words come. last ones"
@@ -125,6 +134,42 @@ def test_a_filter_holds_all_its_keys(spark):
     assert small.holds(keys.view(np.uint64)).all()
 
 
+@pytest.mark.parametrize("sizes", [(20_000, 300), (300, 20_000), (0, 5_000)])
+def test_joined_filters_hold_what_either_holds(spark, sizes):
+    rng = np.random.default_rng(5)
+    bits = []
+    for size in sizes:
+        keys = spark.createDataFrame([(int(k),) for k in rng.integers(-(2**63), 2**63, size, dtype=np.int64)], "key long")
+        bits.append(collocations.key_filter(keys, size))
+    others = rng.integers(0, 2**64, 500_000, dtype=np.uint64)
+    one, other = (collocations.Filter(b).holds(others) for b in bits)
+    both = collocations.Filter(collocations.joined(*bits))
+    assert (one | other).any() and both.holds(others)[one | other].all()
+    assert both.holds(others).mean() < 0.05 and len(both.bits) == max(map(len, bits))
+
+
+def test_waves_of_mining_end_with_all_tasks():
+    assert [collocations._steps(n) for n in (1, 3, 4, 7, 32, 64)] == [[1], [1], [4, 1], [4, 1], [16, 4, 1], [64, 16, 4, 1]]
+
+
+def test_a_phrase_frequent_everywhere_is_not_sent_by_every_shard(spark, monkeypatch):
+    rows = [("en", f"common words stand here. own{i} part{i}") for i in range(72)]
+    late = [("fr", "only in one place")] * 40  # in task 18, which the last wave alone mines
+    parts = [spark.createDataFrame(r, "lang string, text string").repartition(n) for r, n in ((rows, 18), (late, 1))]
+    sent, run = [], collocations._run
+
+    def counting(docs, schema, work):
+        made = run(docs, schema, work)
+        if schema == "key long":
+            sent.append(made.count())
+        return made
+
+    monkeypatch.setattr(collocations, "_run", counting)
+    found = collocations.collocations(parts[0].unionByName(parts[1]), support=32)
+    assert sorted(map(tuple, found.collect())) == plain_collocations(rows + late, 32, 5, 2000)
+    assert sum(sent) < 60  # 12 phrases; six of them stand in each of 18 shards
+
+
 def test_a_filter_looks_keys_up_in_bounded_memory():
     keys = np.arange(1 << 22, dtype=np.uint64)
     everything = collocations.Filter(b"\xff" * 4096)
