@@ -210,6 +210,24 @@ def test_substrings(spark, length, shard_contexts):
     assert same_rows(found.collect(), _brute_substrings(rows, length))
 
 
+def test_substrings_on_both_sides_of_400_bytes_and_past_a_piece(spark):
+    sizes = [300, 350, 390, 398, 399, 400, 401, 402, 450, 800]  # 51 words are 300 to 400 bytes
+    rows = []
+    for k, n in enumerate(sizes):
+        passage = sentence(130, 2000 + k)[:n]
+        rows += [(2 * k, f"{sentence(20, 2100 + k)}<{passage}>{sentence(20, 2200 + k)}")]
+        rows += [(2 * k + 1, f"{sentence(20, 2300 + k)}({passage}){sentence(20, 2400 + k)}")]
+    long = sentence(80_000, 2500)
+    edge = substring_dedup.PIECE
+    assert len(long) > edge + 3000
+    rows += [(100, long), (101, long[edge - 2500 : edge + 2500]), (102, long[-400:]), (103, long[:399])]
+    found = substring_dedup.dedup_substrings(documents(spark, rows)).collect()
+    assert same_rows(found, _brute_substrings(rows, 400))
+    removed = {r.doc_id: r.n_removed for r in found}
+    assert [removed[2 * k + d] for k in range(len(sizes)) for d in (0, 1)] == [n if n >= 400 else 0 for n in sizes for _ in (0, 1)]
+    assert [removed[i] for i in range(100, 104)] == [5400, 5000, 400, 0]
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(0)
     for n, letters in ((1, 1), (200, 1), (700, 2), (2000, 4)):
