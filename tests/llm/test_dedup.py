@@ -244,6 +244,24 @@ def test_suffix_array_and_common_prefixes():
             assert prefixes[k] == min(50, same)
 
 
+def test_suffix_array_sorts_once_a_round(monkeypatch):
+    sorts = []
+    for name in ("argsort", "lexsort"):
+        def counted(key, *args, known=getattr(np, name), **options):
+            sorts.extend([len(key)] if isinstance(key, np.ndarray) else [len(k) for k in key])
+            return known(key, *args, **options)
+
+        monkeypatch.setattr(np, name, counted)
+    data = np.frombuffer(b"".join(sentence(60, 3).encode() + bytes([i]) for i in range(9)), dtype=np.uint8)
+    order, place = suffix_array(data)
+    raw = data.tobytes()
+    assert [raw[i:] for i in order] == sorted(raw[i:] for i in range(len(raw)))
+    assert (place[order] == np.arange(len(raw))).all()
+    # From prefixes of 7 bytes to ones of the longest repeat in doubling steps, one key each, and fewer suffixes each time.
+    assert len(sorts) <= 2 + np.ceil(np.log2(len(sentence(60, 3).encode()) / 7))
+    assert sorts == sorted(sorts, reverse=True)
+
+
 def _plain_ends(raw):
     """Chunk ends byte by byte."""
     def hash_after(i):
