@@ -6,8 +6,8 @@ byte-pair models, lets a piece follow another only where the merges would leave
 has infinite weight. Composing them with a text gives a lattice whose states are prefixes with their last piece, and
 the encoding is the path of least weight in the tropical semiring (weights add along a path, the least path counts).
 For a byte-pair model one path of finite weight reaches each prefix, so the first finite arc into a prefix is the
-minimum and the rest need no look. A text is cut where no piece can cross (before visible spaces), and the shortest
-paths of recent cuts are remembered.
+minimum and the rest need no look. A text is cut where no piece can cross (before visible spaces, and between words and
+marks that share no piece), and the shortest paths of recent cuts are remembered.
 
 Defined results: a null text is the empty text, which has no piece and decodes to itself; ``round_trip`` tells whether
 decoding gives the text again (a text that holds the visible space itself comes back with a plain one); rows pass one
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +30,7 @@ from ledgerlens.llm.common import whole_text
 from ledgerlens.llm.segment import Segmenter
 
 SPACE = "▁"
-PATHS_HELD = 120_000
+PATHS_HELD = 300_000
 # Fixed values of the model format: kinds of pieces, and the byte-pair model type.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 BYTE_PAIR = 2
@@ -62,6 +62,22 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
+def _joined_with_letters(pieces: Iterable[str]) -> set[str]:
+    """The letters of all pieces and every character that pieces join with them, directly or through others."""
+    joined: dict[str, set[str]] = {}
+    for piece in pieces:
+        inside = piece.lstrip(SPACE)
+        for c in inside:
+            joined.setdefault(c, set()).update(inside)
+    found, ahead = set(), [c for c in joined if c.isalpha()]
+    while ahead:
+        c = ahead.pop()
+        if c not in found:
+            found.add(c)
+            ahead.extend(joined[c])
+    return found
+
+
 class PieceMachine:
     """The machines of one model file, given as its bytes."""
 
@@ -88,7 +104,9 @@ class PieceMachine:
         weights = {n: -scores[i] for n, i in pieces.items()}
         self.segmenter = Segmenter(pieces, lambda a, b: weights.get(a + b))
         alphabet = "".join(re.escape(n) for n in pieces if len(n) == 1)
-        self.cuts = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        words = "".join(map(re.escape, sorted(_joined_with_letters(pieces))))
+        runs = [f"[{words}]", f"[^{words}{SPACE}\n]"] if words else [f"[^{SPACE}\n]"]
+        self.cuts = re.compile("|".join(["\n", *[f"{SPACE}*{kind}+" for kind in runs], f"{SPACE}+"]))
         self.runs = re.compile(f"[{alphabet}]+|.", re.DOTALL)
         self.outside = re.compile(f"[^{alphabet}]")
         self.held: dict[str, bytes] = {}

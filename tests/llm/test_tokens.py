@@ -74,6 +74,18 @@ def test_pieces_equal_the_library():
         assert machine.decode(ids) == model.decode(ids.tolist())
 
 
+def test_words_are_remembered_without_the_marks_around_them():
+    machine = pieces.PieceMachine(pieces._model_bytes(MODEL))
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    joined = pieces._joined_with_letters(machine.segmenter.names.values())
+    for name in machine.segmenter.names.values():  # no piece crosses such a cut
+        assert len({c in joined for c in name.lstrip(pieces.SPACE)}) <= 1
+    marks = ["", ",", ".", "!!", "%%%", '",', "),", "...", "1", "漢", "😀"]
+    text = " ".join(f"{a}theath{b}" for a in ("", "(") for b in marks) + "\n-- theath's (  x"
+    assert machine.encode(text).tolist() == model.encode(text)
+    assert {c for c in machine.held if "theath" in c} == {"▁theath", "theath"}
+
+
 def test_piece_table_and_decoding(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     encoded = pieces.encode_texts(documents(spark), MODEL)
