@@ -7,8 +7,12 @@ that stay on it, and the share of the training rows that stay on it. A row's att
 
 where o_j tells whether the row's value lies in the interval and z_j is the share. That is the Shapley sum over all
 subsets of the path's features: expanding the product gives each subset the weight |S|! (d - |S| - 1)! / d!. The integrand
-is a polynomial, so a Gauss-Legendre rule with half as many points as there are features is exact. All paths are worked
-on at once for a batch of rows.
+is a polynomial, so a Gauss-Legendre rule with half as many points as there are features is exact.
+
+A tree sees of a row only between which of its own cuts each value lies. So a batch of rows is worked on tree by tree, and
+rows that a tree cannot tell apart are worked on once. A path sees even less, one bit for each of its features: what it
+adds for all patterns of these bits is a small table, as long as the model's tables together stay small (``TABLE_CELLS``);
+beyond that the integral is taken for each different row of each tree.
 
 Contributions of a row and the base value add up to the model's raw score: the margin of boosted trees (its probability
 is 1 / (1 + exp(-2 * margin))), the probability itself of a forest.
@@ -31,17 +35,21 @@ from ledgerlens.session import ensure_checkpoint_dir
 
 # Rows times paths that are worked on at once.
 CELLS = 1 << 19
+# Numbers in the tables of all paths together (32 MB); more than this, and the integrals are taken row by row.
+TABLE_CELLS = 1 << 22
 
 
 @dataclass(frozen=True)
 class Paths:
-    """All paths of a model: arrays of (paths, features on the longest path); what a path lacks has share 1, feature 0."""
+    """All paths of a model, tree by tree: arrays of (paths, features on the longest path); what a path lacks has share 1,
+    feature 0. ``first`` has the place of the first path of each tree."""
 
     value: np.ndarray
     feature: np.ndarray
     low: np.ndarray
     high: np.ndarray
     share: np.ndarray
+    first: np.ndarray
 
     @property
     def base(self) -> float:
@@ -64,8 +72,9 @@ def paths_of(model: PipelineModel, spark: SparkSession) -> Paths:
     trees: dict[int, dict] = {}
     for node in nodes:
         trees.setdefault(node["tree"], {})[node["id"]] = node
-    found = []
+    found, first = [], []
     for tree in trees.values():
+        first.append(len(found))
         stack = [(0, {})]
         while stack:
             place, seen = stack.pop()
@@ -90,29 +99,81 @@ def paths_of(model: PipelineModel, spark: SparkSession) -> Paths:
     for i, (_, seen) in enumerate(found):
         for j, (name, span) in enumerate(seen.items()):
             feature[i, j], (low[i, j], high[i, j], share[i, j]) = name, span
-    return Paths(np.array([v for v, _ in found]), feature, low, high, share)
-
-
-def contributions(paths: Paths, x: np.ndarray) -> np.ndarray:
+    return Paths(np.array([v for v, _ in found]), feature, low, high, share, np.array(first))
+
+
+def _integrals(inside: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """What each feature of each path adds: ``inside`` tells it of (cases, paths, features on the path)."""
+    points, weights = np.polynomial.legendre.leggauss(share.shape[-1] // 2 + 1)
+    total = np.zeros(inside.shape)
+    for t, w in zip((points + 1) / 2, weights / 2, strict=True):
+        away = (1 - t) * share
+        factor = np.where(inside, away + t, away)
+        total += w * factor.prod(axis=-1, keepdims=True) / factor
+    return total * (inside - share) * value[:, None]
+
+
+class _Tree:
+    """The paths of one tree, what tells rows apart for them, and their table of patterns."""
+
+    def __init__(self, paths: Paths, part: slice, tabled: bool):
+        self.value, self.feature, self.low, self.high, self.share = (
+            a[part] for a in (paths.value, paths.feature, paths.low, paths.high, paths.share)
+        )
+        self.named, places = np.unique(self.feature, return_inverse=True)
+        # Adds up the parts of one feature.
+        self.adds = np.eye(len(self.named))[places.ravel()]
+        # The limits of each feature: two rows between the same ones are the same to the tree.
+        self.cuts = {}
+        for f in self.named:
+            ends = np.unique(np.concatenate([a[self.feature == f] for a in (self.low, self.high)]))
+            self.cuts[f] = ends[np.isfinite(ends)]
+        self.table = None
+        if tabled:
+            width = self.feature.shape[1]
+            bits = (np.arange(1 << width)[:, None] >> np.arange(width) & 1).astype(bool)
+            self.table = _integrals(np.repeat(bits[:, None], len(self.value), axis=1), self.share, self.value).reshape(-1, width)
+            self.weight = len(self.value) << np.arange(width)
+
+    def alike(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row of each kind that the tree can tell apart, and the kind of every row."""
+        sizes = [len(c) + 2 for c in self.cuts.values()]
+        if sum(np.log2(sizes)) > 62:
+            return np.arange(len(x)), np.arange(len(x))
+        code = np.zeros(len(x), np.int64)
+        for (f, cuts), size in zip(self.cuts.items(), sizes, strict=True):
+            place = np.searchsorted(cuts, x[:, f])
+            place[np.isnan(x[:, f])] = size - 1
+            code = code * size + place
+        _, one, kind = np.unique(code, return_index=True, return_inverse=True)
+        return one, kind
+
+    def added(self, x: np.ndarray) -> np.ndarray:
+        """Rows by the features of the tree."""
+        at = x[:, self.feature]
+        inside = (at > self.low) & (at <= self.high)
+        if self.table is None:
+            parts = _integrals(inside, self.share, self.value)
+        else:
+            parts = self.table[(inside * self.weight).sum(axis=2) + np.arange(len(self.value))]
+        return parts.reshape(len(x), -1) @ self.adds
+
+
+def trees_of(paths: Paths) -> list[_Tree]:
+    """The trees of a model, ready to be asked for many rows."""
+    tabled = paths.feature.size << paths.feature.shape[1] <= TABLE_CELLS
+    ends = [*paths.first[1:], len(paths.value)]
+    return [_Tree(paths, slice(a, b), tabled) for a, b in zip(paths.first, ends, strict=True)]
+
+
+def contributions(trees: list[_Tree], x: np.ndarray) -> np.ndarray:
     """Rows by features: what each feature adds to the raw score of each row."""
-    n, width = len(x), paths.feature.shape[1]
-    points, weights = np.polynomial.legendre.leggauss(width // 2 + 1)
-    points, weights = (points + 1) / 2, weights / 2
-    order = np.argsort(paths.feature, axis=None, kind="stable")
-    named, first = np.unique(paths.feature.ravel()[order], return_index=True)
     out = np.zeros_like(x)
-    step = max(1, CELLS // max(1, len(paths.value)))
-    for at in range(0, n, step):
-        rows = x[at : at + step]
-        inside = rows[:, paths.feature]
-        inside = (inside > paths.low) & (inside <= paths.high)
-        total = np.zeros(inside.shape)
-        for t, w in zip(points, weights, strict=True):
-            away = (1 - t) * paths.share
-            factor = np.where(inside, away + t, away)
-            total += w * factor.prod(axis=2, keepdims=True) / factor
-        total *= (inside - paths.share) * paths.value[:, None]
-        out[at : at + step, named] += np.add.reduceat(total.reshape(len(rows), -1)[:, order], first, axis=1)
+    for tree in trees:
+        one, kind = tree.alike(x)
+        step = max(1, CELLS // len(tree.value))
+        added = np.concatenate([tree.added(x[one[at : at + step]]) for at in range(0, len(one), step)] or [np.zeros((0, len(tree.named)))])
+        out[:, tree.named] += added[kind]
     return out
 
 
@@ -124,9 +185,10 @@ def attributions(df: DataFrame, model: PipelineModel, columns: list[str], key: s
     schema = T.StructType([df.schema[key], *numbers])
 
     def attributed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = trees_of(paths.value)
         for batch in batches:
             x = np.column_stack([np.asarray(c, dtype=float) for c in batch.columns[1:]])
-            found = contributions(paths.value, x)
+            found = contributions(trees, x)
             base = np.full(len(x), paths.value.base)
             columns = [batch.column(0), pa.array(base), pa.array(base + found.sum(axis=1))]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array(c) for c in found.T]], schema.names)

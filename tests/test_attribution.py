@@ -90,3 +90,20 @@ def test_an_empty_table_and_the_means(spark, rows):
     means = {r["feature"]: r for r in attribution.mean_attribution(whole, COLUMNS).collect()}
     assert set(means) == set(COLUMNS)
     assert means["a"]["mean_abs"] == round(whole.select(F.avg(F.abs("a"))).first()[0], 9)
+
+
+def test_rows_that_a_tree_cannot_tell_apart_are_worked_on_once(spark, rows, monkeypatch):
+    """By tables, by integrals, and row by row the parts are the same; a tree is asked once for each kind of row."""
+    paths = attribution.paths_of(models.train(rows, COLUMNS, models.gbt(5, maxDepth=3)), spark)
+    x = np.random.default_rng(3).uniform(-0.2, 1.2, (4000, 4))
+    x[:50, 1] = np.nan
+    asked = []
+    added = attribution._Tree.added
+    monkeypatch.setattr(attribution._Tree, "added", lambda tree, some: asked.append(len(some)) or added(tree, some))
+    found = attribution.contributions(attribution.trees_of(paths), x)
+    assert max(asked) < 400
+    monkeypatch.setattr(attribution, "TABLE_CELLS", 0)
+    assert np.allclose(found, attribution.contributions(attribution.trees_of(paths), x), atol=1e-13)
+    alone = [attribution.contributions(attribution.trees_of(paths), row[None]) for row in x[::97]]
+    assert np.allclose(found[::97], np.concatenate(alone), atol=1e-13)
+    assert attribution.contributions(attribution.trees_of(paths), x[:0]).shape == (0, 4)
