@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import time
 import uuid
@@ -42,6 +43,8 @@ SEARCH_SPACE = {
     "positive_weight": (10.0, 30.0, False),
 }
 WHOLE_NUMBERS = ("maxDepth", "minInstancesPerNode")
+# Rows that one task scores where each row is scored many times: a shuffle is dealt by what it moves, not by what follows.
+SCORED_ROWS = 200_000
 
 
 def gbt(rounds: int = BOOSTING_ROUNDS, seed: int = SEED, **params) -> GBTClassifier:
@@ -266,7 +269,7 @@ def permutation_importance(
     """``(feature, roc_auc, drop)``: the ROC area lost when one feature's values are shuffled among the rows.
 
     Each row gets one donor row and takes the shuffled value from it. One join serves all features; the scored table
-    then has one row per row and feature.
+    then has one row per row and feature, so the join is dealt to as many tasks as these rows ask for.
     """
     rows = df.select(key, LABEL, F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
     ranked = settled(numbered(rows, key, seed=seed))
@@ -274,6 +277,9 @@ def permutation_importance(
     # Row numbers follow a hash, so the row a fixed distance ahead (round the end) is an unrelated one.
     ahead = F.col("row_number") + F.lit(max(1, int(n * 0.618)))
     donors = ranked.select(F.when(ahead > n, ahead - n).otherwise(ahead).alias("row_number"), F.col("x").alias("d"))
+    tasks = max(1, math.ceil(n * (len(columns) + 1) / SCORED_ROWS))
+    if tasks > 1:
+        ranked, donors = (side.repartition(tasks, "row_number") for side in (ranked, donors))
     paired = ranked.join(donors, "row_number")
     cases = F.explode(F.sequence(F.lit(-1), F.lit(len(columns) - 1))).alias("case")
     mixed = paired.select(LABEL, "x", "d", cases)

@@ -235,3 +235,19 @@ def test_permutation_importance_finds_the_only_signal(spark):
     model = models.train(df, ["signal", "noise"], models.logistic(50))
     got = {r["feature"]: r for r in models.permutation_importance(df, model, ["signal", "noise"]).collect()}
     assert got["signal"]["drop"] > 0.3 and abs(got["noise"]["drop"]) < 0.05
+
+
+def test_permuted_rows_are_scored_in_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    df = spark.range(300).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        (F.col("id") % 2).cast("int").alias("is_fraud"),
+        ((F.col("id") % 2) + F.rand(1)).alias("signal"),
+        F.rand(2).alias("noise"),
+    )
+    model = models.train(df, ["signal", "noise"], models.logistic(50))
+    whole = sorted(map(str, models.permutation_importance(df, model, ["signal", "noise"]).collect()))
+    parts, score = [], models.with_score
+    monkeypatch.setattr(models, "with_score", lambda rows, m: parts.append(rows.rdd.getNumPartitions()) or score(rows, m))
+    monkeypatch.setattr(models, "SCORED_ROWS", 100)
+    assert sorted(map(str, models.permutation_importance(df, model, ["signal", "noise"]).collect())) == whole
+    assert parts == [9]
