@@ -1,5 +1,7 @@
 """Whole runs, samples and splits, and streams against their batch answers."""
 
+import threading
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -251,3 +253,16 @@ def test_permuted_rows_are_scored_in_as_many_tasks_as_they_ask_for(spark, monkey
     monkeypatch.setattr(models, "SCORED_ROWS", 100)
     assert sorted(map(str, models.permutation_importance(df, model, ["signal", "noise"]).collect())) == whole
     assert parts == [9]
+
+
+def test_models_over_few_rows_are_fitted_side_by_side(spark, monkeypatch):
+    """Two fits wait for each other, so one after the other would break the barrier; many rows are fitted in turn."""
+    df = spark.range(60).select((F.col("id") % 2).cast("int").alias("is_fraud"), (F.col("id") % 7).cast("double").alias("x"))
+    met, train = threading.Barrier(2, timeout=60), models.train
+    monkeypatch.setattr(models, "train", lambda *given: met.wait() in (0, 1) and train(*given))
+    fitted = models.fit_models(df, ["x"], {"b": models.gbt(2), "a": models.logistic(5)})
+    assert [m.name for m in fitted] == ["b", "a"] and fitted[0].model.stages[-1].getNumTrees == 2
+    held = df.withColumn("y", F.col("x") * 2)
+    assert models.ablation(held, held, ["x", "y"], ["y"], models.gbt(2)).count() == 6
+    monkeypatch.setattr(models, "FITS_ROWS", 59)
+    assert models.fits_at_once(df) == 1
