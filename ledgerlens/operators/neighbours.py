@@ -5,13 +5,15 @@
 2. A hash sample of the points gives a balanced tree of median cuts, level by level, as tables of one row a node; each
    point falls into one leaf. Leaves hold a bounded number of distinct points.
 3. Inside its leaf each point finds its nearest, and with them the radius no true neighbour can exceed.
-4. A point walks down the tree by joins with the nodes' boxes and visits only the leaves that reach into that radius:
+4. A point walks down the tree past the nodes' boxes and visits only the leaves that reach into that radius:
    the box of the vectors must, and for each of a few pivots so must the range of the distances to the pivot (by the
    triangle inequality a neighbour's distance to a pivot differs by no more than the radius). Visitors of a leaf are
    split into chunks, so a leaf everyone visits is many tasks.
 
 The answer does not depend on the tree or the pivots: bad ones cost visits, not neighbours. Cuts and boxes are written
-tables that grow with the points: their size decides whether they are sent to all tasks, and none passes the driver.
+tables that grow with the points. Boxes are counted: up to ``SENT_BOXES`` they are sent to all tasks, which walk down for a
+batch of points at once; beyond that the walk is a join a level. As soon as there are several leaves, work is dealt by leaves
+and counted visits, since a shuffle of few bytes would else be left to a task or two.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -37,6 +40,11 @@ SAMPLE_PER_LEAF = 16
 VISIT_CHUNK = 4096
 DIGITS = 6
 SLACK = 1e-5
+# Boxes that are sent to all tasks (of 21 dimensions: 20 MB), and (point, node) pairs that are tested at once.
+SENT_BOXES = 50_000
+PAIRS = 1 << 15
+# Visits that one task answers.
+TASK_VISITS = 40_000
 
 
 def nearest_neighbours(
@@ -91,7 +99,8 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
         )
 
     placed = settled(placed)
-    local = settled(placed.groupBy("leaf").applyInPandas(inside, inside_schema))
+    dealt = placed.repartition(2**depth, "leaf") if depth else placed
+    local = settled(dealt.groupBy("leaf").applyInPandas(inside, inside_schema))
     asked = settled(_visits(local, placed, depth))
     chunks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     visitors = asked.join(chunks, "leaf").withColumn(
@@ -107,8 +116,13 @@ def _nearest_points(points: DataFrame, k: int, leaf_points: int, chunk: int) ->
         near, _ = _scan(
             np.stack(guests["vec"]), guests["radius"].to_numpy(), np.stack(owners["vec"]), list(owners["ids"]), k
         )
-        return pd.DataFrame({"pid": guests["pid"], "near": near})
+        met = np.array([bool(entries) for entries in near])
+        found = pd.Series([entries for entries in near if entries], dtype=object)
+        return pd.DataFrame({"pid": guests["pid"].to_numpy()[met], "near": found})
 
+    if depth:
+        tasks = max(1, math.ceil(asked.count() / TASK_VISITS))
+        visitors, hosts = (side.repartition(tasks, "leaf", "part") for side in (visitors, hosts))
     abroad = (
         visitors.groupBy("leaf", "part")
         .cogroup(hosts.groupBy("leaf", "part"))
@@ -178,6 +192,8 @@ def _visits(local: DataFrame, placed: DataFrame, depth: int) -> DataFrame:
     sides = nodes.agg(F.min("low").alias("low"), F.max("high").alias("high")).groupBy("node")
     boxes = sides.agg(F.array_sort(F.collect_list(F.struct("dim", "low", "high"))).alias("b"))
     boxes = settled(boxes.selectExpr("node", "b.low as low", "b.high as high"))
+    if boxes.count() <= SENT_BOXES:
+        return _walked(local, boxes, chosen, depth)
     at = local.withColumn("_p", chosen.select("pivots").scalar()).selectExpr(
         "pid", "vec", "radius", "leaf as own", f"concat(vec, {_distances('_p')}) as at", "size(vec) as width", "0 as node"
     )
@@ -193,11 +209,49 @@ def _visits(local: DataFrame, placed: DataFrame, depth: int) -> DataFrame:
     return visited.where("leaf <> own").drop("own")
 
 
+def _walked(local: DataFrame, boxes: DataFrame, chosen: DataFrame, depth: int) -> DataFrame:
+    """(pid, vec, radius, leaf) as in :func:`_visits`, by tasks that hold all boxes."""
+    pivots = np.array([list(p) for p in chosen.first()["pivots"]])
+    low = np.full((2 ** (depth + 1) - 1, pivots.shape[1] + len(pivots)), np.nan)  # a node without points is never near
+    high = low.copy()
+    for row in boxes.collect():
+        low[row["node"]], high[row["node"]] = row["low"], row["high"]
+    sent = local.sparkSession.sparkContext.broadcast((pivots, low, high))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, low, high = sent.value
+        width = pivots.shape[1]
+        for batch in batches:
+            vectors = np.asarray(batch.column(1).flatten(), dtype=float).reshape(batch.num_rows, -1)
+            own, reach = np.asarray(batch.column(3)), np.asarray(batch.column(2)) + SLACK
+            far = np.sqrt(((vectors[:, None] - pivots) ** 2).sum(axis=2))
+            at = np.hstack([vectors, far])
+            point, node = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+            for level in range(depth + 1):
+                near = []
+                for start in range(0, len(point), PAIRS):
+                    p, n = point[start : start + PAIRS], node[start : start + PAIRS]
+                    gap = np.maximum(np.maximum(low[n] - at[p], at[p] - high[n]), 0.0)
+                    apart = np.sqrt((gap[:, :width] ** 2).sum(axis=1))
+                    near.append((apart <= reach[p]) & (gap[:, width:].max(axis=1) <= reach[p]))
+                kept = np.concatenate(near) if near else np.zeros(0, bool)
+                point, node = point[kept], node[kept]
+                if level < depth:
+                    point, node = np.repeat(point, 2), np.column_stack([2 * node + 1, 2 * node + 2]).ravel()
+            leaf = (node - (2**depth - 1)).astype(np.int32)
+            point, leaf = point[leaf != own[point]], leaf[leaf != own[point]]
+            for start in range(0, len(point), PAIRS):
+                some = batch.select([0, 1, 2]).take(pa.array(point[start : start + PAIRS]))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(leaf[start : start + PAIRS])], ["pid", "vec", "radius", "leaf"])
+
+    return local.select("pid", "vec", "radius", "leaf").mapInArrow(walk, "pid string, vec array<double>, radius double, leaf int")
+
+
 def _scan(queries: np.ndarray, radius: np.ndarray | None, owners: np.ndarray, ids: list, k: int) -> tuple[list, list]:
     """Lowest ``k`` (distance, id) entries of each query among the owners, and the distance of the last.
 
-    Works in blocks of queries of some tens of megabytes. A matrix product gives distances good enough to rule most
-    owners out; the exact ones are taken of the few that may count.
+    Works in blocks of queries of some megabytes. A matrix product gives distances good enough to rule most owners out;
+    the exact ones are taken of the few that may count. A radius already says which may.
     """
     sizes = np.array([len(entry) for entry in ids])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -209,18 +263,22 @@ def _scan(queries: np.ndarray, radius: np.ndarray | None, owners: np.ndarray, id
     owned, asked = owners - centre, queries - centre
     owned_sq, asked_sq = (owned**2).sum(axis=1), (asked**2).sum(axis=1)
     fuzz = 1e-9 * (1.0 + owned_sq.max() + asked_sq.max())
-    step = max(1, 4_000_000 // len(owners))
+    step = max(1, 500_000 // len(owners))
+    twice = np.ascontiguousarray(-2.0 * owned.T)
     near: list = []
     last: list = []
     for start in range(0, len(queries), step):
         block = slice(start, start + step)
-        rough = np.maximum(0.0, asked_sq[block, None] + owned_sq[None, :] - 2.0 * asked[block] @ owned.T)
-        bound = np.full(len(rough), np.inf)
-        if len(owners) > k:
-            bound = np.sqrt(np.partition(rough, k - 1, axis=1)[:, k - 1])
+        # Squared distances less the square of the query, which is the same for all owners.
+        rough = asked[block] @ twice
+        rough += owned_sq
         if radius is not None:
-            bound = np.minimum(bound, radius[block])
-        row, owner = np.nonzero(rough <= ((bound + SLACK) ** 2 + fuzz)[:, None])
+            bound = radius[block]
+        elif len(owners) > k:
+            bound = np.sqrt(np.maximum(0.0, np.partition(rough, k - 1, axis=1)[:, k - 1] + asked_sq[block]))
+        else:
+            bound = np.full(len(rough), np.inf)
+        row, owner = np.nonzero(rough <= ((bound + SLACK) ** 2 + fuzz - asked_sq[block])[:, None])
         distance = np.round(np.sqrt(((queries[block][row] - owners[owner]) ** 2).sum(axis=1)), DIGITS)
 
         count = sizes[owner]

@@ -127,14 +127,11 @@ def smote(
         F.get("vectors", F.pmod(id_number(picked, f"n{seed}"), F.size("vectors")).cast("int")).alias("other_vec"),
         (id_number(picked, f"u{seed}") / F.lit(float(HASH_SPAN))).alias("share"),
     )
-    between = F.zip_with("vec", "other_vec", lambda a, b: a + F.col("share") * (b - a))
-    made = drawn.select(
-        F.concat_ws("~", F.col(key), F.col("copy")).alias(key), between.alias("v")
-    )
     types = dict(df.dtypes)
-    synthetic = made.select(
-        key,
-        *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(columns)],
+    ends = [(F.get("vec", F.lit(i)), F.get("other_vec", F.lit(i))) for i in range(len(columns))]
+    synthetic = drawn.select(
+        F.concat_ws("~", F.col(key), F.col("copy")).alias(key),
+        *[(a + F.col("share") * (b - a)).alias(c) for c, (a, b) in zip(columns, ends)],
         F.lit(1).cast(types[label]).alias(label),
         F.lit(1).alias("is_synthetic"),
     )

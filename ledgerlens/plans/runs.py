@@ -73,7 +73,9 @@ def prepare(
     # Oversampling doubles the rows at most.
     files = math.ceil(plain["train"].count() * (2 if oversample else 1) / MATRIX_ROWS)
     matrix = smote(scaled, columns) if oversample else scaled
-    state.save_table(matrix.repartition(max(1, files)), f"{root}/matrix/train")
+    # Several files are dealt by id: dealing rows in turn would sort them all first, so that a retried task repeats itself.
+    dealt = matrix.repartition(files, "transaction_id") if files > 1 else matrix.repartition(1)
+    state.save_table(dealt, f"{root}/matrix/train")
     state.save_table(apply_scaler(plain["test"], scaler), f"{root}/matrix/test")
     matrices = [spark.read.parquet(f"{root}/matrix/{n}") for n in ("train", "test")]
     return Prepared(profiles, scaler, *matrices)

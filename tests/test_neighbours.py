@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import neighbours
 from ledgerlens.operators.neighbours import nearest_neighbours
 from ledgerlens.operators.sampling import smote
 
@@ -40,6 +41,29 @@ def test_neighbours_equal_brute_force(spark, kind, leaf_points, chunk):
     assert found == brute(frame, 5)
 
 
+@pytest.mark.parametrize("kind", ["even", "clusters"])
+def test_joined_and_sent_boxes_give_the_same_neighbours(spark, kind, monkeypatch):
+    vectors = frames()[kind]
+    frame = pd.DataFrame({"id": [f"p{i:03d}" for i in range(len(vectors))], "vec": list(vectors)})
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(frame.id, frame.vec)], "id string, vec array<double>")
+    monkeypatch.setattr(neighbours, "SENT_BOXES", 0)
+    got = nearest_neighbours(df, "id", "vec", 5, 16, 8).toPandas()
+    assert {name: part.sort_values("rank").neighbour.tolist() for name, part in got.groupby("id")} == brute(frame, 5)
+
+
+def test_leaves_are_dealt_to_tasks(spark, monkeypatch):
+    """Few bytes in many leaves are not left to one task: neither the leaves nor their visitors."""
+    rng = np.random.default_rng(4)
+    rows = [(f"p{i}", v.tolist()) for i, v in enumerate(rng.normal(size=(400, 3)))]
+    points = spark.createDataFrame(rows, "pid string, vec array<double>").selectExpr("pid", "vec", "array(pid) as ids")
+    written, settle = [], neighbours.settled
+    monkeypatch.setattr(neighbours, "settled", lambda df: written.append((df.columns, df.rdd.getNumPartitions())) or settle(df))
+    monkeypatch.setattr(neighbours, "TASK_VISITS", 50)
+    found = neighbours._nearest_points(points, 4, 50, 8)
+    assert dict((tuple(c), n) for c, n in written)["leaf", "pid", "vec", "radius", "near"] == 8
+    assert found.count() == 400
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([("a", [0.0]), ("b", [1.0])], "id string, vec array<double>")
     got = nearest_neighbours(df, "id", "vec", 5).toPandas()
