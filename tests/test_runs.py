@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import models, sampling
 from ledgerlens.operators.features import FEATURES
+from ledgerlens.plans import model_queries
 from ledgerlens.plans.quality_queries import contract_table
-from ledgerlens.plans.runs import score_batch, scoring_run, submission, training_run
+from ledgerlens.plans.runs import prepare, score_batch, scoring_run, submission, training_run
 from ledgerlens.sources import runlog, state
 from ledgerlens.sources.standin import transactions, transactions_from
 from ledgerlens.streaming import transactions as streams
@@ -266,3 +267,17 @@ def test_models_over_few_rows_are_fitted_side_by_side(spark, monkeypatch):
     assert models.ablation(held, held, ["x", "y"], ["y"], models.gbt(2)).count() == 6
     monkeypatch.setattr(models, "FITS_ROWS", 59)
     assert models.fits_at_once(df) == 1
+
+
+def test_plain_and_oversampled_matrices_share_their_features(spark, data, monkeypatch):
+    """The features are derived once, and both pairs of matrices are those of a preparation of their own."""
+    derived, derive = [], model_queries.derive
+    monkeypatch.setattr(model_queries, "derive", lambda *given, **named: derived.append(1) or derive(*given, **named))
+    monkeypatch.setattr(model_queries, "_kept", {})
+    tx = transactions(spark, data)
+    for oversample in (False, True):
+        shared = model_queries._prepared(spark, data, oversample)
+        alone = prepare(tx, model_queries.scratch(spark), oversample=oversample)
+        for one, two in ((shared.train, alone.train), (shared.test, alone.test)):
+            assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    assert len(derived) == 1
