@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import models, sampling
 from ledgerlens.operators.features import FEATURES
-from ledgerlens.plans import model_queries
+from ledgerlens.plans import model_queries, runs
 from ledgerlens.plans.quality_queries import contract_table
 from ledgerlens.plans.runs import prepare, score_batch, scoring_run, submission, training_run
 from ledgerlens.sources import runlog, state
@@ -281,3 +281,13 @@ def test_plain_and_oversampled_matrices_share_their_features(spark, data, monkey
         for one, two in ((shared.train, alone.train), (shared.test, alone.test)):
             assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
     assert len(derived) == 1
+
+
+def test_a_matrix_of_several_files_fills_every_core(spark, data, monkeypatch):
+    assert [runs.matrix_files(n, 8) for n in (0, 250_000, 250_001, 960_000, 9_600_000)] == [1, 1, 8, 8, 40]
+    derived = runs.derive(transactions(spark, data), model_queries.scratch(spark))
+    monkeypatch.setattr(runs, "MATRIX_ROWS", 300)
+    prepared = runs.matrices(derived, model_queries.scratch(spark))
+    cores = spark.sparkContext.defaultParallelism
+    assert len(prepared.train.inputFiles()) % cores == 0
+    assert prepared.train.where("is_synthetic = 0").count() == derived.train.count()
